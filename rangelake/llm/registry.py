@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rangelake.llm import exact_dedup, secret_scan, url_filter
+from rangelake.llm import exact_dedup, packing, secret_scan, token_output, url_filter
 from rangelake.llm.shared import table
 
 
@@ -18,6 +18,14 @@ def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.url_filter(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
 
 
+def op3_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_output.token_output(table(spark, sf_dir, "documents"))
+
+
+def op6_best_fit_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.best_fit_pack(table(spark, sf_dir, "documents"))
+
+
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.secret_scan(table(spark, sf_dir, "documents"))
 

@@ -30,6 +30,8 @@ from rangelake.llm.shared import cut, shared_folder
 #: Fixed rules: verdict, host, path.
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
 SUPPORT, CONFIDENCE, ITEMS = 0.001, 0.5, 10
+#: Labelled pages that a combination needs, where the support asks for fewer.
+LEAST = 20
 BLOCK, ALLOW = "label=block", "label=allow"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -71,7 +73,8 @@ def mine(pages: DataFrame, labels: DataFrame, folder: str, support: float = SUPP
         folder,
     )
     rows = labelled.count()
-    floor = max(1, support * rows)
+    support = max(support, LEAST / max(rows, 1))
+    floor = support * rows
     frequent = labelled.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count("*").alias("n")).filter(F.col("n") >= floor)
     frequent = cut(frequent, "tokens", folder)  # 1/support tokens a place in a transaction, at most
     spark = pages.sparkSession
