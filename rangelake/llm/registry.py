@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rangelake.llm import exact_dedup, packing, secret_scan, token_output, url_filter
+from rangelake.llm import exact_dedup, packing, pii, secret_scan, token_output, url_filter
 from rangelake.llm.shared import table
 
 
@@ -26,6 +26,10 @@ def op6_best_fit_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.best_fit_pack(table(spark, sf_dir, "documents"))
 
 
+def op8_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.surrogates(table(spark, sf_dir, "documents"))
+
+
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.secret_scan(table(spark, sf_dir, "documents"))
 
