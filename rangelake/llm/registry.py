@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rangelake.llm import exact_dedup, packing, pii, secret_scan, token_output, url_filter
+from rangelake.llm import decontamination, exact_dedup, language_id, packing, pii, secret_scan, token_output, url_filter
 from rangelake.llm.shared import table
 
 
@@ -22,6 +22,14 @@ def op3_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.token_output(table(spark, sf_dir, "documents"))
 
 
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(table(spark, sf_dir, "documents"))
+
+
 def op6_best_fit_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.best_fit_pack(table(spark, sf_dir, "documents"))
 
