@@ -15,13 +15,18 @@ import numpy as np
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-#: Words that a cache holds before it starts anew, and the longest word that it holds.
-WORDS, LONGEST = 500_000, 48
+#: Words that the newer half of a cache holds before it becomes the older half, and the longest word that it holds.
+WORDS, LONGEST = 400_000, 48
 #: End of a document.
 END = np.zeros(1, dtype="<u4").tobytes()
 
 _DOUBLE_SPACE = re.compile(r"\s\s")
 _WORD_EDGE = re.compile(r"(?<=\S) (?=\S)")
+_PLAIN = re.compile(r"[^\s\x01]+").fullmatch
+#: Letters and one mark behind them, which both vocabularies always part, and whose ids don't depend on each other.
+_MARKED = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([.,;:!?])").fullmatch
+#: What may stand between words that are encoded as one text: white space that stays a token, or a character of its own.
+_BETWEEN = ("\n", " \x01")
 
 
 class Encoder:
@@ -30,24 +35,72 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.words: dict[str, bytes] = {}
+        self.newer: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.marks = {m: np.array(self._ids(m), dtype="<u4").tobytes() for m in ".,;:!?"}
+        self.between, self.mark = None, -1
+        word, other = self._ids(" a"), self._ids(" b")
+        for between in _BETWEEN:
+            ids = self._ids(f" a{between} b")
+            if len(ids) == len(word) + len(other) + 1 and ids[: len(word)] == word and ids[len(word) + 1 :] == other:
+                self.between, self.mark = between, ids[len(word)]
+                break
+
+    def _ids(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
 
     def _library(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _words(self, words: list[str]) -> dict[str, bytes]:
+        """Each word's ids behind a space. Plain words are joined, a thousand a text, and told apart by the mark between."""
+        plain = [w for w in words if _PLAIN(w)] if self.between else []
+        out: dict[str, bytes] = {}
+        for lo in range(0, len(plain), 1000):
+            own = plain[lo : lo + 1000]
+            ids = np.array(self.tokenizer.encode_batch_fast([self.between.join([f" {w}" for w in own])], add_special_tokens=False)[0].ids, dtype="<u4")
+            ends = np.append(np.flatnonzero(ids == self.mark), len(ids))
+            if len(ends) == len(own):  # else a word has the mark inside
+                raw, begin = ids.tobytes(), 0
+                for word, end in zip(own, (4 * ends).tolist(), strict=True):
+                    out[word] = raw[begin:end]
+                    begin = end + 4
+        rest = [w for w in words if w not in out]
+        out.update(zip(rest, self._library([f" {w}" for w in rest]), strict=True))
+        return out
+
+    def lookup(self, words: set[str]) -> dict[str, bytes]:
+        """Ids of each of these words behind a space. Words that come again stay in the cache."""
+        newer, older, found, new = self.newer, self.older, {}, []
+        marked = [m for m in map(_MARKED, words) if m]
+        words = words.difference([m[0] for m in marked]).union([m[1] for m in marked])
+        for w in words:
+            ids = newer.get(w)
+            if ids is None:
+                ids = older.get(w)
+                if ids is None:
+                    new.append(w)
+                    continue
+                newer[w] = ids
+            found[w] = ids
+        for w, ids in self._words(new).items():
+            found[w] = ids
+            if len(w) <= LONGEST:
+                newer[w] = ids
+        for m in marked:
+            found[m[0]] = found[m[1]] + self.marks[m[2]]
+        if len(newer) > WORDS:
+            self.older, self.newer = newer, {}
+        return found
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         cut = [_WORD_EDGE.split(t) if _DOUBLE_SPACE.search(t) else t.split(" ") for t in texts]
         firsts = self._library([words[0] for words in cut])
-        if len(self.words) > WORDS:
-            self.words.clear()
-        known, rare = self.words, {}
-        new = list({w for words in cut for w in words[1:]}.difference(known))
-        for word, ids in zip(new, self._library([f" {w}" for w in new]), strict=True):
-            (known if len(word) <= LONGEST else rare)[word] = ids
-        if rare:
-            known = known | rare
-        return [first + b"".join(map(known.__getitem__, words[1:])) for first, words in zip(firsts, cut, strict=True)]
+        for words in cut:
+            del words[0]
+        ids = self.lookup(set().union(*cut)).__getitem__
+        return [first + b"".join(map(ids, words)) for first, words in zip(firsts, cut, strict=True)]
 
 
 @cache

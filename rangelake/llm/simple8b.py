@@ -23,22 +23,40 @@ ESCAPE = np.uint64(2**64 - 1)
 LARGE = np.uint64(2**60 - 1)
 
 
+def _levels(values: np.ndarray) -> np.ndarray:
+    """Of each value, which of the widths it needs."""
+    if len(values) and int(values.max()) < 1 << 16:
+        return _SMALL[values.astype(np.uint16)]
+    return np.searchsorted(_LIMITS, values, side="right").astype(np.uint8)
+
+
+_WIDTHS = np.unique(BITS)
+_LIMITS = np.array([(1 << int(b)) for b in _WIDTHS[:-1]], dtype="<u8")  # values from limit k on need more than width k
+_SMALL = np.searchsorted(_LIMITS, np.arange(1 << 16, dtype="<u8"), side="right").astype(np.uint8)
+_LEVEL_OF = np.searchsorted(_WIDTHS, BITS).astype(np.uint8)
+
+
 def encode(values: np.ndarray, block: int = BLOCK) -> bytes:
     """A segment of ``values`` (converted to unsigned 64-bit)."""
     values = np.ascontiguousarray(values, dtype="<u8")
     n = len(values)
+    blocks = -(-n // block)
+    widest = np.full(blocks * block, 255, dtype=np.uint8)
+    widest[:n] = _levels(values)
+    widest = widest.reshape(blocks, block)  # widest value of the run of ``length`` values from each place; 255 beyond the block
+    selector, length = np.full((blocks, block), 15, dtype=np.uint8), 1
+    for s in range(14, -1, -1):  # from few wide values to many narrow ones: the last that fits holds the most
+        count = int(COUNTS[s])
+        while length < count:  # a longer run is two runs that overlap
+            step = min(length, count - length)
+            longer = np.full_like(widest, 255)
+            if step < block:
+                np.maximum(widest[:, :-step], widest[:, step:], out=longer[:, :-step])
+            widest, length = longer, length + step
+        np.copyto(selector, s, where=widest <= _LEVEL_OF[s])
+    selector = selector.ravel()[:n].astype(np.int64)
     index = np.arange(n, dtype=np.int64)
     block_end = np.minimum((index // block + 1) * block, n)
-    selector = np.full(n, 15, dtype=np.int64)
-    fit_until = block_end
-    done_bits = -1
-    for s in range(14, -1, -1):  # from few wide values to many narrow ones: the last that fits holds the most
-        if BITS[s] != done_bits:
-            done_bits = BITS[s]
-            too_wide = values >> np.uint64(done_bits) != 0
-            stop = np.where(too_wide, index, n)
-            fit_until = np.minimum(np.minimum.accumulate(stop[::-1])[::-1], block_end)
-        np.copyto(selector, s, where=fit_until - index >= COUNTS[s])
     starts = np.zeros(n, dtype=bool)
     at, ends = index[::block].copy(), block_end[::block].copy()
     while len(at):  # all blocks take a word at a time
