@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rangelake.llm import decontamination, exact_dedup, language_id, packing, pii, secret_scan, token_output, url_filter
+from rangelake.llm import decontamination, exact_dedup, language_id, near_duplicates, packing, pii, secret_scan, token_output, url_filter
 from rangelake.llm.shared import table
 
 
@@ -34,6 +34,10 @@ def op6_best_fit_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.best_fit_pack(table(spark, sf_dir, "documents"))
 
 
+def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op8_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.surrogates(table(spark, sf_dir, "documents"))
 
