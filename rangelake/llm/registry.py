@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rangelake.llm import decontamination, exact_dedup, language_id, near_duplicates, packing, pii, secret_scan, token_output, url_filter
+from rangelake.llm import decontamination, exact_dedup, language_id, language_model, near_duplicates, packing, pii, secret_scan, token_output, url_filter
 from rangelake.llm.shared import table
 
 
@@ -42,6 +42,10 @@ def op8_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.surrogates(table(spark, sf_dir, "documents"))
 
 
+def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.score_documents(table(spark, sf_dir, "documents"))
+
+
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.secret_scan(table(spark, sf_dir, "documents"))
 
