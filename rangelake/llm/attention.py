@@ -120,7 +120,7 @@ class Model:
         g["place"] = d0.reshape(n, WINDOW, D).sum(axis=0)
         return float(loss) / m, g
 
-    def fit(self, texts: list[np.ndarray], steps: int, batch: int = 48, rate: float = 4e-3, seed: int = 0) -> list[float]:
+    def fit(self, texts: list[np.ndarray], steps: int, batch: int = 48, rate: float = 6e-3, seed: int = 0) -> list[float]:
         """texts: slots of each text, its end included. Adam on random windows; gives the losses."""
         texts = [t for t in texts if len(t)]
         if not texts or not steps:

@@ -30,7 +30,7 @@ from rangelake.llm.shared import cut, in_fold, shared_folder, steps
 
 VOCABULARY, VOCABULARY_SIZE = "byte_bpe_50k.json", 50_257
 FOLDS, HELD_OUT = 10, 0
-HEAD, SAMPLE, LONGEST, STEPS, SHARE = 200_000, 600, 20_000, 300, 0.05
+HEAD, SAMPLE, LONGEST, STEPS, SHARE = 200_000, 600, 20_000, 1200, 0.05
 #: Words that a counting task holds before it passes them on.
 HELD = 400_000
 END, OTHER = 0, 1
