@@ -76,7 +76,7 @@ def exact_dedup(docs: DataFrame, k: int = COUNTERS, folder: str | None = None) -
 def drop_duplicates(docs: DataFrame, k: int = COUNTERS) -> DataFrame:
     """``docs`` without the rows whose text another row with a smaller doc_id has; rows without doc_id stay."""
     dropped = exact_dedup(docs, k).filter(~F.col("kept") & F.col("doc_id").isNotNull()).select("doc_id")
-    return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+    return docs.join(dropped.hint("merge"), "doc_id", "left_anti").select(*docs.columns)
 
 
 ORACLE_SQL = r"""

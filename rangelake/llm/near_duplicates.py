@@ -304,7 +304,8 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(own, pa.binary())], ["rep", "shingles"])
 
     wanted = candidates.select(F.col("rep").alias("doc_id")).distinct()
-    texts = docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi").mapInArrow(sets, "rep long, shingles binary")
+    # merged at every size: a broadcast that small inputs happen to get would not carry over to large ones
+    texts = docs.select("doc_id", "text").join(wanted.hint("merge"), "doc_id", "left_semi").mapInArrow(sets, "rep long, shingles binary")
     texts = cut(texts.dropDuplicates(["rep"]), "shingles", folder)
     heavy = candidates.join(texts, "rep").repartition(*tile_key).sortWithinPartitions(*tile_key)
     verified = cut(heavy.mapInArrow(lambda b: _verified(b, threshold), "rep long, links long, other long"), "verified", folder)
@@ -321,4 +322,4 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 def drop_near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` with one document of each class, that of the smallest doc_id."""
     dropped = near_duplicates(docs, threshold).filter("doc_id != class_id").select("doc_id").distinct()
-    return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+    return docs.join(dropped.hint("merge"), "doc_id", "left_anti").select(*docs.columns)
