@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import importlib
+
 import pyarrow as pa
 from google.protobuf import descriptor_pb2, descriptor_pool
 from google.protobuf.descriptor import Descriptor, FieldDescriptor
@@ -33,6 +35,7 @@ def load_descriptor(descriptor_set: bytes, message: str) -> Descriptor:
         done.add(name)
         if name not in by_name:
             if name.startswith("google/protobuf/"):
+                importlib.import_module(name.removesuffix(".proto").replace("/", ".") + "_pb2")  # registers the file
                 known = descriptor_pool.Default().FindFileByName(name)
                 own = descriptor_pb2.FileDescriptorProto()
                 known.CopyToProto(own)

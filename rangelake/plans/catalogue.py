@@ -4,18 +4,36 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from rangelake.functions.presence import absent_if, absent_if_empty, entries, enum_number
 from rangelake.functions.ranges import file_name, range_hi, range_lo
+from rangelake.operators.backfill import expected_ranges, missing_ranges
+from rangelake.operators.explode import explode_table
+from rangelake.operators.stats import rates
+from rangelake.operators.undo import undo_apply
+from rangelake.sources.envelope import after_cursor, raw_table, with_payload, within
 
 #: Deliberately off the data's alignment, so that both bounds clamp.
 START, SIZE, END = 500, 700, 14900
+ROW_GROUP = 300
+#: Order numbers behind this one are what a resumed run reads.
+CURSOR = 7321
+#: Enums and reorganisations that the queries use.
+STATUS = {"O": 1, "F": 2, "P": 3}
+ROLES = {"system": 1, "user": 2, "assistant": 3}
+UNDOS = ((5000, 4700), (5001, 4400), (9000, 8700))
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
 _SQL: dict[str, str] = {}
 
+#: What the SQL shares: an order's range, and a line's fields in an order that no two different lines share.
+_LO = f"({START} + (greatest(o_orderkey, {START}) - {START}) // {SIZE} * {SIZE})"
+_LINE = "l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate"
+LINE = _LINE.split(", ")
+
 
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     def keep(f: Query) -> Query:
@@ -35,18 +53,219 @@ def oracle_sql() -> dict[str, str]:
     return dict(_SQL)
 
 
-def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def order_blocks(spark: SparkSession, sf_dir: str, start: int = 0, end: int | None = END) -> DataFrame:
     """Orders as blocks inside the bounds."""
-    return spark.read.parquet(f"{sf_dir}/orders.parquet").withColumn("block_number", F.col("o_orderkey")).filter(F.col("block_number") < END)
+    return within(table(spark, sf_dir, "orders").withColumn("block_number", F.col("o_orderkey")), start, end)
+
+
+def ranged(df: DataFrame) -> DataFrame:
+    return df.withColumn("range_lo", range_lo(F.col("block_number"), SIZE, START))
+
+
+def nested_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with their lines as a list; NULL where there are none. Lines are brought together by one shuffle of their key."""
+    lines = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct(*LINE))).alias("lines"))
+    orders = table(spark, sf_dir, "orders")
+    return orders.join(lines, orders["o_orderkey"] == lines["l_orderkey"], "left").select(F.col("o_orderkey").alias("block_number"), "o_custkey", absent_if_empty(F.col("lines")).alias("lines"))
+
+
+@query("range_assign", f"SELECT o_orderkey AS block_number, {_LO} AS range_lo, least({_LO} + {SIZE}, {END}) AS range_hi, printf('%010d-%010d.parquet', {_LO}, least({_LO} + {SIZE}, {END})) AS file_name FROM orders WHERE o_orderkey < {END}")
+def range_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hi = range_hi(F.col("range_lo"), SIZE, END)
+    return ranged(order_blocks(spark, sf_dir)).select("block_number", "range_lo", hi.alias("range_hi"), file_name(F.col("range_lo"), hi).alias("file_name"))
 
 
-@query(
-    "range_counts",
-    f"""SELECT lo AS range_lo, least(lo + {SIZE}, {END}) AS range_hi, printf('%010d-%010d.parquet', lo, least(lo + {SIZE}, {END})) AS file_name, count(*) AS n_rows
-    FROM (SELECT {START} + (greatest(o_orderkey, {START}) - {START}) // {SIZE} * {SIZE} AS lo FROM orders WHERE o_orderkey < {END}) GROUP BY lo""",
-)
+@query("range_counts", f"SELECT lo AS range_lo, least(lo + {SIZE}, {END}) AS range_hi, printf('%010d-%010d.parquet', lo, least(lo + {SIZE}, {END})) AS file_name, count(*) AS n_rows FROM (SELECT {_LO} AS lo FROM orders WHERE o_orderkey < {END}) GROUP BY lo")
 def range_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lo = range_lo(F.col("block_number"), SIZE, START)
-    per_range = orders(spark, sf_dir).groupBy(lo.alias("range_lo")).agg(F.count("*").alias("n_rows"))
+    per_range = ranged(order_blocks(spark, sf_dir)).groupBy("range_lo").agg(F.count("*").alias("n_rows"))
     hi = range_hi(F.col("range_lo"), SIZE, END)
     return per_range.select("range_lo", hi.alias("range_hi"), file_name(F.col("range_lo"), hi).alias("file_name"), "n_rows")
+
+
+@query("range_bounds_filter", f"SELECT o_orderkey AS block_number, o_custkey, o_orderstatus FROM orders WHERE o_orderkey >= {START} AND o_orderkey < {END}")
+def range_bounds_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_blocks(spark, sf_dir, START).select("block_number", "o_custkey", "o_orderstatus")
+
+
+@query("range_minmax", f"SELECT {_LO} AS range_lo, min(o_orderkey) AS first_block, max(o_orderkey) AS last_block FROM orders WHERE o_orderkey < {END} GROUP BY 1")
+def range_minmax(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranged(order_blocks(spark, sf_dir)).groupBy("range_lo").agg(F.min("block_number").alias("first_block"), F.max("block_number").alias("last_block"))
+
+
+_EXPECTED = f"(SELECT unnest(range({START}, {END}, {SIZE})) AS range_lo)"
+_SPARSE = "o_orderkey % 1900 < 350"
+
+
+def sparse_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per range of orders that leave gaps."""
+    return ranged(order_blocks(spark, sf_dir, START).filter(F.col("block_number") % 1900 < 350)).groupBy("range_lo").agg(F.count("*").alias("n_rows"))
+
+
+@query("gap_backfill", f"SELECT e.range_lo, least(e.range_lo + {SIZE}, {END}) AS range_hi, coalesce(n, 0)::BIGINT AS n_rows FROM {_EXPECTED} e LEFT JOIN (SELECT {_LO} AS lo, count(*) AS n FROM orders WHERE o_orderkey >= {START} AND o_orderkey < {END} AND {_SPARSE} GROUP BY 1) ON lo = e.range_lo")
+def gap_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    expected = expected_ranges(spark, START, END, SIZE, END)
+    return expected.join(sparse_ranges(spark, sf_dir), "range_lo", "left").select("range_lo", "range_hi", F.coalesce("n_rows", F.lit(0).cast("long")).alias("n_rows"))
+
+
+@query("missing_ranges", f"SELECT e.range_lo, least(e.range_lo + {SIZE}, {END}) AS range_hi FROM {_EXPECTED} e WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_orderkey >= {START} AND o_orderkey < {END} AND {_SPARSE} AND {_LO} = e.range_lo)")
+def missing_ranges_(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return missing_ranges(expected_ranges(spark, START, END, SIZE, END), sparse_ranges(spark, sf_dir))
+
+
+@query("backfill_leading", f"SELECT e.range_lo FROM {_EXPECTED} e WHERE e.range_lo < (SELECT min({_LO}) FROM orders WHERE o_orderkey >= 3000 AND o_orderkey < {END})")
+def backfill_leading(spark: SparkSession, sf_dir: str) -> DataFrame:
+    first = ranged(order_blocks(spark, sf_dir, 3000)).agg(F.min("range_lo").alias("first"))
+    expected = expected_ranges(spark, START, END, SIZE, END)
+    return expected.crossJoin(F.broadcast(first)).filter("range_lo < first").select("range_lo")  # first is one row
+
+
+@query("nest_explode", f"SELECT {_LINE} FROM lineitem JOIN orders ON l_orderkey = o_orderkey")
+def nest_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return explode_table(nested_orders(spark, sf_dir), "lines")
+
+
+@query("explode_lineage", f"SELECT l_orderkey AS block_number, (row_number() OVER (PARTITION BY l_orderkey ORDER BY {_LINE}) - 1)::INTEGER AS ordinal, {_LINE} FROM lineitem")
+def explode_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return explode_table(nested_orders(spark, sf_dir), "lines", "block_number")
+
+
+@query("explode_scalar_list", "SELECT vec_id AS block_number, (i - 1)::INTEGER AS ordinal, embedding[i] AS embedding FROM (SELECT vec_id, embedding, unnest(range(1, len(embedding) + 1)) AS i FROM embeddings)")
+def explode_scalar_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return explode_table(table(spark, sf_dir, "embeddings").withColumnRenamed("vec_id", "block_number"), "embedding", "block_number")
+
+
+@query("explode_scalar_compat", "SELECT vec_id AS block_number, NULL::FLOAT AS embedding FROM (SELECT vec_id, unnest(embedding) AS x FROM embeddings)")
+def explode_scalar_compat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return explode_table(table(spark, sf_dir, "embeddings").withColumnRenamed("vec_id", "block_number"), "embedding", None, True, ("block_number",))
+
+
+@query("explode_map", "SELECT event_id AS block_number, 'k' AS key, CAST(json_extract(props, '$.k') AS BIGINT) AS value FROM events WHERE json_extract(props, '$.k') IS NOT NULL")
+def explode_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    listed = table(spark, sf_dir, "events").select(F.col("event_id").alias("block_number"), entries(F.from_json("props", "map<string,bigint>")).alias("props"))
+    return explode_table(listed, "props", keep=("block_number",))
+
+
+@query("main_table_list_sizes", "SELECT o_orderkey AS block_number, o_custkey, nullif(count(l_orderkey), 0)::INTEGER AS n_lines FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY 1, 2")
+def main_table_list_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nested_orders(spark, sf_dir).select("block_number", "o_custkey", F.when(F.col("lines").isNotNull(), F.size("lines")).alias("n_lines"))
+
+
+@query("default_to_null", "SELECT doc_id, nullif(quality, 0) AS quality, nullif(toxic, 0) AS toxic FROM labels")
+def default_to_null(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "labels").select("doc_id", absent_if(F.col("quality"), 0).alias("quality"), absent_if(F.col("toxic"), 0).alias("toxic"))
+
+
+@query("empty_list_to_null", "SELECT doc_id, CASE WHEN len(words) > 0 THEN len(words)::INTEGER END AS n_long FROM (SELECT doc_id, list_filter(string_split(text, ' '), lambda x: length(x) > 14) AS words FROM documents)")
+def empty_list_to_null(spark: SparkSession, sf_dir: str) -> DataFrame:
+    long_words = F.filter(F.split("text", " "), lambda x: F.length(x) > 14)
+    listed = table(spark, sf_dir, "documents").select("doc_id", absent_if_empty(long_words).alias("words"))
+    return listed.select("doc_id", F.when(F.col("words").isNotNull(), F.size("words")).alias("n_long"))
+
+
+@query("enum_number", "SELECT o_orderkey AS block_number, CASE o_orderstatus WHEN 'O' THEN 1 WHEN 'F' THEN 2 WHEN 'P' THEN 3 END AS status FROM orders")
+def enum_number_(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("block_number"), enum_number(F.col("o_orderstatus"), STATUS).alias("status"))
+
+
+@query("chat_roles", "SELECT conv_id AS block_number, (row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1)::INTEGER AS ordinal, turn, CASE role WHEN 'system' THEN 1 WHEN 'user' THEN 2 WHEN 'assistant' THEN 3 END AS role, nullif(length(text), 0)::INTEGER AS n_chars FROM conversations")
+def chat_roles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turn = F.struct("turn", enum_number(F.col("role"), ROLES).alias("role"), F.nullif(F.length("text"), F.lit(0)).alias("n_chars"))
+    nested = table(spark, sf_dir, "conversations").groupBy(F.col("conv_id").alias("block_number")).agg(F.array_sort(F.collect_list(turn)).alias("turns"))
+    return explode_table(nested, "turns", "block_number")
+
+
+@query("raw_envelope", "SELECT doc_id::DECIMAL(20,0)::VARCHAR AS block_number, source AS block_id, octet_length(encode(text))::INTEGER AS n_bytes, sha256(text) AS digest FROM documents WHERE text IS NOT NULL")
+def raw_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    blocks = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("block_number"), F.col("source").alias("block_id"), F.col("text").cast("binary").alias("payload"))
+    return raw_table(blocks).select(F.col("block_number").cast("string").alias("block_number"), "block_id", F.octet_length("payload").alias("n_bytes"), F.sha2("payload", 256).alias("digest"))
+
+
+@query("payload_filter", "SELECT event_id AS block_number, event_type FROM events WHERE CASE WHEN event_id % 7 <> 0 THEN props END IS NOT NULL")
+def payload_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    blocks = table(spark, sf_dir, "events").select(F.col("event_id").alias("block_number"), "event_type", F.when(F.col("event_id") % 7 != 0, F.col("props")).alias("payload"))
+    return with_payload(blocks).select("block_number", "event_type")
+
+
+@query("unsigned_cast", "SELECT o_orderkey AS block_number, (o_orderkey::DECIMAL(20,0) + 9223372036854775807)::DECIMAL(20,0)::VARCHAR AS u64, (o_orderkey + 2147483647)::BIGINT AS u32 FROM orders")
+def unsigned_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key = F.col("o_orderkey")
+    return table(spark, sf_dir, "orders").select(key.alias("block_number"), (key.cast("decimal(20,0)") + F.lit(9223372036854775807).cast("decimal(20,0)")).cast("decimal(20,0)").cast("string").alias("u64"), (key + F.lit(2147483647)).cast("long").alias("u32"))
+
+
+@query("stats_rollup", f"SELECT o_orderstatus AS table_name, count(DISTINCT {_LO})::BIGINT AS files, count(*)::BIGINT AS n_rows, sum(CAST(o_totalprice * 100 AS DECIMAL(20,0)))::BIGINT AS cents, max({_LO}) AS active_range_lo, max_by(o_orderkey, o_orderkey) AS last_block FROM orders WHERE o_orderkey < {END} GROUP BY 1")
+def stats_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cents = F.sum((F.col("o_totalprice") * 100).cast("decimal(20,0)")).cast("decimal(30,0)")
+    # counted per range first, so that the shuffle carries a row for each range and task
+    per_range = ranged(order_blocks(spark, sf_dir)).groupBy(F.col("o_orderstatus").alias("table_name"), "range_lo").agg(F.count("*").alias("n"), cents.alias("c"), F.max("block_number").alias("last"))
+    return per_range.groupBy("table_name").agg(F.count("*").alias("files"), F.sum("n").alias("n_rows"), F.sum("c").cast("long").alias("cents"), F.max("range_lo").alias("active_range_lo"), F.max("last").alias("last_block"))
+
+
+_DAYS = "SELECT event_type AS table_name, epoch(date_trunc('day', ts))::BIGINT AS sampled_at, count(*)::BIGINT AS n FROM events GROUP BY 1, 2"
+
+
+@query("stats_rates", f"SELECT table_name, sampled_at, n_rows, coalesce((n_rows - lag(n_rows) OVER w)::DOUBLE / nullif(sampled_at - lag(sampled_at) OVER w, 0), 0)::DOUBLE AS n_rows_per_sec FROM (SELECT table_name, sampled_at, (sum(n) OVER (PARTITION BY table_name ORDER BY sampled_at))::BIGINT AS n_rows FROM ({_DAYS})) WINDOW w AS (PARTITION BY table_name ORDER BY sampled_at)")
+def stats_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    daily = table(spark, sf_dir, "events").groupBy(F.col("event_type").alias("table_name"), F.unix_timestamp(F.date_trunc("day", "ts")).alias("sampled_at")).agg(F.count("*").alias("n"))
+    samples = daily.select("table_name", "sampled_at", F.sum("n").over(Window.partitionBy("table_name").orderBy("sampled_at")).alias("n_rows"))
+    return rates(samples, "table_name", "sampled_at", ("n_rows",))
+
+
+_UNDO_ROWS = ", ".join(f"({s}, {b})" for s, b in UNDOS)
+
+
+@query("undo_apply", f"SELECT event_id AS block_number, event_type, user_id FROM events WHERE NOT EXISTS (SELECT 1 FROM (VALUES {_UNDO_ROWS}) u(seq, last_valid_block) WHERE u.seq > events.event_id AND u.last_valid_block < events.event_id)")
+def undo_apply_(spark: SparkSession, sf_dir: str) -> DataFrame:
+    blocks = table(spark, sf_dir, "events").select(F.col("event_id").alias("block_number"), F.col("event_id").alias("seq"), "event_type", "user_id")
+    return undo_apply(blocks, spark.createDataFrame(UNDOS, "seq long, last_valid_block long"), SIZE).select("block_number", "event_type", "user_id")
+
+
+@query("ordered_within_range", f"SELECT {_LO} AS range_lo, o_orderkey AS block_number, row_number() OVER (PARTITION BY {_LO} ORDER BY o_orderkey)::INTEGER AS place FROM orders WHERE o_orderkey < {END}")
+def ordered_within_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranged(order_blocks(spark, sf_dir)).select("range_lo", "block_number", F.row_number().over(Window.partitionBy("range_lo").orderBy("block_number")).alias("place"))
+
+
+@query("flush_batches", f"SELECT {_LO} AS range_lo, ((row_number() OVER (PARTITION BY {_LO} ORDER BY o_orderkey) - 1) // {ROW_GROUP})::INTEGER AS row_group, o_orderkey AS block_number FROM orders WHERE o_orderkey < {END}")
+def flush_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    place = F.row_number().over(Window.partitionBy("range_lo").orderBy("block_number")) - 1
+    return ranged(order_blocks(spark, sf_dir)).select("range_lo", F.floor(place / ROW_GROUP).cast("int").alias("row_group"), "block_number")
+
+
+@query("cursor_resume", f"SELECT o_orderkey AS block_number, o_custkey FROM orders WHERE o_orderkey > {CURSOR} AND o_orderkey < {END}")
+def cursor_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return after_cursor(order_blocks(spark, sf_dir), CURSOR).select("block_number", "o_custkey")
+
+
+@query("reattach_parent", f"SELECT o_orderkey AS block_number, o_orderstatus, {_LINE} FROM lineitem JOIN orders ON l_orderkey = o_orderkey")
+def reattach_parent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    exploded = explode_table(nested_orders(spark, sf_dir), "lines", "block_number").drop("ordinal")
+    return exploded.join(order_blocks(spark, sf_dir, 0, None).select("block_number", "o_orderstatus"), "block_number").select("block_number", "o_orderstatus", *LINE)
+
+
+@query("file_write_read", f"SELECT {_LO} AS range_lo, count(*) AS n_rows, min(o_orderkey) AS first_block, max(o_orderkey) AS last_block FROM orders WHERE o_orderkey < {END} GROUP BY 1")
+def file_write_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders through the sink: range files are written to the shared folder, and read back by their names."""
+    from rangelake.functions.scratch import scratch_folder
+    from rangelake.options import Options
+    from rangelake.plans import sink
+    from rangelake.sources.store import Store
+
+    folder = scratch_folder(spark)
+    options = Options(start_block=START, stop_block=END, partition_size=SIZE, fill_gaps="none")
+    sink.write_tables({"": order_blocks(spark, sf_dir).select("block_number", "o_custkey")}, Store(spark, folder), options, "batch-0")
+    back = spark.read.schema("block_number long, o_custkey long").parquet(f"{folder}/*.parquet")
+    lo = F.regexp_extract(F.col("_metadata.file_name"), r"^(\d+)-", 1).cast("long")
+    return back.groupBy(lo.alias("range_lo")).agg(F.count("*").alias("n_rows"), F.min("block_number").alias("first_block"), F.max("block_number").alias("last_block"))
+
+
+@query("decode_payloads", "SELECT o_orderkey AS block_number, nullif(o_custkey, 0) AS custkey, nullif(o_orderstatus, '') AS status, CASE o_orderstatus WHEN 'O' THEN 1 WHEN 'F' THEN 2 WHEN 'P' THEN 3 END AS state FROM orders")
+def decode_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders encoded as protobuf messages, and decoded by their descriptor."""
+    from rangelake.operators.decode import decode
+    from rangelake.plans.order_message import MESSAGE, descriptor_set, encode_orders
+
+    blocks = encode_orders(table(spark, sf_dir, "orders"), STATUS)
+    return decode(blocks, descriptor_set(), MESSAGE)
