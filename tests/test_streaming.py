@@ -31,7 +31,7 @@ def run(spark, source, out, options):
 
 def values(spark, out, table=""):
     found = glob.glob(f"{out}/{table}/*.parquet" if table else f"{out}/*.parquet")
-    return sorted(tuple(r) for r in spark.read.parquet(*found).select("n").collect()) if found else []
+    return sorted((tuple(r) for r in spark.read.parquet(*found).select("n").collect()), key=lambda r: (r[0] is None, r[0])) if found else []
 
 
 FORK = [data(1, 100, root(n=1), "a"), data(2, 101, root(n=2), "b"), data(3, 102, root(n=3), "c"), undo(4, 100), data(5, 101, root(n=20), "b2"), data(6, 102, root(n=30), "c2")]
