@@ -15,8 +15,10 @@ import numpy as np
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-#: Words that the newer half of a cache holds before it becomes the older half, and the longest word that it holds.
-WORDS, LONGEST = 400_000, 48
+#: Words that a cache holds before it is cut down to those of the last texts.
+WORDS = 1_000_000
+#: Bytes of text to encode at once: the more, the fewer words are looked up.
+AT_ONCE = 8 << 20
 #: End of a document.
 END = np.zeros(1, dtype="<u4").tobytes()
 
@@ -24,20 +26,48 @@ _DOUBLE_SPACE = re.compile(r"\s\s")
 _WORD_EDGE = re.compile(r"(?<=\S) (?=\S)")
 _PLAIN = re.compile(r"[^\s\x01]+").fullmatch
 #: Letters and one mark behind them, which both vocabularies always part, and whose ids don't depend on each other.
-_MARKED = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([.,;:!?])").fullmatch
+_LETTERS = r"[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+"
+_MARKED = re.compile(f"({_LETTERS})([.,;:!?])").fullmatch
+_LETTERS_ONLY = re.compile(_LETTERS).fullmatch
+#: How the vocabularies' model takes a word of letters alone behind a space: what stands before it, and whether in lower case.
+_FORMS = (("\u0120", False), ("", True))
 #: What may stand between words that are encoded as one text: white space that stays a token, or a character of its own.
 _BETWEEN = ("\n", " \x01")
 
 
+def _byte_letters() -> dict[int, str]:
+    """The characters that byte-level vocabularies write bytes as: printable ones as they are, others from 256 on."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+
+
+_BYTE_LETTERS = _byte_letters()
+
+
+class _Numbers(dict):
+    """Numbers words in order; ``new`` are those numbered since it was emptied."""
+
+    def __init__(self, *args) -> None:
+        super().__init__(*args)
+        self.new: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        self.new.append(word)
+        self[word] = n = len(self)
+        return n
+
+
 class Encoder:
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.newer: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.number = _Numbers()
+        self.ids: list[bytes] = []
         self.marks = {m: np.array(self._ids(m), dtype="<u4").tobytes() for m in ".,;:!?"}
+        self.form = next((f for f in _FORMS if all(self._model([w], f)[0] == self._library([f" {w}"])[0] for w in ("Hello", "t\u00e9l\u00e9", "a", "Stra\u00dfe"))), None)
         self.between, self.mark = None, -1
         word, other = self._ids(" a"), self._ids(" b")
         for between in _BETWEEN:
@@ -52,12 +82,23 @@ class Encoder:
     def _library(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _model(self, words: list[str], form: tuple[str, bool]) -> list[bytes]:
+        """Words of letters alone, straight through the tokenizer's model: they are one piece."""
+        before, lower = form
+        tokenize = self.tokenizer.model.tokenize
+        out = []
+        for w in words:
+            raw = (w.lower() if lower else w).encode().decode("latin-1").translate(_BYTE_LETTERS)
+            out.append(np.array([t.id for t in tokenize(before + raw)], dtype="<u4").tobytes())
+        return out
+
     def _words(self, words: list[str]) -> dict[str, bytes]:
-        """Each word's ids behind a space. Plain words are joined, a thousand a text, and told apart by the mark between."""
-        plain = [w for w in words if _PLAIN(w)] if self.between else []
-        out: dict[str, bytes] = {}
-        for lo in range(0, len(plain), 1000):
-            own = plain[lo : lo + 1000]
+        """Each word's ids behind a space. Other plain words are joined, some a text, and told apart by the mark between."""
+        letters = [w for w in words if _LETTERS_ONLY(w)] if self.form else []
+        out: dict[str, bytes] = dict(zip(letters, self._model(letters, self.form), strict=True)) if letters else {}
+        plain = [w for w in words if w not in out and _PLAIN(w)] if self.between else []
+        for lo in range(0, len(plain), 64):
+            own = plain[lo : lo + 64]
             ids = np.array(self.tokenizer.encode_batch_fast([self.between.join([f" {w}" for w in own])], add_special_tokens=False)[0].ids, dtype="<u4")
             ends = np.append(np.flatnonzero(ids == self.mark), len(ids))
             if len(ends) == len(own):  # else a word has the mark inside
@@ -69,38 +110,40 @@ class Encoder:
         out.update(zip(rest, self._library([f" {w}" for w in rest]), strict=True))
         return out
 
-    def lookup(self, words: set[str]) -> dict[str, bytes]:
-        """Ids of each of these words behind a space. Words that come again stay in the cache."""
-        newer, older, found, new = self.newer, self.older, {}, []
-        marked = [m for m in map(_MARKED, words) if m]
-        words = words.difference([m[0] for m in marked]).union([m[1] for m in marked])
-        for w in words:
-            ids = newer.get(w)
-            if ids is None:
-                ids = older.get(w)
-                if ids is None:
-                    new.append(w)
-                    continue
-                newer[w] = ids
-            found[w] = ids
-        for w, ids in self._words(new).items():
-            found[w] = ids
-            if len(w) <= LONGEST:
-                newer[w] = ids
-        for m in marked:
-            found[m[0]] = found[m[1]] + self.marks[m[2]]
-        if len(newer) > WORDS:
-            self.older, self.newer = newer, {}
-        return found
+    def _learn(self) -> None:
+        """Ids of the words that were numbered since the last time."""
+        new = self.number.new
+        if not new:
+            return
+        self.number.new = []
+        marked = {w: m for w, m in zip(new, map(_MARKED, new), strict=True) if m}
+        stems = {m[1] for m in marked.values()}
+        known = {w: self.ids[self.number[w]] for w in stems if w in self.number and self.number[w] < len(self.ids)}
+        fresh = self._words(list(stems.union(w for w in new if w not in marked).difference(known)))
+        known.update(fresh)
+        for w in new:
+            m = marked.get(w)
+            self.ids.append(known[m[1]] + self.marks[m[2]] if m else known[w])
+
+    def encode_words(self, texts: list[list[str]]) -> list[bytes]:
+        """Ids of the words of each text, each behind a space; little-endian unsigned 32-bit integers."""
+        numbers = [list(map(self.number.__getitem__, words)) for words in texts]
+        self._learn()
+        ids = self.ids.__getitem__
+        out = [b"".join(map(ids, n)) for n in numbers]
+        if len(self.ids) > WORDS:
+            last = {w for words in texts for w in words}
+            kept = {w: self.ids[self.number[w]] for w in last}
+            self.number, self.ids = _Numbers((w, i) for i, w in enumerate(kept)), list(kept.values())
+        return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as little-endian unsigned 32-bit integers."""
+        """Ids of each text."""
         cut = [_WORD_EDGE.split(t) if _DOUBLE_SPACE.search(t) else t.split(" ") for t in texts]
         firsts = self._library([words[0] for words in cut])
         for words in cut:
             del words[0]
-        ids = self.lookup(set().union(*cut)).__getitem__
-        return [first + b"".join(map(ids, words)) for first, words in zip(firsts, cut, strict=True)]
+        return [first + rest for first, rest in zip(firsts, self.encode_words(cut), strict=True)]
 
 
 @cache

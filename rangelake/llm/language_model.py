@@ -65,9 +65,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _ids_of(words: list[bytes], vocabulary: str) -> list[bytes]:
-    text = [w.decode("utf-8", "replace") for w in words]
-    found = encoder(vocabulary).lookup(set(text))
-    return [found[t] for t in text]
+    return encoder(vocabulary).encode_words([[w.decode("utf-8", "replace")] for w in words])
 
 
 def _subwords(batches: Iterator[pa.RecordBatch], vocabulary: str) -> Iterator[pa.RecordBatch]:

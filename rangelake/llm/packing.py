@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rangelake.llm.encoder import END, encoder
+from rangelake.llm.encoder import AT_ONCE, END, encoder
 from rangelake.llm.shared import cut, ids_crc32, steps
 
 VOCABULARY = "word_bpe_49k.json"
@@ -95,7 +95,7 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int,
 def _pieces(batches: Iterator[pa.RecordBatch], vocabulary: str, capacity: int) -> Iterator[pa.RecordBatch]:
     part = TaskContext.get().partitionId()
     met: dict[int, int] = defaultdict(int)
-    for batch in steps(batches):
+    for batch in steps(batches, most=AT_ONCE):
         rows: list[tuple] = []
         texts = [t or "" for t in batch.column("text").to_pylist()]
         for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encoder(vocabulary).encode(texts), strict=True):

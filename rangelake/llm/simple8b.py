@@ -69,13 +69,11 @@ def encode(values: np.ndarray, block: int = BLOCK) -> bytes:
     escaped = values[begin] >= LARGE
     place = np.cumsum(1 + escaped) - 1 - escaped
     words = np.zeros(int(len(begin) + escaped.sum()), dtype="<u8")
-    for s in range(16):
-        own = np.flatnonzero((chosen == s) & ~escaped)
-        if len(own):
-            packed = np.full(len(own), np.uint64(s) << np.uint64(60), dtype="<u8")
-            for j in range(int(COUNTS[s]) if BITS[s] else 0):
-                packed |= values[begin[own] + j] << np.uint64(j * BITS[s])
-            words[place[own]] = packed
+    if n:
+        word = np.cumsum(starts) - 1
+        shift = (index - begin[word]) * BITS[chosen][word]
+        packed = np.bitwise_or.reduceat(values << shift.astype(np.uint64), begin)
+        words[place] = packed | chosen.astype(np.uint64) << np.uint64(60)
     words[place[escaped]] = ESCAPE
     words[place[escaped] + 1] = values[begin[escaped]]
     offsets = place[np.searchsorted(begin, index[::block])].astype("<u8")

@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 from pyspark.sql import Window
 
 from rangelake.llm import simple8b
-from rangelake.llm.encoder import END, encoder
+from rangelake.llm.encoder import AT_ONCE, END, encoder
 from rangelake.llm.shared import ids_crc32, shared_folder, steps
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -54,7 +54,7 @@ def _segments(batches: Iterator[pa.RecordBatch], vocabulary: str) -> Iterator[pa
         kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary()]
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], SCHEMA.names)
 
-    for batch in steps(batches):
+    for batch in steps(batches, most=AT_ONCE):
         texts = [t or "" for t in batch.column("text").to_pylist()]
         for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encoder(vocabulary).encode(texts), strict=True):
             held.append((doc_id, ids + END))
