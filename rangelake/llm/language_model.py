@@ -2,7 +2,7 @@
 
 Tokens of the base are words (ASCII letters in lower case, cut at white space) and one end a text. They are counted over
 all training documents. Of the counts, the at most HEAD most frequent words are broadcast and scored where texts are
-read; the rest, none of which is hot, is joined by word.
+read, as is the end; the rest, none of which is hot, is joined by word.
 
 The model reads the subword ids of the same words. The ids' counts over all training documents choose its slots (the
 most frequent ids, one slot for the others, one for the end) and are mixed in with a share of SHARE, so no token has
@@ -85,7 +85,7 @@ class Scorer:
     """What is broadcast: head words, sums, slots and the network; bounded by HEAD and the vocabulary."""
 
     def __init__(self, head: dict[bytes, int], n: int, distinct: int, subwords: dict[int, int], ends: int, vocabulary: str) -> None:
-        self.n, self.distinct, self.vocabulary = n, distinct, vocabulary
+        self.n, self.distinct, self.ends, self.vocabulary = n, distinct, ends, vocabulary
         self.head = {w: (self.base(c), c > 0) for w, c in head.items()}
         counts = np.zeros(VOCABULARY_SIZE)
         counts[list(subwords)] = list(subwords.values())
@@ -152,7 +152,7 @@ def learn(rows: DataFrame, folder: str, vocabulary: str = VOCABULARY, head: int
 
 
 def _score(batches: Iterator[pa.RecordBatch], scorer: Scorer) -> Iterator[pa.RecordBatch]:
-    end_score, end_known = scorer.head.get(b"", (scorer.base(0), False))
+    end_score, end_known = scorer.base(scorer.ends), scorer.ends > 0
     for batch in steps(batches):
         words = words_of(batch)
         distinct = {w: k for k, w in enumerate(set().union(*words))}
