@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 import zlib
 from collections.abc import Iterator
 
@@ -12,27 +10,15 @@ import pyarrow.compute  # noqa: F401  binds pa.compute
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rangelake.functions.scratch import scratch_folder
+
 #: Bytes of text that one vectorised step works on; a single longer text is taken alone.
 STEP_BYTES = 4 << 20
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A new folder below spark.checkpoint.dir, which all executors share; removed when the JVM ends.
-
-    Where the setting is absent a temporary folder is used, on a local master only.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = f"file://{tempfile.gettempdir()}/rangelake-shared"
-    path = f"{base.rstrip('/')}/rangelake-{uuid.uuid4().hex}"
-    jvm = spark.sparkContext._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    fs = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    fs.mkdirs(where)
-    fs.deleteOnExit(where)
-    return path
+    """A new folder below spark.checkpoint.dir, which all executors share; removed when the JVM ends."""
+    return scratch_folder(spark)
 
 
 def cut(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
