@@ -8,10 +8,10 @@ from __future__ import annotations
 
 import numpy as np
 
-WIDE = 32
+WIDE = 24
 SLOTS = WIDE * WIDE
 #: Width of the model and of its inner layer, heads; tokens of a window; how far windows are apart.
-D, INNER, HEADS, WINDOW, STRIDE = 32, 32, 1, 32, 26
+D, INNER, HEADS, WINDOW, STRIDE = 24, 24, 1, 32, 28
 #: Scores are cut here, so that no exponential overflows.
 MOST = np.float32(60)
 
@@ -61,17 +61,24 @@ class Model:
         """Natural log of the probability of slots y after states h (m, D)."""
         p = self.p
         c, inner = y // WIDE, y % WIDE
-        z = np.minimum(h @ p["wc"] + p["bc"], MOST)
-        out = z[np.arange(len(y)), c] - np.log(np.exp(z).sum(axis=1))
+        out = self._inner(h @ p["wc"], p["bc"], c)
         order = np.argsort(c, kind="stable")
         bounds = np.searchsorted(c[order], np.arange(WIDE + 1))
         for k in range(WIDE):
             own = order[bounds[k] : bounds[k + 1]]
             if len(own):
-                z = np.minimum(h[own] @ p["wi"][k] + p["bi"][k], MOST)
-                out[own] += z[np.arange(len(own)), inner[own]] - np.log(np.exp(z).sum(axis=1))
+                out[own] += self._inner(h[own] @ p["wi"][k], p["bi"][k], inner[own])
         return out
 
+    @staticmethod
+    def _inner(z: np.ndarray, bias: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+        """Log of the softmax of z + bias (z is used up) at each row's chosen column."""
+        z += bias
+        np.minimum(z, MOST, out=z)
+        at = z[np.arange(len(z)), chosen]
+        np.exp(z, out=z)
+        return at - np.log(z.sum(axis=1))
+
     def gradients(self, x: np.ndarray, y: np.ndarray, valid: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
         """Mean negative log probability over the valid places, and its gradients."""
         p, n = self.p, len(x)
@@ -176,7 +183,7 @@ class Model:
         flat += p["b2"]
         return h
 
-    def score(self, y: np.ndarray, lengths: np.ndarray, prior: np.ndarray, share: float, at_once: int = 128) -> np.ndarray:
+    def score(self, y: np.ndarray, lengths: np.ndarray, prior: np.ndarray, share: float, at_once: int = 96) -> np.ndarray:
         """Natural log probability of each token of texts that stand one behind the other, slots ``y``.
 
         The model's probability is mixed with ``prior`` (of each slot), whose share is ``share``.

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import re
+from collections.abc import Iterable
 from functools import cache
 
 import numpy as np
@@ -16,7 +17,7 @@ import numpy as np
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 #: Words that a cache holds before it is cut down to those of the last texts.
-WORDS = 1_000_000
+WORDS = 600_000
 #: Bytes of text to encode at once: the more, the fewer words are looked up.
 AT_ONCE = 8 << 20
 #: End of a document.
@@ -125,17 +126,28 @@ class Encoder:
             m = marked.get(w)
             self.ids.append(known[m[1]] + self.marks[m[2]] if m else known[w])
 
+    def ids_of(self, words: list[str]) -> list[bytes]:
+        """Each word's ids, behind a space."""
+        numbers = list(map(self.number.__getitem__, words))
+        self._learn()
+        out = list(map(self.ids.__getitem__, numbers))
+        self._forget(words)
+        return out
+
     def encode_words(self, texts: list[list[str]]) -> list[bytes]:
         """Ids of the words of each text, each behind a space; little-endian unsigned 32-bit integers."""
         numbers = [list(map(self.number.__getitem__, words)) for words in texts]
         self._learn()
         ids = self.ids.__getitem__
         out = [b"".join(map(ids, n)) for n in numbers]
+        self._forget(w for words in texts for w in words)
+        return out
+
+    def _forget(self, last: Iterable[str]) -> None:
+        """Cuts a full cache down to the last words."""
         if len(self.ids) > WORDS:
-            last = {w for words in texts for w in words}
-            kept = {w: self.ids[self.number[w]] for w in last}
+            kept = {w: self.ids[self.number[w]] for w in set(last)}
             self.number, self.ids = _Numbers((w, i) for i, w in enumerate(kept)), list(kept.values())
-        return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text."""

@@ -16,63 +16,72 @@ counts are 0 and the model stays as it was drawn. Other columns are ignored.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rangelake.llm.attention import SLOTS, Model
 from rangelake.llm.encoder import encoder
-from rangelake.llm.shared import cut, in_fold, shared_folder, steps
+from rangelake.llm.shared import STEP_BYTES, cut, in_fold, shared_folder, steps
 
 VOCABULARY, VOCABULARY_SIZE = "byte_bpe_50k.json", 50_257
 FOLDS, HELD_OUT = 10, 0
-HEAD, SAMPLE, LONGEST, STEPS, SHARE = 200_000, 600, 20_000, 1200, 0.05
+HEAD, SAMPLE, LONGEST, STEPS, SHARE = 200_000, 600, 20_000, 1000, 0.05
 #: Words that a counting task holds before it passes them on.
 HELD = 400_000
 END, OTHER = 0, 1
 
 
-def words_of(batch: pa.RecordBatch) -> list[list[bytes]]:
-    """Words of each text; bytes.lower and bytes.split know ASCII only, as asked for."""
-    return [t.lower().split() if t else [] for t in batch.column("text").cast(pa.binary()).to_pylist()]
+def split(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """Words of texts one behind the other as places in the array of distinct words, and how many each text has.
+
+    Arrow's ASCII functions lower A to Z alone, and cut at space and tab to carriage return alone, as asked for.
+    """
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts.fill_null("")))
+    flat, each = lists.flatten(), np.asarray(pc.list_value_length(lists), dtype=np.int64)
+    there = pc.not_equal(flat, "")  # white space at an end leaves an empty piece
+    words = flat.filter(there).dictionary_encode()
+    text = np.repeat(np.arange(len(each)), each)[np.asarray(there)]
+    return np.asarray(words.indices, dtype=np.int64), np.bincount(text, minlength=len(each)), words.dictionary
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(word, in training documents, in all documents); the end is the empty word."""
-    train: Counter = Counter()
-    other: Counter = Counter()
+    held: list[pa.Table] = []
+    size = 0
 
-    def out() -> pa.RecordBatch:
-        words = list(train.keys() | other.keys())
-        n = [train[w] for w in words]
-        every = [a + other[w] for a, w in zip(n, words, strict=True)]
-        return pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), pa.array(n, pa.int64()), pa.array(every, pa.int64())], ["word", "n", "n_all"])
+    def out() -> Iterator[pa.RecordBatch]:
+        total = pa.concat_tables(held).group_by("word").aggregate([("n", "sum"), ("n_all", "sum")])
+        yield from total.select(["word", "n_sum", "n_all_sum"]).rename_columns(["word", "n", "n_all"]).to_batches()
 
-    for batch in steps(batches):
-        for words, held_out in zip(words_of(batch), batch.column("held_out").to_pylist(), strict=True):
-            into = other if held_out else train
-            into.update(words)
-            into[b""] += 1
-        if len(train) + len(other) > HELD:
-            yield out()
-            train.clear()
-            other.clear()
-    yield out()
+    for batch in steps(batches, most=4 * STEP_BYTES):
+        place, lengths, words = split(batch.column("text"))
+        train = ~np.asarray(batch.column("held_out"), dtype=bool)
+        n_all = np.append(np.bincount(place, minlength=len(words)), len(lengths))
+        n = np.append(np.bincount(place[np.repeat(train, lengths)], minlength=len(words)), train.sum())
+        names = pa.concat_arrays([words, pa.array([""], words.type)]).cast(pa.binary())
+        held.append(pa.table([names, pa.array(n, pa.int64()), pa.array(n_all, pa.int64())], ["word", "n", "n_all"]))
+        size += len(names)
+        if size > HELD:
+            yield from out()
+            held, size = [], 0
+    if held:
+        yield from out()
 
 
-def _ids_of(words: list[bytes], vocabulary: str) -> list[bytes]:
-    return encoder(vocabulary).encode_words([[w.decode("utf-8", "replace")] for w in words])
+def _ids_of(words: list[str], vocabulary: str) -> list[bytes]:
+    return encoder(vocabulary).ids_of(words)
 
 
 def _subwords(batches: Iterator[pa.RecordBatch], vocabulary: str) -> Iterator[pa.RecordBatch]:
     """Counts of subword ids, from counts of words."""
     total = np.zeros(VOCABULARY_SIZE)
     for batch in batches:
-        words, n = batch.column("word").to_pylist(), np.asarray(batch.column("n"))
+        words, n = batch.column("word").cast(pa.string()).to_pylist(), np.asarray(batch.column("n"))
         for lo in range(0, len(words), 50_000):
             ids = _ids_of(words[lo : lo + 50_000], vocabulary)
             each = np.array([len(i) // 4 for i in ids])
@@ -91,12 +100,13 @@ class Scorer:
         counts[list(subwords)] = list(subwords.values())
         top = np.argsort(-counts, kind="stable")[: SLOTS - 2]
         top = top[counts[top] > 0]
-        self.slot = np.full(VOCABULARY_SIZE, OTHER, dtype=np.int32)
+        self.slot = np.full(VOCABULARY_SIZE + 1, OTHER, dtype=np.int32)  # behind the ids: the end
         self.slot[top] = np.arange(2, len(top) + 2)
         rest = counts + 1.0
         rest[top] = 0
-        self.inside = np.where(self.slot == OTHER, np.log(np.maximum(rest, 1e-300) / max(rest.sum(), 1.0)), 0.0)  # of an id in slot OTHER
-        prior = np.bincount(self.slot, weights=counts, minlength=SLOTS) + 0.5
+        self.inside = np.where(self.slot[:-1] == OTHER, np.log(np.maximum(rest, 1e-300) / max(rest.sum(), 1.0)), 0.0)  # of an id in slot OTHER
+        self.slot[-1], self.inside = END, np.append(self.inside, 0.0)
+        prior = np.bincount(self.slot[:-1], weights=counts, minlength=SLOTS) + 0.5
         prior[END] += ends
         self.prior = prior / prior.sum()
         self.model = Model()
@@ -104,22 +114,25 @@ class Scorer:
     def base(self, c: int) -> float:
         return float(np.log10((c + 0.1) / (self.n + 0.1 * (self.distinct + 1))))
 
-    def slots(self, words: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def slots(self, place: np.ndarray, lengths: np.ndarray, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Slots of texts one behind the other, their lengths, and log probabilities inside slot OTHER; ends included."""
-        distinct = list(set().union(*words))
-        ids = dict(zip(distinct, _ids_of(distinct, self.vocabulary), strict=True)).__getitem__
-        # an id that no vocabulary has stands for the end
-        raw = np.frombuffer(b"".join([b"".join(map(ids, w)) + b"\xff\xff\xff\xff" for w in words]), "<u4")
-        end = raw == 0xFFFFFFFF
-        raw = np.where(end, 0, raw).astype(np.int64)
-        lengths = np.diff(np.append(-1, np.flatnonzero(end)))
-        return np.where(end, END, self.slot[raw]), lengths, np.where(end, 0.0, self.inside[raw])
-
-    def score(self, words: list[list[bytes]]) -> np.ndarray:
+        each = _ids_of(words.to_pylist(), self.vocabulary)
+        each.append(np.array([VOCABULARY_SIZE], dtype="<u4").tobytes())  # the end, as the last word
+        ids = np.frombuffer(b"".join(each), "<u4")
+        n = np.array([len(i) // 4 for i in each])
+        begin = np.cumsum(n) - n
+        place = np.insert(place, np.cumsum(lengths), len(n) - 1)
+        of_word = n[place]
+        until = np.cumsum(of_word)
+        raw = ids[np.arange(until[-1] if len(until) else 0) + np.repeat(begin[place] - (until - of_word), of_word)]
+        tokens = np.diff(np.append(0, until[np.cumsum(lengths + 1) - 1]))
+        return self.slot[raw], tokens, self.inside[raw]
+
+    def score(self, place: np.ndarray, lengths: np.ndarray, words: pa.Array) -> np.ndarray:
         """log10 probability of each text."""
-        y, lengths, inside = self.slots(words)
-        each = self.model.score(y, lengths, self.prior, SHARE) + inside
-        return np.add.reduceat(each, np.cumsum(lengths) - lengths) / np.log(10)
+        y, tokens, inside = self.slots(place, lengths, words)
+        each = self.model.score(y, tokens, self.prior, SHARE) + inside
+        return np.add.reduceat(each, np.cumsum(tokens) - tokens) / np.log(10)
 
 
 def learn(rows: DataFrame, folder: str, vocabulary: str = VOCABULARY, head: int = HEAD, sample: int = SAMPLE, steps_: int = STEPS) -> tuple[Scorer, DataFrame, int]:
@@ -144,33 +157,31 @@ def learn(rows: DataFrame, folder: str, vocabulary: str = VOCABULARY, head: int
     draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)) / float(1 << 40)
     texts = rows.filter(~F.col("held_out") & F.col("text").isNotNull() & (F.length("text") <= LONGEST) & (draw < min(1.0, 2 * sample / total))).select("text", draw.alias("draw")).collect()
     texts = sorted({r["text"]: r["draw"] for r in texts}.items(), key=lambda x: (x[1], x[0]))[:sample]
-    words = [t.encode().lower().split() for t, _ in texts]
-    if words:
-        y, lengths, _ = scorer.slots(words)
-        scorer.model.fit(np.split(y, np.cumsum(lengths)[:-1]), steps_)
+    if texts:
+        y, tokens, _ = scorer.slots(*split(pa.array([t for t, _ in texts], pa.string())))
+        scorer.model.fit(np.split(y, np.cumsum(tokens)[:-1]), steps_)
     return scorer, counts, least if least is not None else 1 << 30
 
 
 def _score(batches: Iterator[pa.RecordBatch], scorer: Scorer) -> Iterator[pa.RecordBatch]:
     end_score, end_known = scorer.base(scorer.ends), scorer.ends > 0
-    for batch in steps(batches):
-        words = words_of(batch)
-        distinct = {w: k for k, w in enumerate(set().union(*words))}
-        names = list(distinct)
-        looked = [scorer.head.get(w) for w in names]
+    for batch in steps(batches, most=STEP_BYTES // 2):
+        place, lengths, words = split(batch.column("text"))
+        names = words.cast(pa.binary())
+        looked = [scorer.head.get(w) for w in names.to_pylist()]
         base = np.array([x[0] if x else 0.0 for x in looked])
-        known = np.array([bool(x and x[1]) for x in looked], dtype=np.int64)
+        known = np.array([bool(x and x[1]) for x in looked], dtype=bool)
         rare = np.array([x is None for x in looked], dtype=bool)
-        sums, knowns, rares = [], [], []
-        for own in words:
-            k = np.fromiter(map(distinct.__getitem__, own), dtype=np.int64, count=len(own))
-            sums.append(float(base[k].sum()) + end_score if len(k) else end_score)
-            knowns.append(int(known[k].sum()) + end_known if len(k) else int(end_known))
-            at, n = np.unique(k[rare[k]], return_counts=True) if len(k) else (k, k)
-            rares.append([{"word": names[i], "tf": c} for i, c in zip(at.tolist(), n.tolist(), strict=True)])
-        scores = scorer.score(words)
-        kind = pa.list_(pa.struct([("word", pa.binary()), ("tf", pa.int64())]))
-        columns = [batch.column("row"), batch.column("doc_id"), batch.column("held_out"), pa.array([len(w) + 1 for w in words], pa.int64()), pa.array(knowns, pa.int64()), pa.array(sums, pa.float64()), pa.array(scores, pa.float64()), pa.array(rares, kind)]
+        text = np.repeat(np.arange(len(lengths)), lengths)
+        sums = np.bincount(text, weights=base[place], minlength=len(lengths)) + end_score
+        knowns = np.bincount(text[known[place]], minlength=len(lengths)) + int(end_known)
+        own = np.flatnonzero(rare[place])
+        pairs, tf = np.unique(text[own] * max(1, len(words)) + place[own], return_counts=True)
+        of, word = np.divmod(pairs, max(1, len(words)))
+        items = pa.StructArray.from_arrays([names.take(pa.array(word)), pa.array(tf, pa.int64())], ["word", "tf"])
+        rares = pa.ListArray.from_arrays(pa.array(np.searchsorted(of, np.arange(len(lengths) + 1)), pa.int32()), items)
+        scores = scorer.score(place, lengths, words)
+        columns = [batch.column("row"), batch.column("doc_id"), batch.column("held_out"), pa.array(lengths + 1, pa.int64()), pa.array(knowns, pa.int64()), pa.array(sums, pa.float64()), pa.array(scores, pa.float64()), rares]
         yield pa.RecordBatch.from_arrays(columns, ["row", "doc_id", "held_out", "n_tokens", "n_known", "base_score", "score", "rare"])
 
 
