@@ -6,7 +6,7 @@ read, as is the end; the rest, none of which is hot, is joined by word.
 
 The model reads the subword ids of the same words. The ids' counts over all training documents choose its slots (the
 most frequent ids, one slot for the others, one for the end) and are mixed in with a share of SHARE, so no token has
-probability 0. The network itself is trained in numpy on the driver, on a bounded sample of SAMPLE training documents of
+probability 0. The network itself is trained in numpy by one task, on a bounded sample of SAMPLE training documents of
 at most LONGEST characters. Windows overlap; each token is scored once, many windows in one masked attention.
 
 Defined cases: null and empty texts have the end token alone. A null doc_id counts as the empty text in the fold and
@@ -16,12 +16,13 @@ counts are 0 and the model stays as it was drawn. Other columns are ignored.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rangelake.llm.attention import SLOTS, Model
@@ -30,7 +31,7 @@ from rangelake.llm.shared import STEP_BYTES, cut, in_fold, shared_folder, steps
 
 VOCABULARY, VOCABULARY_SIZE = "byte_bpe_50k.json", 50_257
 FOLDS, HELD_OUT = 10, 0
-HEAD, SAMPLE, LONGEST, STEPS, SHARE = 200_000, 600, 20_000, 1000, 0.05
+HEAD, SAMPLE, LONGEST, STEPS, SHARE = 200_000, 1500, 20_000, 2500, 0.05
 #: Words that a counting task holds before it passes them on.
 HELD = 400_000
 END, OTHER = 0, 1
@@ -135,6 +136,18 @@ class Scorer:
         return np.add.reduceat(each, np.cumsum(tokens) - tokens) / np.log(10)
 
 
+def _fitted(spark: SparkSession, model: Model, texts: list[np.ndarray], steps_: int) -> dict[str, np.ndarray]:
+    """The fitted parameters. A task fits them, where numpy has one thread, which suits small matrices best."""
+    shared = spark.sparkContext.broadcast((model, texts))
+
+    def fit(_: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, given = shared.value
+        own.fit(given, steps_)
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(own.p)], pa.binary())], ["p"])
+
+    return pickle.loads(spark.range(0, 1, 1, 1).mapInArrow(fit, "p binary").first()["p"])
+
+
 def learn(rows: DataFrame, folder: str, vocabulary: str = VOCABULARY, head: int = HEAD, sample: int = SAMPLE, steps_: int = STEPS) -> tuple[Scorer, DataFrame, int]:
     """The scorer, the table of counts (word, n, n_all), and from which n_all on words are in the head."""
     counts = rows.mapInArrow(_count, "word binary, n long, n_all long").groupBy("word").agg(F.sum("n").alias("n"), F.sum("n_all").alias("n_all"))
@@ -159,7 +172,7 @@ def learn(rows: DataFrame, folder: str, vocabulary: str = VOCABULARY, head: int
     texts = sorted({r["text"]: r["draw"] for r in texts}.items(), key=lambda x: (x[1], x[0]))[:sample]
     if texts:
         y, tokens, _ = scorer.slots(*split(pa.array([t for t, _ in texts], pa.string())))
-        scorer.model.fit(np.split(y, np.cumsum(tokens)[:-1]), steps_)
+        scorer.model.p = _fitted(rows.sparkSession, scorer.model, np.split(y, np.cumsum(tokens)[:-1]), steps_)
     return scorer, counts, least if least is not None else 1 << 30
 
 
