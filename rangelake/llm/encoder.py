@@ -17,7 +17,7 @@ import numpy as np
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 #: Words that a cache holds before it is cut down to those of the last texts.
-WORDS = 600_000
+WORDS = 1_000_000
 #: Bytes of text to encode at once: the more, the fewer words are looked up.
 AT_ONCE = 8 << 20
 #: End of a document.
@@ -60,11 +60,12 @@ class _Numbers(dict):
 
 
 class Encoder:
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, most: int = WORDS) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.most = most
         self.number = _Numbers()
         self.ids: list[bytes] = []
         self.marks = {m: np.array(self._ids(m), dtype="<u4").tobytes() for m in ".,;:!?"}
@@ -145,7 +146,7 @@ class Encoder:
 
     def _forget(self, last: Iterable[str]) -> None:
         """Cuts a full cache down to the last words."""
-        if len(self.ids) > WORDS:
+        if len(self.ids) > self.most:
             kept = {w: self.ids[self.number[w]] for w in set(last)}
             self.number, self.ids = _Numbers((w, i) for i, w in enumerate(kept)), list(kept.values())
 
@@ -159,10 +160,10 @@ class Encoder:
 
 
 @cache
-def encoder(name: str) -> Encoder:
+def encoder(name: str, most: int = WORDS) -> Encoder:
     """The encoder of a vocabulary file: a path, or a name in the public_tokenizers package. One for each process."""
     if "/" not in name:
         import public_tokenizers
 
         name = public_tokenizers.path(name)
-    return Encoder(name)
+    return Encoder(name, most)

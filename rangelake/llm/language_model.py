@@ -35,6 +35,8 @@ HEAD, SAMPLE, LONGEST, STEPS, SHARE = 200_000, 1500, 20_000, 2500, 0.05
 #: Words that a counting task holds before it passes them on.
 HELD = 400_000
 END, OTHER = 0, 1
+#: Words that the encoder's cache holds, beside the head.
+CACHED = 500_000
 
 
 def split(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
@@ -75,7 +77,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _ids_of(words: list[str], vocabulary: str) -> list[bytes]:
-    return encoder(vocabulary).ids_of(words)
+    return encoder(vocabulary, CACHED).ids_of(words)
 
 
 def _subwords(batches: Iterator[pa.RecordBatch], vocabulary: str) -> Iterator[pa.RecordBatch]:

@@ -54,11 +54,10 @@ def encode(values: np.ndarray, block: int = BLOCK) -> bytes:
                 np.maximum(widest[:, :-step], widest[:, step:], out=longer[:, :-step])
             widest, length = longer, length + step
         np.copyto(selector, s, where=widest <= _LEVEL_OF[s])
-    selector = selector.ravel()[:n].astype(np.int64)
-    index = np.arange(n, dtype=np.int64)
-    block_end = np.minimum((index // block + 1) * block, n)
+    selector = selector.ravel()[:n]
     starts = np.zeros(n, dtype=bool)
-    at, ends = index[::block].copy(), block_end[::block].copy()
+    first = np.arange(0, n, block)
+    at, ends = first, np.minimum(first + block, n)
     while len(at):  # all blocks take a word at a time
         starts[at] = True
         at = at + COUNTS[selector[at]]
@@ -70,13 +69,14 @@ def encode(values: np.ndarray, block: int = BLOCK) -> bytes:
     place = np.cumsum(1 + escaped) - 1 - escaped
     words = np.zeros(int(len(begin) + escaped.sum()), dtype="<u8")
     if n:
-        word = np.cumsum(starts) - 1
-        shift = (index - begin[word]) * BITS[chosen][word]
-        packed = np.bitwise_or.reduceat(values << shift.astype(np.uint64), begin)
+        counts = np.diff(np.append(begin, n))
+        inside = np.arange(n, dtype=np.int32) - np.repeat(begin.astype(np.int32), counts)  # below 240
+        shift = inside.astype(np.uint8) * np.repeat(BITS[chosen].astype(np.uint8), counts)
+        packed = np.bitwise_or.reduceat(values << shift, begin)
         words[place] = packed | chosen.astype(np.uint64) << np.uint64(60)
     words[place[escaped]] = ESCAPE
     words[place[escaped] + 1] = values[begin[escaped]]
-    offsets = place[np.searchsorted(begin, index[::block])].astype("<u8")
+    offsets = place[np.searchsorted(begin, first)].astype("<u8")
     return struct.pack(HEADER, MAGIC, block, n, len(words)) + offsets.tobytes() + words.tobytes()
 
 

@@ -158,9 +158,8 @@ def test_encoder_equals_the_library(name):
     assert [np.frombuffer(b, "<u4").tolist() for b in encoder.encoder(name).encode(texts)] == library_ids(name, texts)
 
 
-def test_encoder_forgets_without_harm(monkeypatch):
-    own = encoder.Encoder(encoder.encoder("byte_bpe_50k.json").tokenizer and __import__("public_tokenizers").path("byte_bpe_50k.json"))
-    monkeypatch.setattr(encoder, "WORDS", 10)
+def test_encoder_forgets_without_harm():
+    own = encoder.encoder("byte_bpe_50k.json", 10)
     texts = [prose(i, 30) for i in range(20)]
     for lo in range(0, 20, 5):
         assert [np.frombuffer(b, "<u4").tolist() for b in own.encode(texts[lo : lo + 5])] == library_ids("byte_bpe_50k.json", texts[lo : lo + 5])
