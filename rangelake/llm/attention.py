@@ -29,6 +29,23 @@ def windows(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return text, first, first + np.where(turn > 0, WINDOW - STRIDE, 0)
 
 
+class Adam:
+    """Steps on parameters ``p``, which are changed in place."""
+
+    def __init__(self, p: dict[str, np.ndarray]) -> None:
+        self.p, self.steps = p, 0
+        self.mean, self.square = {k: np.zeros_like(w) for k, w in p.items()}, {k: np.zeros_like(w) for k, w in p.items()}
+
+    def step(self, g: dict[str, np.ndarray], rate: float) -> None:
+        self.steps += 1
+        size = np.sqrt(sum(float((w * w).sum()) for w in g.values()))
+        for name, w in self.p.items():
+            d = g[name] * np.float32(min(1.0, 1.0 / (size + 1e-9)))
+            self.mean[name] += (d - self.mean[name]) * np.float32(0.1)
+            self.square[name] += (d * d - self.square[name]) * np.float32(0.01)
+            w -= np.float32(rate) * (self.mean[name] / np.float32(1 - 0.9**self.steps)) / (np.sqrt(self.square[name] / np.float32(1 - 0.99**self.steps)) + np.float32(1e-8))
+
+
 class Model:
     def __init__(self, seed: int = 0) -> None:
         r = np.random.default_rng(seed)
@@ -139,21 +156,30 @@ class Model:
         ends = np.cumsum(lengths)
         x_all[ends - lengths] = 0
         text, first, _ = windows(lengths)
-        mean, square, losses = {k: np.zeros_like(w) for k, w in self.p.items()}, {k: np.zeros_like(w) for k, w in self.p.items()}, []
+        adam, losses = Adam(self.p), []
         for step in range(1, steps + 1):
             own = r.integers(0, len(first), batch)
             place = first[own, None] + np.arange(WINDOW)
             loss, g = self.gradients(x_all[place], y_all[place], place < ends[text[own], None])
             losses.append(loss)
-            size = np.sqrt(sum(float((w * w).sum()) for w in g.values()))
-            now = rate * min(1, step / 20) * (1 - 0.9 * step / steps)
-            for name, w in self.p.items():
-                d = g[name] * np.float32(min(1.0, 1.0 / (size + 1e-9)))
-                mean[name] += (d - mean[name]) * np.float32(0.1)
-                square[name] += (d * d - square[name]) * np.float32(0.01)
-                w -= np.float32(now) * (mean[name] / np.float32(1 - 0.9**step)) / (np.sqrt(square[name] / np.float32(1 - 0.99**step)) + np.float32(1e-8))
+            adam.step(g, rate * min(1, step / 20) * (1 - 0.9 * step / steps))
         return losses
 
+    def fit_all(self, y: np.ndarray, lengths: np.ndarray, adam: Adam, rate: float, batch: int = 192, seed: int = 0) -> int:
+        """One pass over texts that stand one behind the other: each token is learned from once, in its own window. Gives the tokens."""
+        ends = np.cumsum(lengths)
+        y = np.append(y, np.zeros(WINDOW, y.dtype)).astype(np.int64)
+        x = np.append(0, y[:-1])
+        x[(ends - lengths)[lengths > 0]] = 0
+        text, first, scored = windows(lengths)
+        order = np.random.default_rng(seed).permutation(len(first))
+        for lo in range(0, len(order), batch):
+            own = order[lo : lo + batch]
+            place = first[own, None] + np.arange(WINDOW)
+            _, g = self.gradients(x[place], y[place], (place >= scored[own, None]) & (place < ends[text[own], None]))
+            adam.step(g, rate * len(own) / batch)
+        return int(lengths.sum())
+
     def _tables(self) -> tuple[np.ndarray, np.ndarray]:
         """What a slot and a place add to a token's state, query, key and value, side by side; valid once fitted."""
         if "_kept" not in self.__dict__:

@@ -6,8 +6,10 @@ read, as is the end; the rest, none of which is hot, is joined by word.
 
 The model reads the subword ids of the same words. The ids' counts over all training documents choose its slots (the
 most frequent ids, one slot for the others, one for the end) and are mixed in with a share of SHARE, so no token has
-probability 0. The network itself is trained in numpy by one task, on a bounded sample of SAMPLE training documents of
-at most LONGEST characters. Windows overlap; each token is scored once, many windows in one masked attention.
+probability 0. The network starts from a fit on SAMPLE training documents of at most LONGEST characters, by one task. It
+is then trained by one pass over every token of all training documents, long ones too: in each of ROUNDS rounds all tasks
+go on from the same parameters, each over its own part of a share of the documents, and their parameters are averaged,
+weighted by tokens. So steps grow with the input. Windows overlap; each token is learned from, and scored, once.
 
 Defined cases: null and empty texts have the end token alone. A null doc_id counts as the empty text in the fold and
 stays null. Repeated rows count and are scored each. An empty table gives an empty result; with no training rows all
@@ -25,13 +27,15 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rangelake.llm.attention import SLOTS, Model
+from rangelake.llm.attention import SLOTS, Adam, Model
 from rangelake.llm.encoder import encoder
 from rangelake.llm.shared import STEP_BYTES, cut, in_fold, shared_folder, steps
 
 VOCABULARY, VOCABULARY_SIZE = "byte_bpe_50k.json", 50_257
 FOLDS, HELD_OUT = 10, 0
 HEAD, SAMPLE, LONGEST, STEPS, SHARE = 200_000, 1500, 20_000, 2500, 0.05
+#: Rounds of the pass over all training documents, the rate of the first one, and tasks that add up parameters.
+ROUNDS, RATE, ADDING = 4, 2e-3, 8
 #: Words that a counting task holds before it passes them on.
 HELD = 400_000
 END, OTHER = 0, 1
@@ -150,6 +154,54 @@ def _fitted(spark: SparkSession, model: Model, texts: list[np.ndarray], steps_:
     return pickle.loads(spark.range(0, 1, 1, 1).mapInArrow(fit, "p binary").first()["p"])
 
 
+def _fit_part(batches: Iterator[pa.RecordBatch], scorer: Scorer, rate: float) -> Iterator[pa.RecordBatch]:
+    """(tokens, parameters after this task's texts times tokens); no row from a task without texts."""
+    own = Model()
+    own.p = {k: w.copy() for k, w in scorer.model.p.items()}
+    adam, n = Adam(own.p), 0
+    for seed, batch in enumerate(steps(batches, most=STEP_BYTES // 2)):
+        y, tokens, _ = scorer.slots(*split(batch.column("text")))
+        n += own.fit_all(y, tokens, adam, rate, seed=seed)
+    if n:
+        yield _parameters(n, {k: w.astype(np.float64) * n for k, w in own.p.items()})
+
+
+def _parameters(n: int, p: dict[str, np.ndarray]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([n], pa.int64()), pa.array([pickle.dumps(p)], pa.binary())], ["n", "p"])
+
+
+def _added(parts: Iterator[tuple[int, bytes]]) -> tuple[int, dict[str, np.ndarray]]:
+    n, total = 0, {}
+    for m, p in parts:
+        n += m
+        for k, w in pickle.loads(p).items():
+            total[k] = total[k] + w if k in total else w
+    return n, total
+
+
+def _add_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    n, total = _added((m.as_py(), p.as_py()) for batch in batches for m, p in zip(batch.column("n"), batch.column("p"), strict=True))
+    if n:
+        yield _parameters(n, total)
+
+
+def _pass(rows: DataFrame, scorer: Scorer) -> int:
+    """Trains the scorer's network by one pass over all training rows; gives the tokens, ends included."""
+    turn = F.pmod(F.xxhash64("doc_id", "text"), F.lit(ROUNDS))
+    seen = 0
+    for k in range(ROUNDS):
+        shared = rows.sparkSession.sparkContext.broadcast(scorer)
+        rate = RATE * (1 - 0.9 * k / ROUNDS)
+        own = rows.filter(~F.col("held_out") & (turn == k)).select("text")
+        parts = own.mapInArrow(lambda b, shared=shared, rate=rate: _fit_part(b, shared.value, rate), "n long, p binary")
+        n, total = _added((r["n"], r["p"]) for r in parts.repartition(ADDING).mapInArrow(_add_parts, "n long, p binary").collect())
+        if n:
+            scorer.model.p = {name: (w / n).astype(np.float32) for name, w in total.items()}
+        seen += n
+        shared.unpersist()
+    return seen
+
+
 def learn(rows: DataFrame, folder: str, vocabulary: str = VOCABULARY, head: int = HEAD, sample: int = SAMPLE, steps_: int = STEPS) -> tuple[Scorer, DataFrame, int]:
     """The scorer, the table of counts (word, n, n_all), and from which n_all on words are in the head."""
     counts = rows.mapInArrow(_count, "word binary, n long, n_all long").groupBy("word").agg(F.sum("n").alias("n"), F.sum("n_all").alias("n_all"))
@@ -175,6 +227,7 @@ def learn(rows: DataFrame, folder: str, vocabulary: str = VOCABULARY, head: int
     if texts:
         y, tokens, _ = scorer.slots(*split(pa.array([t for t, _ in texts], pa.string())))
         scorer.model.p = _fitted(rows.sparkSession, scorer.model, np.split(y, np.cumsum(tokens)[:-1]), steps_)
+    _pass(rows, scorer)
     return scorer, counts, least if least is not None else 1 << 30
 
 

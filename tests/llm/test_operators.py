@@ -465,6 +465,21 @@ def test_lm_score_of_nothing(spark, nothing):
     assert language_model.score_documents(nothing, steps_=5).count() == 0
 
 
+def test_network_learns_from_all_training_documents(spark, tmp_path):
+    """Texts over LONGEST, and ones beyond the sample, count as well: each token once."""
+    texts = [" ".join(WORDS[(i + k) % len(WORDS)] for k in range(n)) for i, n in enumerate([6000] * 8 + [50] * 60)]
+    rows = frame(spark, texts).select("doc_id", (F.col("doc_id") % 10 == 9).alias("held_out"), "text")
+    scorer, _, _ = language_model.learn(rows, str(tmp_path / "a"), sample=0, steps_=0)
+    new = language_model.Scorer({}, 1, 1, {}, 1, language_model.VOCABULARY)
+    new.slot, new.inside, new.prior = scorer.slot, scorer.inside, scorer.prior
+    words = language_model.split(language_model.pa.array([prose(77, 5) + " " + texts[3][:4000]]))
+    assert scorer.score(*words)[0] > 0.95 * new.score(*words)[0]  # untrained before: equal
+    scorer.model = attention.Model()
+    own = [t for i, t in enumerate(texts) if i % 10 != 9]
+    _, tokens, _ = scorer.slots(*language_model.split(language_model.pa.array(own)))
+    assert language_model._pass(rows, scorer) == tokens.sum()
+
+
 # 10 secrets
 
 PLAIN = [re.compile(r"""(?:(?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII), re.compile("AKIA[A-Z0-9]+"), re.compile("[0-9a-f]+")]
