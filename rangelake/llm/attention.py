@@ -1,32 +1,33 @@
 """A small causal self-attention language model in numpy: one layer, trained by Adam, with a two-level softmax.
 
-Tokens are slots 0 to SLOTS - 1, slot 0 being the begin and end of a text. A slot's probability is that of its class
-(slot // WIDE) times that of the slot inside its class, so scoring a token takes 2 * WIDE exponentials.
+Tokens are slots 0 to wide ** 2 - 1, slot 0 being the begin and end of a text. A slot's probability is that of its class
+(slot // wide) times that of the slot inside its class, so scoring a token takes 2 * wide exponentials.
 """
 
 from __future__ import annotations
 
 import numpy as np
 
-WIDE = 24
+#: Classes of a model, and slots in a class, if it is given none; a vocabulary has as many as it needs.
+WIDE = 32
 SLOTS = WIDE * WIDE
 #: Width of the model and of its inner layer, heads; tokens of a window; how far windows are apart.
-D, INNER, HEADS, WINDOW, STRIDE = 24, 24, 1, 32, 28
+D, INNER, HEADS, WINDOW, STRIDE = 32, 32, 1, 32, 16
 #: Scores are cut here, so that no exponential overflows.
 MOST = np.float32(60)
 
 
-def windows(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def windows(lengths: np.ndarray, stride: int = STRIDE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of texts that stand one behind the other: each window's text, first place, and first place that it scores.
 
-    Windows overlap by WINDOW - STRIDE tokens, which only the earlier one scores: each place is scored once.
+    Windows overlap by WINDOW - stride tokens, which only the earlier one scores: each place is scored once.
     """
-    counts = np.maximum(1, -(-(lengths - WINDOW) // STRIDE) + 1)
+    counts = np.maximum(1, -(-(lengths - WINDOW) // stride) + 1)
     counts[lengths == 0] = 0
     text = np.repeat(np.arange(len(lengths)), counts)
     turn = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
-    first = (np.cumsum(lengths) - lengths)[text] + turn * STRIDE
-    return text, first, first + np.where(turn > 0, WINDOW - STRIDE, 0)
+    first = (np.cumsum(lengths) - lengths)[text] + turn * stride
+    return text, first, first + np.where(turn > 0, WINDOW - stride, 0)
 
 
 class Adam:
@@ -47,14 +48,15 @@ class Adam:
 
 
 class Model:
-    def __init__(self, seed: int = 0) -> None:
+    def __init__(self, seed: int = 0, wide: int = WIDE) -> None:
+        self.wide = wide
         r = np.random.default_rng(seed)
         normal = lambda *shape, scale: (r.standard_normal(shape) * scale).astype(np.float32)
         root = D**-0.5
         self.p = {
-            "embed": normal(SLOTS, D, scale=0.3), "place": normal(WINDOW, D, scale=0.1), "q": normal(D, D, scale=root), "k": normal(D, D, scale=root), "v": normal(D, D, scale=root), "o": normal(D, D, scale=root / 2),
+            "embed": normal(wide * wide, D, scale=0.3), "place": normal(WINDOW, D, scale=0.1), "q": normal(D, D, scale=root), "k": normal(D, D, scale=root), "v": normal(D, D, scale=root), "o": normal(D, D, scale=root / 2),
             "w1": normal(D, INNER, scale=root), "b1": np.zeros(INNER, np.float32), "w2": normal(INNER, D, scale=INNER**-0.5 / 2), "b2": np.zeros(D, np.float32),
-            "wc": normal(D, WIDE, scale=root / 2), "bc": np.zeros(WIDE, np.float32), "wi": normal(WIDE, D, WIDE, scale=root / 2), "bi": np.zeros((WIDE, WIDE), np.float32),
+            "wc": normal(D, wide, scale=root / 2), "bc": np.zeros(wide, np.float32), "wi": normal(wide, D, wide, scale=root / 2), "bi": np.zeros((wide, wide), np.float32),
         }
         self.mask = np.tril(np.ones((WINDOW, WINDOW), dtype=np.float32))
 
@@ -77,11 +79,11 @@ class Model:
     def log_probabilities(self, h: np.ndarray, y: np.ndarray) -> np.ndarray:
         """Natural log of the probability of slots y after states h (m, D)."""
         p = self.p
-        c, inner = y // WIDE, y % WIDE
+        c, inner = y // self.wide, y % self.wide
         out = self._inner(h @ p["wc"], p["bc"], c)
         order = np.argsort(c, kind="stable")
-        bounds = np.searchsorted(c[order], np.arange(WIDE + 1))
-        for k in range(WIDE):
+        bounds = np.searchsorted(c[order], np.arange(self.wide + 1))
+        for k in range(self.wide):
             own = order[bounds[k] : bounds[k + 1]]
             if len(own):
                 out[own] += self._inner(h[own] @ p["wi"][k], p["bi"][k], inner[own])
@@ -102,7 +104,7 @@ class Model:
         h2, (h0, q, k, v, a, o, h1, r) = self.hidden(x)
         at = np.flatnonzero(valid.ravel())
         h, t = h2.reshape(-1, D)[at], y.ravel()[at]
-        c, inner, m = t // WIDE, t % WIDE, len(at)
+        c, inner, m = t // self.wide, t % self.wide, len(at)
         g = {name: np.zeros_like(w) for name, w in p.items()}
         z = h @ p["wc"] + p["bc"]
         z = np.exp(z - z.max(axis=1, keepdims=True))
@@ -112,7 +114,7 @@ class Model:
         z /= m
         g["wc"], g["bc"] = h.T @ z, z.sum(axis=0)
         dh = z @ p["wc"].T
-        for s in range(WIDE):
+        for s in range(self.wide):
             own = np.flatnonzero(c == s)
             if len(own):
                 z = h[own] @ p["wi"][s] + p["bi"][s]
@@ -140,7 +142,9 @@ class Model:
             dz = dz.transpose(0, 2, 1, 3).reshape(-1, D)
             g[name] = flat(h0).T @ dz
             d0 += dz @ p[name].T
-        np.add.at(g["embed"], x.ravel(), d0)
+        order = np.argsort(x.ravel(), kind="stable")
+        slots, begin = np.unique(x.ravel()[order], return_index=True)
+        g["embed"][slots] = np.add.reduceat(d0[order], begin)
         g["place"] = d0.reshape(n, WINDOW, D).sum(axis=0)
         return float(loss) / m, g
 
@@ -165,18 +169,18 @@ class Model:
             adam.step(g, rate * min(1, step / 20) * (1 - 0.9 * step / steps))
         return losses
 
-    def fit_all(self, y: np.ndarray, lengths: np.ndarray, adam: Adam, rate: float, batch: int = 192, seed: int = 0) -> int:
-        """One pass over texts that stand one behind the other: each token is learned from once, in its own window. Gives the tokens."""
+    def fit_all(self, y: np.ndarray, lengths: np.ndarray, adam: Adam, rate: float, batch: int = 96, seed: int = 0) -> int:
+        """One pass over texts that stand one behind the other, in windows side by side: each token is learned from once. Gives the tokens."""
         ends = np.cumsum(lengths)
         y = np.append(y, np.zeros(WINDOW, y.dtype)).astype(np.int64)
         x = np.append(0, y[:-1])
         x[(ends - lengths)[lengths > 0]] = 0
-        text, first, scored = windows(lengths)
+        text, first, _ = windows(lengths, WINDOW)
         order = np.random.default_rng(seed).permutation(len(first))
         for lo in range(0, len(order), batch):
             own = order[lo : lo + batch]
             place = first[own, None] + np.arange(WINDOW)
-            _, g = self.gradients(x[place], y[place], (place >= scored[own, None]) & (place < ends[text[own], None]))
+            _, g = self.gradients(x[place], y[place], place < ends[text[own], None])
             adam.step(g, rate * len(own) / batch)
         return int(lengths.sum())
 
@@ -209,7 +213,7 @@ class Model:
         flat += p["b2"]
         return h
 
-    def score(self, y: np.ndarray, lengths: np.ndarray, prior: np.ndarray, share: float, at_once: int = 96) -> np.ndarray:
+    def score(self, y: np.ndarray, lengths: np.ndarray, prior: np.ndarray, share: float, at_once: int = 256) -> np.ndarray:
         """Natural log probability of each token of texts that stand one behind the other, slots ``y``.
 
         The model's probability is mixed with ``prior`` (of each slot), whose share is ``share``.

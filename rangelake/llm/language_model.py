@@ -4,9 +4,9 @@ Tokens of the base are words (ASCII letters in lower case, cut at white space) a
 all training documents. Of the counts, the at most HEAD most frequent words are broadcast and scored where texts are
 read, as is the end; the rest, none of which is hot, is joined by word.
 
-The model reads the subword ids of the same words. The ids' counts over all training documents choose its slots (the
-most frequent ids, one slot for the others, one for the end) and are mixed in with a share of SHARE, so no token has
-probability 0. The network starts from a fit on SAMPLE training documents of at most LONGEST characters, by one task. It
+The model reads the subword ids of the same words. Each id that a training document has is a slot of its own, the most
+frequent ones first; one slot is for the ids that none has, one for the end. The ids' counts are mixed in with a share of
+SHARE, so no token has probability 0. The network starts from a fit on SAMPLE training documents of at most LONGEST characters, by one task. It
 is then trained by one pass over every token of all training documents, long ones too: in each of ROUNDS rounds all tasks
 go on from the same parameters, each over its own part of a share of the documents, and their parameters are averaged,
 weighted by tokens. So steps grow with the input. Windows overlap; each token is learned from, and scored, once.
@@ -18,6 +18,7 @@ counts are 0 and the model stays as it was drawn. Other columns are ignored.
 
 from __future__ import annotations
 
+import math
 import pickle
 from collections.abc import Iterator
 
@@ -27,7 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rangelake.llm.attention import SLOTS, Adam, Model
+from rangelake.llm.attention import Adam, Model
 from rangelake.llm.encoder import encoder
 from rangelake.llm.shared import STEP_BYTES, cut, in_fold, shared_folder, steps
 
@@ -105,18 +106,18 @@ class Scorer:
         self.head = {w: (self.base(c), c > 0) for w, c in head.items()}
         counts = np.zeros(VOCABULARY_SIZE)
         counts[list(subwords)] = list(subwords.values())
-        top = np.argsort(-counts, kind="stable")[: SLOTS - 2]
+        top = np.argsort(-counts, kind="stable")
         top = top[counts[top] > 0]
+        self.model = Model(wide=max(2, math.isqrt(len(top) + 1) + 1))  # the least square that holds them and two more
         self.slot = np.full(VOCABULARY_SIZE + 1, OTHER, dtype=np.int32)  # behind the ids: the end
         self.slot[top] = np.arange(2, len(top) + 2)
         rest = counts + 1.0
         rest[top] = 0
         self.inside = np.where(self.slot[:-1] == OTHER, np.log(np.maximum(rest, 1e-300) / max(rest.sum(), 1.0)), 0.0)  # of an id in slot OTHER
         self.slot[-1], self.inside = END, np.append(self.inside, 0.0)
-        prior = np.bincount(self.slot[:-1], weights=counts, minlength=SLOTS) + 0.5
+        prior = np.bincount(self.slot[:-1], weights=counts, minlength=self.model.wide**2) + 0.5
         prior[END] += ends
         self.prior = prior / prior.sum()
-        self.model = Model()
 
     def base(self, c: int) -> float:
         return float(np.log10((c + 0.1) / (self.n + 0.1 * (self.distinct + 1))))
@@ -156,7 +157,7 @@ def _fitted(spark: SparkSession, model: Model, texts: list[np.ndarray], steps_:
 
 def _fit_part(batches: Iterator[pa.RecordBatch], scorer: Scorer, rate: float) -> Iterator[pa.RecordBatch]:
     """(tokens, parameters after this task's texts times tokens); no row from a task without texts."""
-    own = Model()
+    own = Model(wide=scorer.model.wide)
     own.p = {k: w.copy() for k, w in scorer.model.p.items()}
     adam, n = Adam(own.p), 0
     for seed, batch in enumerate(steps(batches, most=STEP_BYTES // 2)):

@@ -471,15 +471,25 @@ def test_network_learns_from_all_training_documents(spark, tmp_path):
     rows = frame(spark, texts).select("doc_id", (F.col("doc_id") % 10 == 9).alias("held_out"), "text")
     scorer, _, _ = language_model.learn(rows, str(tmp_path / "a"), sample=0, steps_=0)
     new = language_model.Scorer({}, 1, 1, {}, 1, language_model.VOCABULARY)
-    new.slot, new.inside, new.prior = scorer.slot, scorer.inside, scorer.prior
+    new.slot, new.inside, new.prior, new.model = scorer.slot, scorer.inside, scorer.prior, attention.Model(wide=scorer.model.wide)
     words = language_model.split(language_model.pa.array([prose(77, 5) + " " + texts[3][:4000]]))
     assert scorer.score(*words)[0] > 0.95 * new.score(*words)[0]  # untrained before: equal
-    scorer.model = attention.Model()
+    scorer.model = attention.Model(wide=scorer.model.wide)
     own = [t for i, t in enumerate(texts) if i % 10 != 9]
     _, tokens, _ = scorer.slots(*language_model.split(language_model.pa.array(own)))
     assert language_model._pass(rows, scorer) == tokens.sum()
 
 
+def test_each_id_has_its_own_slot_and_windows_overlap_by_half():
+    counts = {i: 40_000 - i for i in range(0, 40_000, 7)}
+    scorer = language_model.Scorer({}, 1, 1, counts, 5, language_model.VOCABULARY)
+    slots = scorer.slot[list(counts)]
+    assert len(set(slots.tolist())) == len(counts) and slots.min() == 2 and slots.max() < scorer.model.wide**2 and not scorer.inside[list(counts)].any()
+    assert len(scorer.prior) == scorer.model.wide**2 and abs(np.exp(scorer.inside[scorer.slot == language_model.OTHER]).sum() - 1) < 1e-9
+    _, first, scored = attention.windows(np.array([200]))
+    assert (scored - first)[1:].min() >= attention.WINDOW // 2
+
+
 # 10 secrets
 
 PLAIN = [re.compile(r"""(?:(?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII), re.compile("AKIA[A-Z0-9]+"), re.compile("[0-9a-f]+")]
