@@ -6,6 +6,11 @@ Nystroem approximation, and one-versus-rest kernel ridge regression is solved in
 products: presence by landmarks, then kernel values by languages. The score is the winner's decision value, from -1..1
 moved to 0..1.
 
+``known_language`` drops texts that resemble no learned language: of the 3-grams at their places, those with a letter, too
+few stand in any landmark. The bound is REJECT times the share that all but QUANTILE of the labelled texts reach which are
+no landmarks. A text is dropped if its share is below by more than DOUBT deviations of a draw of as many 3-grams, so a
+text of very few letters, which tells nothing, stays.
+
 Fitted on a bounded sample: of each language TRAIN texts (LANDMARKS of them as landmarks) of at most LONGEST characters,
 drawn by a hash of doc_id; every text is then scored whole. Languages that the sample holds are learned.
 
@@ -29,8 +34,8 @@ from rangelake.llm.shared import in_fold, steps
 
 TRAIN, LANDMARKS, LONGEST = 200, 32, 20_000
 RIDGE, LETTERS = 1e-2, 62
-#: Below this score a text resembles no learned language, and known_language drops it.
-REJECT = 0.1
+#: What part of the usual share of known 3-grams a text needs, what part of the labelled texts is unusual, and the doubt.
+REJECT, QUANTILE, DOUBT = 0.5, 0.01, 2.0
 FOLDS, HELD_OUT = 3, 1
 
 
@@ -41,6 +46,23 @@ class Model:
     landmarks: np.ndarray  # columns x landmarks, of length 1
     weights: np.ndarray  # landmarks x languages
     languages: tuple[str, ...]
+    bound: float = 0.0  # share of known 3-grams below which a text is foreign
+
+    def familiar(self, text: str) -> tuple[int, int]:
+        """How many 3-grams with a letter stand in a landmark, and how many there are; a gap is on either side of the text."""
+        known = total = 0
+        text = f" {text} "
+        for at in range(0, len(text) - 2, 1 << 20):
+            c = self.letter[np.frombuffer(text[at : at + (1 << 20) + 2].encode("utf-32-le", "surrogatepass"), dtype="<u4")]
+            grams = (c[:-2] * 64 + c[1:-1]) * 64 + c[2:]
+            grams = grams[grams > 0]
+            known += int((self.column[2][grams] < self.landmarks.shape[0]).sum())
+            total += len(grams)
+        return known, total
+
+    def foreign(self, text: str) -> bool:
+        known, total = self.familiar(text)
+        return known < self.bound * total - DOUBT * (total * self.bound * (1 - self.bound)) ** 0.5
 
     def presence(self, texts: list[str]) -> np.ndarray:
         n = self.landmarks.shape[0]
@@ -80,11 +102,10 @@ def fit(sample: list[tuple[str, str]]) -> Model:
     if not languages:
         return Model(np.zeros(0x110000, np.int32), (), np.zeros((0, 0), np.float32), np.zeros((0, 0), np.float32), ())
     seen: Counter = Counter()
-    marks = []
+    marks, others = [], []
     for lang, text in sample:
-        if seen[lang] < LANDMARKS:
-            seen[lang] += 1
-            marks.append(text)
+        seen[lang] += 1
+        (marks if seen[lang] <= LANDMARKS else others).append(text)
     frequent = Counter(c for t in marks for c in t.lower() if c.isalpha()).most_common(LETTERS)
     number = {c: k + 2 for k, (c, _) in enumerate(sorted(frequent, key=lambda x: (-x[1], x[0])))}
     letter = np.zeros(0x110000, dtype=np.int32)
@@ -109,7 +130,8 @@ def fit(sample: list[tuple[str, str]]) -> Model:
     targets = np.array([[1.0 if lang == x else -1.0 for x in languages] for lang, _ in sample])
     ridge = RIDGE * len(sample) / max(1, features.shape[1]) * np.eye(features.shape[1])
     weights = root @ np.linalg.solve(features.T @ features + ridge, features.T @ targets)
-    return Model(letter, columns, model.landmarks, weights.astype(np.float32), languages)
+    shares = [known / max(1, total) for known, total in map(model.familiar, others or marks)]
+    return Model(letter, columns, model.landmarks, weights.astype(np.float32), languages, REJECT * float(np.quantile(shares, QUANTILE)))
 
 
 def train(docs: DataFrame) -> Model:
@@ -143,12 +165,13 @@ def identify(docs: DataFrame) -> DataFrame:
 
 
 def known_language(docs: DataFrame) -> DataFrame:
-    """``docs`` without the rows that are ``und`` or score below REJECT; all rows if nothing could be learned."""
+    """``docs`` without the rows that are ``und`` or resemble no learned language; all rows if nothing could be learned."""
     shared = docs.sparkSession.sparkContext.broadcast(train(docs))
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in steps(batches):
-            names, scores = shared.value.predict(batch.column("text").to_pylist())
-            yield batch.filter(pa.array([n != "und" and s >= REJECT for n, s in zip(names, scores.tolist(), strict=True)], pa.bool_())) if shared.value.languages else batch
+            texts = batch.column("text").to_pylist()
+            names, _ = shared.value.predict(texts)
+            yield batch.filter(pa.array([n != "und" and not shared.value.foreign(t) for n, t in zip(names, texts, strict=True)], pa.bool_())) if shared.value.languages else batch
 
     return docs.mapInArrow(keep, docs.schema)

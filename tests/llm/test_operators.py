@@ -259,6 +259,15 @@ def test_held_out_rows_teach_nothing(spark):
     assert {r["lang_pred"] for r in language_id.identify(poisoned).collect()} == {"xx"}
 
 
+def test_foreign_texts_are_dropped(spark):
+    other = ["".join(reversed(w)) for w in WORDS]
+    own = [prose(i, 40, WORDS if i % 2 else other) for i in range(240)] + ["bater", "ba"]
+    junk = "".join(np.random.default_rng(0).choice(list("abcdefghijklmnopqrstuvwxyz"), 400))
+    foreign = ["Привет мир, как дела сегодня утром в городе", "今天天气很好我们去公园散步吧", junk, "Wszystkie ludzie rodzą się wolni i równi", own[0][:10] + junk]
+    docs = frame(spark, own + foreign, ["xx" if i % 2 else "yy" for i in range(240)] + [None] * 7)
+    assert {r["doc_id"] for r in language_id.known_language(docs).collect()} == set(range(242))
+
+
 # 6 packing
 
 
