@@ -1,7 +1,7 @@
 """Benchmark decontamination: every passage of the corpus queries a BM25 index of the test items.
 
 The index is small (the items are sharded by INDEX_CHARS, and each shard is broadcast in turn), so documents are never
-shuffled. A document is cut into passages of twice the longest item's words, half overlapping, so any item's copy lies
+shuffled. Term and length statistics are those of all items, however many shards there are. A document is cut into passages of twice the longest item's words, half overlapping, so any item's copy lies
 whole in one. A passage's distinct words are the query; impacts are divided by the item's score against itself, so a
 score is the share of the item that the passage accounts for, and all items of THRESHOLD and above are retrieved.
 
@@ -59,20 +59,36 @@ def grams(words: list[str], n: int) -> set[tuple[str, ...]]:
     return set(zip(*(words[i:] for i in range(n)), strict=False)) if len(words) >= n else set()
 
 
+class Statistics:
+    """Of items: how many there are, their words, and in how many of them each term stands."""
+
+    def __init__(self) -> None:
+        self.items, self.words, self.found_in = 0, 0, Counter()
+
+    def add(self, words: list[str]) -> None:
+        if len(words) >= LEAST:
+            self.items += 1
+            self.words += len(words)
+            self.found_in.update(dict.fromkeys(words, 1))
+
+
 class Index:
-    """Postings with block maxima; items are numbered 0 to len(ids) - 1."""
+    """Postings with block maxima; items are numbered 0 to len(ids) - 1. Without ``statistics``, those of ``items`` count."""
 
-    def __init__(self, items: list[tuple[int, str]]) -> None:
+    def __init__(self, items: list[tuple[int, str]], statistics: Statistics | None = None) -> None:
         kept = [(i, t, words_of(t)) for i, t in items]
         kept = [x for x in kept if len(x[2]) >= LEAST]
         self.ids = [i for i, _, _ in kept]
         self.parts = [split_answer(t) for _, t, _ in kept]
         self.longest = max((len(w) for _, _, w in kept), default=0)
-        average = sum(len(w) for _, _, w in kept) / max(len(kept), 1)
+        if statistics is None:
+            statistics = Statistics()
+            for _, _, w in kept:
+                statistics.add(w)
+        average = statistics.words / max(statistics.items, 1)
         counts = [Counter(w) for _, _, w in kept]
-        found_in = Counter(t for c in counts for t in c)
-        self.terms = {t: k for k, t in enumerate(found_in)}
-        idf = {t: math.log(1 + (len(kept) - n + 0.5) / (n + 0.5)) for t, n in found_in.items()}
+        self.terms = {t: k for k, t in enumerate(dict.fromkeys(t for c in counts for t in c))}
+        idf = {t: math.log(1 + (statistics.items - statistics.found_in[t] + 0.5) / (statistics.found_in[t] + 0.5)) for t in self.terms}
         self.postings: list[list[int]] = [[] for _ in self.terms]
         self.impacts: list[list[float]] = [[] for _ in self.terms]
         self.block = max(8, -(-len(kept) // 64))
@@ -204,9 +220,19 @@ def shards(benchmark: DataFrame) -> Iterator[Index]:
     items = benchmark.select("item_id", "text").filter(F.col("text").isNotNull())
     total = items.agg(F.sum(F.length("text"))).first()[0] or 0
     n = max(1, -(-total // INDEX_CHARS))
-    for k in range(n):
+
+    def shard(k: int) -> list[tuple[int, str]]:
         own = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k).collect() if n > 1 else items.collect()
-        yield Index(sorted((r["item_id"], r["text"]) for r in own if r["item_id"] is not None))
+        return sorted((r["item_id"], r["text"]) for r in own if r["item_id"] is not None)
+
+    statistics = None
+    if n > 1:
+        statistics = Statistics()
+        for k in range(n):
+            for _, text in shard(k):
+                statistics.add(words_of(text))
+    for k in range(n):
+        yield Index(shard(k), statistics)
 
 
 def _report(batches: Iterator[pa.RecordBatch], index: Index, threshold: float, overlap: float) -> Iterator[pa.RecordBatch]:

@@ -225,6 +225,17 @@ def test_index_is_sharded_without_loss(spark, monkeypatch):
     assert {(r["doc_id"], r["item_id"]) for r in decontamination.find_leaks(docs, benchmark).collect()} == {(0, 1), (1, 2)}
 
 
+def test_scores_do_not_depend_on_shards(spark, monkeypatch):
+    """An item in part scores the same in one index and in many."""
+    items = [(i, prose(200 + i, 12 + i, WORDS[: 5 + i])) for i in range(12)]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    docs = frame(spark, [" ".join(t.split()[k:]) for _, t in items for k in (0, 2)])
+    report = lambda: {(r["doc_id"], r["item_id"]): round(r["score"], 6) for r in decontamination.find_leaks(docs, benchmark, 0.3, 0.3).collect()}
+    whole = report()
+    monkeypatch.setattr(decontamination, "INDEX_CHARS", 400)
+    assert len(whole) >= 12 and report() == whole
+
+
 # 5 language ID
 
 
