@@ -13,7 +13,7 @@ sentence, else the last quarter.
 
 Defined cases: null and empty texts have no passage. Items of fewer than LEAST words say too little and are left out; an
 empty benchmark finds nothing. Repeated rows are judged one by one, repeated items are reported each. Words are runs of
-letters, digits and underscores in lower case. Other columns are ignored, and carried along by ``clean_documents``.
+letters, digits and underscores in lower case; of scripts that are written without spaces, each letter is a word. Other columns are ignored, and carried along by ``clean_documents``.
 """
 
 from __future__ import annotations
@@ -37,7 +37,10 @@ THRESHOLD, OVERLAP, LEAST = 0.6, 0.6, 5
 INDEX_CHARS = 16 << 20
 #: Characters of a text that are worked on at once; longer texts overlap by a passage.
 CHUNK = 1 << 20
-_WORD = re.compile(r"\w+")
+#: Scripts that are written without spaces: Thai, Lao, Burmese, Khmer, kana and Chinese characters.
+_UNSPACED = r"\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+_WORD = re.compile(rf"[^\W{_UNSPACED}]+|(?=\w)[{_UNSPACED}]")
+_INSIDE = re.compile(rf"[^\W{_UNSPACED}]")
 
 
 def words_of(text: str) -> list[str]:
@@ -161,7 +164,7 @@ def _chunks(text: str, words: int) -> Iterator[list[str]]:
     at, tail = 0, []
     while at < len(text):
         end = at + CHUNK
-        while end < len(text) and _WORD.match(text[end]):  # not inside a word
+        while end < len(text) and _INSIDE.match(text[end]):  # not inside a word
             end += 1
         piece = tail + words_of(text[at:end])
         yield piece

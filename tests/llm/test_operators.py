@@ -236,6 +236,14 @@ def test_scores_do_not_depend_on_shards(spark, monkeypatch):
     assert len(whole) >= 12 and report() == whole
 
 
+def test_items_without_spaces_are_found(spark):
+    items = [(1, "中国的首都是哪个城市？北京是中国的首都"), (2, "ประเทศไทยมีเมืองหลวงชื่ออะไร? กรุงเทพมหานคร")]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    docs = frame(spark, [prose(1, 50) + items[0][1] + prose(2, 50), "今天" + items[1][1], "今天天气很好我们去公园散步吧", "我" * (decontamination.CHUNK + 5) + items[0][1]])
+    assert {(r["doc_id"], r["item_id"]) for r in decontamination.find_leaks(docs, benchmark).collect()} == {(0, 1), (1, 2), (3, 1)}
+    assert decontamination.words_of("Ab_1 cd-é 北京ab") == ["ab_1", "cd", "é", "北", "京", "ab"]
+
+
 # 5 language ID
 
 
