@@ -1,234 +1,332 @@
 """A small causal self-attention language model in numpy: one layer, trained by Adam, with a two-level softmax.
 
-Tokens are slots 0 to wide ** 2 - 1, slot 0 being the begin and end of a text. A slot's probability is that of its class
-(slot // wide) times that of the slot inside its class, so scoring a token takes 2 * wide exponentials.
+Tokens are slots: 0 is the begin and end of a text, the others stand in order of frequency. The first HEAD slots have rows
+of the input tables and classes of WIDE of their own; the tail, as many classes as slots in a class, has a row for each
+class. A slot's probability is that of its class times that of the slot inside its class; a class of the tail is reached
+through the tail's own class, so a frequent token takes about 2 * WIDE exponentials whatever the vocabulary.
+
+Texts are cut into blocks of BLOCK tokens. A block and the one before it are a window: the block's tokens are scored, and
+attention sees, under a mask, what stands before them in the window. So windows overlap by half, and each token is scored
+once, BLOCK to WINDOW - 1 tokens behind the window's begin inside a long text. A token's input is the sum of what the last
+LAST slots add to it (a short causal convolution, by table). So one query serves EACH tokens in a row: it sees the first
+of them and all before it in the window, and the convolution brings in the tokens between.
 """
 
 from __future__ import annotations
 
 import numpy as np
 
-#: Classes of a model, and slots in a class, if it is given none; a vocabulary has as many as it needs.
+#: Slots in a class of the head, classes of the head, and the slots that have their own class there.
 WIDE = 32
-SLOTS = WIDE * WIDE
-#: Width of the model and of its inner layer, heads; tokens of a window; how far windows are apart.
-D, INNER, HEADS, WINDOW, STRIDE = 32, 32, 1, 32, 16
-#: Scores are cut here, so that no exponential overflows.
-MOST = np.float32(60)
+HEAD = WIDE * WIDE
+#: Width of the model, of queries and keys, of the inner layer.
+D, KEY, INNER = 32, 8, 32
+#: Tokens of a block and of a window, tokens that a query serves, and slots that an input adds up.
+BLOCK, WINDOW, EACH, LAST = 32, 64, 4, 3
+#: Blocks that training takes in a row, rows in a step, and of how many steps one also moves what stands before the last
+#: states (the others, which cost half as much, move the two levels of the softmax).
+RUN, ROWS, DEEP = 4, 64, 4
+#: What a masked place gets.
+MASKED = np.float32(-1e9)
+_EYE = np.eye(WIDE, dtype=np.float32)
+
+
+def spread(slots: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of texts that stand one behind the other: their tokens in whole blocks (the rest of a last block is 0), where each
+    token went, and which blocks begin a text."""
+    blocks = -(-lengths // BLOCK)
+    begins = (np.cumsum(blocks) - blocks) * BLOCK
+    place = np.repeat(begins - (np.cumsum(lengths) - lengths), lengths) + np.arange(lengths.sum())
+    y = np.zeros(int(blocks.sum()) * BLOCK, dtype=np.int32)
+    y[place] = slots
+    first = np.zeros(len(y) // BLOCK, dtype=bool)
+    first[(begins // BLOCK)[lengths > 0]] = True
+    return y, place, first
+
+
+def before(y: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """The LAST tokens before each place of blocks ``y``; 0 before the blocks that are first."""
+    x = np.zeros((LAST, len(y)), dtype=np.int32)
+    starts = np.flatnonzero(first) * BLOCK
+    line = y
+    for row in x:
+        row[1:] = line[:-1]
+        row[starts] = 0
+        line = row
+    return x
 
 
-def windows(lengths: np.ndarray, stride: int = STRIDE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of texts that stand one behind the other: each window's text, first place, and first place that it scores.
+def _sums(rows: np.ndarray, d: np.ndarray, n: int) -> np.ndarray:
+    """The sum of the lines of ``d`` for each of n rows: sorted, and by a product for each WIDE rows."""
+    n = -(-n // WIDE) * WIDE
+    order = np.argsort(rows.astype(np.uint16), kind="stable")
+    rows, d = rows.take(order), d.take(order, axis=0)
+    which = _EYE.take(rows & (WIDE - 1), axis=0)
+    bounds = np.searchsorted(rows, np.arange(0, n + 1, WIDE)).tolist()
+    out = np.zeros((n, d.shape[1]), dtype=d.dtype)
+    for k, (a, z) in enumerate(zip(bounds[:-1], bounds[1:], strict=True)):
+        if a < z:
+            np.matmul(which[a:z].T, d[a:z], out=out[k * WIDE : (k + 1) * WIDE])
+    return out
 
-    Windows overlap by WINDOW - stride tokens, which only the earlier one scores: each place is scored once.
-    """
-    counts = np.maximum(1, -(-(lengths - WINDOW) // stride) + 1)
-    counts[lengths == 0] = 0
-    text = np.repeat(np.arange(len(lengths)), counts)
-    turn = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
-    first = (np.cumsum(lengths) - lengths)[text] + turn * stride
-    return text, first, first + np.where(turn > 0, WINDOW - stride, 0)
+
+def _windows(z: np.ndarray, n: int) -> np.ndarray:
+    """Each block of z behind the one before it; a view, whose windows overlap."""
+    row, item = z.strides
+    return np.lib.stride_tricks.as_strided(z, (n, WINDOW, z.shape[1]), (BLOCK * row, row, item), writeable=False)
+
+
+def _softmax(z: np.ndarray, chosen: np.ndarray, back: bool) -> np.ndarray:
+    """Log of the softmax of z's rows at the chosen columns. On the way back, z becomes the
+    softmax less 1 there; else it is used up."""
+    at = np.arange(0, z.size, z.shape[1]) + chosen
+    flat = z.ravel()
+    own = flat.take(at)
+    np.exp(z, out=z)
+    total = z @ np.ones(z.shape[1], z.dtype)
+    if len(total) and not total.max() < np.inf:
+        raise FloatingPointError("the network's scores overflow")
+    if back:
+        z *= np.reciprocal(total)[:, None]
+        flat[at] -= 1
+    return own - np.log(total)
 
 
 class Adam:
-    """Steps on parameters ``p``, which are changed in place."""
+    """Steps on parameters ``p``, which are changed in place; of ``tail`` only the classes that a step touches (Adagrad)."""
 
     def __init__(self, p: dict[str, np.ndarray]) -> None:
-        self.p, self.steps = p, 0
-        self.mean, self.square = {k: np.zeros_like(w) for k, w in p.items()}, {k: np.zeros_like(w) for k, w in p.items()}
+        self.p, self.steps = p, dict.fromkeys(p, 0)
+        self.mean, self.square = {k: np.zeros_like(w) for k, w in p.items() if k != "tail"}, {k: np.zeros_like(w) for k, w in p.items()}
 
-    def step(self, g: dict[str, np.ndarray], rate: float) -> None:
-        self.steps += 1
-        size = np.sqrt(sum(float((w * w).sum()) for w in g.values()))
-        for name, w in self.p.items():
-            d = g[name] * np.float32(min(1.0, 1.0 / (size + 1e-9)))
-            self.mean[name] += (d - self.mean[name]) * np.float32(0.1)
-            self.square[name] += (d * d - self.square[name]) * np.float32(0.01)
-            w -= np.float32(rate) * (self.mean[name] / np.float32(1 - 0.9**self.steps)) / (np.sqrt(self.square[name] / np.float32(1 - 0.99**self.steps)) + np.float32(1e-8))
+    def step(self, g: dict[str, np.ndarray], touched: np.ndarray, rate: float) -> None:
+        """``g`` may lack parameters, which then stay."""
+        size = np.sqrt(sum(float(np.vdot(w, w)) for w in g.values()))
+        scale = np.float32(min(1.0, 1.0 / (size + 1e-9)))
+        for name, d in g.items():
+            self.steps[name] += 1
+            d *= scale
+            if name == "tail":
+                self.square[name][touched] += d * d
+                self.p[name][touched] -= np.float32(rate * 3) * d / (np.sqrt(self.square[name][touched]) + np.float32(1e-8))
+                continue
+            mean, square, n = self.mean[name], self.square[name], self.steps[name]
+            mean += (d - mean) * np.float32(0.1)
+            d *= d
+            square += (d - square) * np.float32(0.01)
+            d = np.sqrt(square)
+            d += np.float32(1e-8)
+            np.divide(mean, d, out=d)
+            d *= np.float32(rate * min(1.0, n / 10) * (1 - 0.99**n) ** 0.5 / (1 - 0.9**n))
+            self.p[name] -= d
 
 
 class Model:
-    def __init__(self, seed: int = 0, wide: int = WIDE) -> None:
-        self.wide = wide
+    def __init__(self, slots: int = HEAD, seed: int = 0) -> None:
+        rest = max(0, slots - HEAD)
+        self.wide = max(1, int(np.ceil(np.sqrt(rest))))  # classes of the tail, and slots in one
+        self.rows = HEAD + self.wide
         r = np.random.default_rng(seed)
         normal = lambda *shape, scale: (r.standard_normal(shape) * scale).astype(np.float32)
-        root = D**-0.5
+        zero = lambda *shape: np.zeros(shape, np.float32)
+        rows = -(-self.rows // WIDE) * WIDE
         self.p = {
-            "embed": normal(wide * wide, D, scale=0.3), "place": normal(WINDOW, D, scale=0.1), "q": normal(D, D, scale=root), "k": normal(D, D, scale=root), "v": normal(D, D, scale=root), "o": normal(D, D, scale=root / 2),
-            "w1": normal(D, INNER, scale=root), "b1": np.zeros(INNER, np.float32), "w2": normal(INNER, D, scale=INNER**-0.5 / 2), "b2": np.zeros(D, np.float32),
-            "wc": normal(D, wide, scale=root / 2), "bc": np.zeros(wide, np.float32), "wi": normal(wide, D, wide, scale=root / 2), "bi": np.zeros((wide, wide), np.float32),
+            "embed": normal(rows, LAST, D, scale=0.3), "qkv": normal(D, 2 * KEY + D, scale=D**-0.5), "near": zero(WINDOW),
+            "w1": normal(D, INNER, scale=D**-0.5), "w2": normal(INNER, D, scale=INNER**-0.5 / 2),
+            "class": normal(D, WIDE + 1, scale=D**-0.5 / 2), "inner": normal(WIDE, D, WIDE, scale=D**-0.5 / 2),
+            "tails": normal(D, self.wide, scale=D**-0.5 / 2), "tail": zero(self.wide, D, self.wide),
         }
-        self.mask = np.tril(np.ones((WINDOW, WINDOW), dtype=np.float32))
-
-    def hidden(self, x: np.ndarray) -> tuple:
-        """Last states of windows x (n, WINDOW), and what the way back needs."""
-        p, n = self.p, len(x)
-        h0 = p["embed"][x] + p["place"]
-        heads = lambda w: (h0 @ w).reshape(n, WINDOW, HEADS, D // HEADS).transpose(0, 2, 1, 3)
-        q, k, v = heads(p["q"] * np.float32((D // HEADS) ** -0.5)), heads(p["k"]), heads(p["v"])
-        a = q @ k.transpose(0, 1, 3, 2)
-        np.minimum(a, MOST, out=a)
+
+    def row(self, slots: np.ndarray) -> np.ndarray:
+        """Rows of the input tables."""
+        return np.where(slots < HEAD, slots, HEAD + np.maximum(slots - HEAD, 0) // self.wide)
+
+    def _bias(self) -> np.ndarray:
+        """What is added to a query's scores: by distance, and the mask. For a block behind another, and for a first one."""
+        far = np.arange(0, BLOCK, EACH)[:, None] + BLOCK - np.arange(WINDOW)
+        behind = np.where(far >= 0, self.p["near"][np.maximum(far, 0) % WINDOW], MASKED)
+        alone = behind.copy()
+        alone[:, :BLOCK] = MASKED
+        return np.stack([behind, alone]).astype(self.p["near"].dtype)
+
+    def states(self, x: np.ndarray, first: np.ndarray) -> tuple:
+        """Last states of blocks whose inputs are the rows x (LAST, tokens), and what the way back needs."""
+        p, n = self.p, len(first)
+        e = p["embed"][:, 0].take(x[0], axis=0)
+        for k in range(1, LAST):
+            e += p["embed"][:, k].take(x[k], axis=0)
+        z = np.zeros(((n + 1) * BLOCK, 2 * KEY + D), e.dtype)  # nothing stands before the first block
+        np.matmul(e, p["qkv"], out=z[BLOCK:])
+        q = z[BLOCK::EACH, :KEY].reshape(n, -1, KEY)
+        k, v = _windows(z[:, KEY : 2 * KEY], n), _windows(z[:, 2 * KEY :], n)
+        a = q @ k.transpose(0, 2, 1)
+        a += self._bias().take(first.view(np.int8), axis=0)
         np.exp(a, out=a)
-        a *= self.mask  # a token sees itself and what is before it
-        a /= a.sum(axis=-1, keepdims=True)
-        o = (a @ v).transpose(0, 2, 1, 3).reshape(n, WINDOW, D)
-        h1 = h0 + o @ p["o"]
-        r = np.maximum(h1 @ p["w1"] + p["b1"], 0)
-        return h1 + r @ p["w2"] + p["b2"], (h0, q, k, v, a, o, h1, r)
+        a *= np.reciprocal(a.reshape(-1, WINDOW) @ np.ones(WINDOW, a.dtype)).reshape(n, -1, 1)
+        o = (a @ v).reshape(-1, D)
+        h = (e.reshape(-1, EACH, D) + o[:, None]).reshape(-1, D)
+        r = h @ p["w1"]
+        np.maximum(r, 0, out=r)
+        out = r @ p["w2"]
+        out += h
+        return out, (e, q, k, v, a, o, h, r)
+
+    def _levels(self, h: np.ndarray, y: np.ndarray, back: bool, deep: bool = True) -> tuple[np.ndarray, np.ndarray, dict[str, np.ndarray], np.ndarray]:
+        """Log probabilities of slots y (in ascending order) after states h, and, on the way back, the gradients of their
+        negative sum: by h (if ``deep``), by the parameters, and the classes of the tail that they touch."""
+        p, m = self.p, len(y)
+        ends = np.searchsorted(y, np.arange(0, HEAD + 1, WIDE)).tolist()
+        top = ends[WIDE]  # from here on: the tail
+        z = h @ p["class"]
+        out = _softmax(z, np.minimum(y // WIDE, WIDE), back)
+        zi = np.empty((top, WIDE), h.dtype)
+        for k, (a, b) in enumerate(zip(ends[:-1], ends[1:], strict=True)):
+            if a < b:
+                np.matmul(h[a:b], p["inner"][k], out=zi[a:b])
+        out[:top] += _softmax(zi, y[:top] & (WIDE - 1), back)
+        if back:
+            g = {"class": h.T @ z, "inner": np.zeros_like(p["inner"]), "tails": np.zeros_like(p["tails"])}
+            dh = z @ p["class"].T if deep else h
+            for k, (a, b) in enumerate(zip(ends[:-1], ends[1:], strict=True)):
+                if a < b:
+                    np.matmul(h[a:b].T, zi[a:b], out=g["inner"][k])
+                    if deep:
+                        dh[a:b] += zi[a:b] @ p["inner"][k].T
+        touched = np.zeros(0, np.int64)
+        if top < m:
+            ht, (kind, place) = h[top:], np.divmod(y[top:] - HEAD, self.wide)
+            zt = ht @ p["tails"]
+            out[top:] += _softmax(zt, kind, back)
+            if back:
+                g["tails"] = ht.T @ zt
+                if deep:
+                    dh[top:] += zt @ p["tails"].T
+            touched, starts = np.unique(kind, return_index=True)
+            of_tail = np.zeros((len(touched), *p["tail"].shape[1:]), h.dtype) if back else None
+            for i, (k, a, b) in enumerate(zip(touched.tolist(), starts.tolist(), [*starts.tolist()[1:], m - top], strict=True)):
+                zk = ht[a:b] @ p["tail"][k]
+                out[top + a : top + b] += _softmax(zk, place[a:b], back)
+                if back:
+                    of_tail[i] = ht[a:b].T @ zk
+                    if deep:
+                        dh[top + a : top + b] += zk @ p["tail"][k].T
+            if back:
+                g["tail"] = of_tail
+        return (out, dh, g, touched) if back else (out, h, {}, touched)
 
     def log_probabilities(self, h: np.ndarray, y: np.ndarray) -> np.ndarray:
-        """Natural log of the probability of slots y after states h (m, D)."""
-        p = self.p
-        c, inner = y // self.wide, y % self.wide
-        out = self._inner(h @ p["wc"], p["bc"], c)
-        order = np.argsort(c, kind="stable")
-        bounds = np.searchsorted(c[order], np.arange(self.wide + 1))
-        for k in range(self.wide):
-            own = order[bounds[k] : bounds[k + 1]]
-            if len(own):
-                out[own] += self._inner(h[own] @ p["wi"][k], p["bi"][k], inner[own])
+        """Natural log of the probability of slots y after states h."""
+        order = np.argsort(y.astype(np.uint16), kind="stable")
+        out = np.empty(len(y), h.dtype)
+        out[order] = self._levels(h.take(order, axis=0), y.take(order), False)[0]
         return out
 
-    @staticmethod
-    def _inner(z: np.ndarray, bias: np.ndarray, chosen: np.ndarray) -> np.ndarray:
-        """Log of the softmax of z + bias (z is used up) at each row's chosen column."""
-        z += bias
-        np.minimum(z, MOST, out=z)
-        at = z[np.arange(len(z)), chosen]
-        np.exp(z, out=z)
-        return at - np.log(z.sum(axis=1))
-
-    def gradients(self, x: np.ndarray, y: np.ndarray, valid: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
-        """Mean negative log probability over the valid places, and its gradients."""
-        p, n = self.p, len(x)
-        h2, (h0, q, k, v, a, o, h1, r) = self.hidden(x)
-        at = np.flatnonzero(valid.ravel())
-        h, t = h2.reshape(-1, D)[at], y.ravel()[at]
-        c, inner, m = t // self.wide, t % self.wide, len(at)
-        g = {name: np.zeros_like(w) for name, w in p.items()}
-        z = h @ p["wc"] + p["bc"]
-        z = np.exp(z - z.max(axis=1, keepdims=True))
-        z /= z.sum(axis=1, keepdims=True)
-        loss = -np.log(z[np.arange(m), c] + 1e-30).sum()
-        z[np.arange(m), c] -= 1
-        z /= m
-        g["wc"], g["bc"] = h.T @ z, z.sum(axis=0)
-        dh = z @ p["wc"].T
-        for s in range(self.wide):
-            own = np.flatnonzero(c == s)
-            if len(own):
-                z = h[own] @ p["wi"][s] + p["bi"][s]
-                z = np.exp(z - z.max(axis=1, keepdims=True))
-                z /= z.sum(axis=1, keepdims=True)
-                loss -= np.log(z[np.arange(len(own)), inner[own]] + 1e-30).sum()
-                z[np.arange(len(own)), inner[own]] -= 1
-                z /= m
-                g["wi"][s], g["bi"][s] = h[own].T @ z, z.sum(axis=0)
-                dh[own] += z @ p["wi"][s].T
-        d2 = np.zeros((n * WINDOW, D), np.float32)
-        d2[at] = dh
-        flat = lambda w: w.reshape(-1, w.shape[-1])
-        g["w2"], g["b2"] = flat(r).T @ d2, d2.sum(axis=0)
-        du = (d2 @ p["w2"].T) * (flat(r) > 0)
-        g["w1"], g["b1"] = flat(h1).T @ du, du.sum(axis=0)
-        d1 = d2 + du @ p["w1"].T
-        g["o"] = flat(o).T @ d1
-        do = (d1 @ p["o"].T).reshape(n, WINDOW, HEADS, D // HEADS).transpose(0, 2, 1, 3)
-        dv, da = a.transpose(0, 1, 3, 2) @ do, do @ v.transpose(0, 1, 3, 2)
-        ds = a * (da - (da * a).sum(axis=-1, keepdims=True))
-        dq, dk = ds @ k, ds.transpose(0, 1, 3, 2) @ q
-        d0 = d1.copy()
-        for name, dz in (("q", dq * np.float32((D // HEADS) ** -0.5)), ("k", dk), ("v", dv)):
-            dz = dz.transpose(0, 2, 1, 3).reshape(-1, D)
-            g[name] = flat(h0).T @ dz
-            d0 += dz @ p[name].T
-        order = np.argsort(x.ravel(), kind="stable")
-        slots, begin = np.unique(x.ravel()[order], return_index=True)
-        g["embed"][slots] = np.add.reduceat(d0[order], begin)
-        g["place"] = d0.reshape(n, WINDOW, D).sum(axis=0)
-        return float(loss) / m, g
-
-    def fit(self, texts: list[np.ndarray], steps: int, batch: int = 48, rate: float = 6e-3, seed: int = 0) -> list[float]:
-        """texts: slots of each text, its end included. Adam on random windows; gives the losses."""
-        texts = [t for t in texts if len(t)]
-        if not texts or not steps:
+    def gradients(self, x: np.ndarray, first: np.ndarray, at: np.ndarray, y: np.ndarray, deep: bool = True) -> tuple[float, dict[str, np.ndarray], np.ndarray]:
+        """Mean negative log probability of slots y at the places ``at`` of blocks x, its gradients, and the tail's touched
+        classes. Not ``deep``: by the parameters behind the last states alone."""
+        p, n, m = self.p, len(first), len(at)
+        out, (e, q, k, v, a, o, h, r) = self.states(x, first)
+        order = np.argsort(y.astype(np.uint16), kind="stable")
+        own = at.take(order)
+        logs, dh, g, touched = self._levels(out.take(own, axis=0), y.take(order), True, deep)
+        for w in g.values():
+            w *= h.dtype.type(1 / m)
+        if not deep:
+            return -float(logs.sum()) / m, g, touched
+        back = np.full(len(h), m)  # places that don't count have no gradient
+        back[own] = np.arange(m)
+        dh = np.append(dh, np.zeros((1, D), h.dtype), axis=0)
+        dh *= h.dtype.type(1 / m)
+        d2 = dh.take(back, axis=0)
+        g["w2"] = r.T @ d2
+        du = d2 @ p["w2"].T
+        du *= r > 0
+        g["w1"] = h.T @ du
+        d1 = du @ p["w1"].T
+        d1 += d2
+        own = d1.reshape(-1, EACH, D)
+        do = own[:, 0] + own[:, 1]
+        for j in range(2, EACH):
+            do += own[:, j]
+        dots = np.einsum("ij,ij->i", do, o).reshape(n, -1, 1)
+        do = do.reshape(n, -1, D)
+        dv = a.transpose(0, 2, 1) @ do
+        ds = do @ v.transpose(0, 2, 1)
+        ds -= dots
+        ds *= a
+        dk = ds.transpose(0, 2, 1) @ q
+        dz = np.empty((n, BLOCK, 2 * KEY + D), h.dtype)
+        dz[..., :KEY] = 0
+        dz[:, ::EACH, :KEY] = ds @ k
+        for part, d in ((slice(KEY, 2 * KEY), dk), (slice(2 * KEY, None), dv)):
+            d[:-1, BLOCK:] += d[1:, :BLOCK]
+            dz[..., part] = d[:, BLOCK:]
+        far = (np.arange(0, BLOCK, EACH)[:, None] + BLOCK - np.arange(WINDOW)).ravel()
+        near = ds.sum(axis=0).ravel()
+        g["near"] = np.bincount(far[far >= 0] % WINDOW, weights=near[far >= 0], minlength=WINDOW).astype(h.dtype)
+        dz = dz.reshape(-1, 2 * KEY + D)
+        g["qkv"] = e.T @ dz
+        d1 += dz @ p["qkv"].T
+        # the token at a place is the last one of the next input, and the one before it of the input behind that
+        into = np.zeros((n * BLOCK, LAST, D), h.dtype)
+        starts = np.flatnonzero(first) * BLOCK
+        for j in range(LAST):
+            into[: len(into) - j, j] = d1[j:]
+            for i in range(1, j + 1):  # not across the begin of a run
+                into[starts[starts >= i] - i, j] = 0
+        g["embed"] = _sums(x[0], into.reshape(-1, LAST * D), self.rows).reshape(-1, LAST, D)
+        for j in range(1, LAST):
+            for i in range(j):  # what stands before a run is no place of its
+                np.add.at(g["embed"][:, j], x[j][starts + i], d1[starts + i])
+        return -float(logs.sum()) / m, g, touched
+
+    def fit(self, y: np.ndarray, lengths: np.ndarray, adam: Adam, rate: float, seed: int = 0, steps: int | None = None) -> list[float]:
+        """Adam on texts that stand one behind the other, in runs of RUN blocks: each token is learned from once, or, with
+        ``steps``, as often as so many steps take, the rate falling to a tenth. Gives the losses."""
+        if not lengths.sum():
             return []
-        r = np.random.default_rng(seed)
-        lengths = np.array([len(t) for t in texts])
-        y_all = np.concatenate([*texts, np.zeros(WINDOW, texts[0].dtype)]).astype(np.int64)
-        x_all = np.append(0, y_all[:-1])
-        ends = np.cumsum(lengths)
-        x_all[ends - lengths] = 0
-        text, first, _ = windows(lengths)
-        adam, losses = Adam(self.p), []
-        for step in range(1, steps + 1):
-            own = r.integers(0, len(first), batch)
-            place = first[own, None] + np.arange(WINDOW)
-            loss, g = self.gradients(x_all[place], y_all[place], place < ends[text[own], None])
-            losses.append(loss)
-            adam.step(g, rate * min(1, step / 20) * (1 - 0.9 * step / steps))
-        return losses
-
-    def fit_all(self, y: np.ndarray, lengths: np.ndarray, adam: Adam, rate: float, batch: int = 96, seed: int = 0) -> int:
-        """One pass over texts that stand one behind the other, in windows side by side: each token is learned from once. Gives the tokens."""
-        ends = np.cumsum(lengths)
-        y = np.append(y, np.zeros(WINDOW, y.dtype)).astype(np.int64)
-        x = np.append(0, y[:-1])
-        x[(ends - lengths)[lengths > 0]] = 0
-        text, first, _ = windows(lengths, WINDOW)
-        order = np.random.default_rng(seed).permutation(len(first))
-        for lo in range(0, len(order), batch):
-            own = order[lo : lo + batch]
-            place = first[own, None] + np.arange(WINDOW)
-            _, g = self.gradients(x[place], y[place], place < ends[text[own], None])
-            adam.step(g, rate * len(own) / batch)
-        return int(lengths.sum())
-
-    def _tables(self) -> tuple[np.ndarray, np.ndarray]:
-        """What a slot and a place add to a token's state, query, key and value, side by side; valid once fitted."""
-        if "_kept" not in self.__dict__:
-            p = self.p
-            w = np.hstack([np.eye(D, dtype=np.float32), p["q"] * np.float32((D // HEADS) ** -0.5), p["k"], p["v"]])
-            self.__dict__["_kept"] = p["embed"] @ w, p["place"] @ w
-        return self.__dict__["_kept"]
-
-    def states(self, x: np.ndarray) -> np.ndarray:
-        """Last states of windows x (n, WINDOW) of a fitted model: ``hidden`` with one head, and no way back."""
-        p, (of_slot, of_place) = self.p, self._tables()
-        z = of_slot[x]
-        z += of_place
-        a = z[..., D : 2 * D] @ z[..., 2 * D : 3 * D].transpose(0, 2, 1)
-        np.minimum(a, MOST, out=a)
-        np.exp(a, out=a)
-        a *= self.mask
-        o = a @ z[..., 3 * D :]
-        o /= a.sum(axis=-1, keepdims=True)
-        h = (o.reshape(-1, D) @ p["o"]).reshape(o.shape)
-        h += z[..., :D]
-        flat = h.reshape(-1, D)
-        r = flat @ p["w1"]
-        r += p["b1"]
-        np.maximum(r, 0, out=r)
-        flat += r @ p["w2"]
-        flat += p["b2"]
-        return h
-
-    def score(self, y: np.ndarray, lengths: np.ndarray, prior: np.ndarray, share: float, at_once: int = 256) -> np.ndarray:
-        """Natural log probability of each token of texts that stand one behind the other, slots ``y``.
-
-        The model's probability is mixed with ``prior`` (of each slot), whose share is ``share``.
-        """
-        ends = np.cumsum(lengths)
-        y = np.append(y, np.zeros(WINDOW, y.dtype)).astype(np.int32)
-        x = np.append(np.int32(0), y[:-1])
-        x[(ends - lengths)[lengths > 0]] = 0
-        text, first, scored = windows(lengths)
-        until = ends[text] if len(text) else scored
+        stream, place, first = spread(y, lengths)
+        valid = np.zeros(len(stream), dtype=bool)
+        valid[place] = True
+        turn = np.arange(len(first)) - np.maximum.accumulate(np.where(first, np.arange(len(first)), 0))
+        starts = np.flatnonzero(turn % RUN == 0)
+        sizes = np.diff(np.append(starts, len(first)))
+        past = before(self.row(stream), first).reshape(LAST, -1, BLOCK)  # a run's first tokens know these, not the window
+        stream, valid = stream.reshape(-1, BLOCK), valid.reshape(-1, BLOCK)
+        draw, losses, done = np.random.default_rng(seed), [], 0
+        while True:
+            order = draw.permutation(len(starts))
+            held = np.cumsum(sizes[order]) // (RUN * ROWS)
+            bounds = np.append(np.flatnonzero(np.append(True, np.diff(held) > 0)), len(order))
+            for a, z in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+                own = order[a:z]
+                size = sizes[own]
+                blocks = np.repeat(starts[own] - (np.cumsum(size) - size), size) + np.arange(size.sum())
+                begins = np.zeros(len(blocks), dtype=bool)
+                begins[np.cumsum(size) - size] = True
+                at = np.flatnonzero(valid[blocks].ravel())
+                deep = steps is not None or done % DEEP == 0
+                loss, g, touched = self.gradients(past[:, blocks].reshape(LAST, -1), begins, at, stream[blocks].ravel()[at], deep)
+                losses.append(loss)
+                done += 1
+                now = rate * min(1.0, len(blocks) / (RUN * ROWS))
+                adam.step(g, touched, now if steps is None else now * (1 - 0.9 * done / steps))
+                if done == steps:
+                    return losses
+            if steps is None:
+                return losses
+
+    def score(self, slots: np.ndarray, lengths: np.ndarray, at_once: int = 256) -> np.ndarray:
+        """Natural log probability of each token of texts that stand one behind the other."""
+        y, place, first = spread(slots, lengths)
         out = np.zeros(len(y), dtype=np.float32)
+        valid = np.zeros(len(y), dtype=bool)
+        valid[place] = True
+        x = before(self.row(y), first)
         for lo in range(0, len(first), at_once):
-            place = first[lo : lo + at_once, None] + np.arange(WINDOW)
-            inside = (place >= scored[lo : lo + at_once, None]) & (place < until[lo : lo + at_once, None])
-            where = place[inside]
-            out[where] = self.log_probabilities(self.states(x[place])[inside], y[where])
-        out = out[: len(y) - WINDOW]
-        return np.log((1 - share) * np.exp(out, dtype=np.float64) + share * prior[y[: len(out)]])
+            begin = max(0, lo - 1)  # the block before is seen, too
+            part = slice(begin * BLOCK, (lo + at_once) * BLOCK)
+            h, _ = self.states(x[:, part], first[begin : lo + at_once])
+            own = lo * BLOCK + np.flatnonzero(valid[lo * BLOCK : (lo + at_once) * BLOCK])
+            out[own] = self.log_probabilities(h.take(own - begin * BLOCK, axis=0), y[own])
+        return out[place]

@@ -21,11 +21,12 @@ def shared_folder(spark: SparkSession) -> str:
     return scratch_folder(spark)
 
 
-def cut(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
-    """Write ``df`` as Parquet to the shared folder and read it back: lineage ends here, and lost executors cost nothing."""
+def cut(df: DataFrame, name: str, folder: str | None = None, by: str | None = None) -> DataFrame:
+    """Write ``df`` as Parquet to the shared folder and read it back: lineage ends here, and lost executors cost nothing.
+    ``by``: a column whose values get a folder each."""
     spark = df.sparkSession
     path = f"{folder or shared_folder(spark)}/{name}"
-    df.write.parquet(path)
+    (df.write.partitionBy(by) if by else df.write).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -51,8 +52,6 @@ def steps(batches: Iterator[pa.RecordBatch], column: str = "text", most: int = S
     """Slices of the batches, of about ``most`` bytes of ``column`` or one row."""
     for batch in batches:
         lengths = batch.column(column)
-        if lengths.type == pa.large_string():
-            lengths = lengths.cast(pa.string())
         sizes = pa.compute.binary_length(lengths).to_pylist()
         begin = held = 0
         for i, n in enumerate(sizes):

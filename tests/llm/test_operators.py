@@ -433,47 +433,91 @@ def test_pii_runs_no_python(spark):
 # 9 LM scoring
 
 
-def test_attention_gradients():
+def network(slots=1500, seed=0):
+    """A network whose every parameter counts."""
+    r = np.random.default_rng(seed)
+    model = attention.Model(slots)
+    model.p = {k: (w + 0.1 * r.standard_normal(w.shape)).astype(np.float64) for k, w in model.p.items()}
+    return model
+
+
+@pytest.mark.parametrize("deep", [True, False])
+def test_attention_gradients(deep):
     r = np.random.default_rng(0)
-    model = attention.Model()
-    model.p = {k: w.astype(np.float64) for k, w in model.p.items()}
-    x, y = r.integers(0, attention.SLOTS, (2, 2, attention.WINDOW))
-    valid = np.ones(x.shape, bool)
-    valid[1, 20:] = False
-    _, g = model.gradients(x, y, valid)
-    for name in ("embed", "place", "q", "k", "v", "o", "w1", "w2", "wc", "wi", "bi"):
-        w, at = model.p[name], np.unravel_index(np.abs(g[name]).argmax(), g[name].shape)
+    model, lengths = network(), np.array([70, 5, 0, 140, 33])
+    stream, place, first = attention.spread(r.integers(0, 1500, lengths.sum()).astype(np.int32), lengths)
+    given = attention.before(model.row(stream), first), first, place, stream[place]
+    _, g, touched = model.gradients(*given, deep)
+    assert len(touched) and g.keys() == (model.p.keys() if deep else {"class", "inner", "tails", "tail"})
+    for name, d in g.items():
+        if name == "tail":
+            d = np.zeros_like(model.p[name])
+            d[touched] = g[name]
+        w, at = model.p[name], np.unravel_index(np.abs(d).argmax(), d.shape)
         old, loss = w[at], []
         for e in (1e-5, -1e-5):
             w[at] = old + e
-            loss.append(model.gradients(x, y, valid)[0])
+            loss.append(model.gradients(*given)[0])
         w[at] = old
-        assert abs((loss[0] - loss[1]) / 2e-5 - g[name][at]) < 1e-6
+        assert abs((loss[0] - loss[1]) / 2e-5 - d[at]) < 1e-7
+
+
+def plain_log_probability(model, y, k):
+    """Of token k of one text, by loops: a query for EACH tokens, attention over the window, two levels."""
+    p, e = model.p, []
+    for t in range(k + 1):
+        past = [y[t - 1 - j] if t - 1 - j >= 0 else 0 for j in range(attention.LAST)]
+        e.append(sum(p["embed"][model.row(np.array(s)), j] for j, s in enumerate(past)))
+    q_at = k - k % attention.EACH
+    begin = max(0, k // attention.BLOCK - 1) * attention.BLOCK
+    z = np.array(e) @ p["qkv"]
+    keys, values = z[begin : q_at + 1, attention.KEY : 2 * attention.KEY], z[begin : q_at + 1, 2 * attention.KEY :]
+    a = np.exp(keys @ z[q_at, : attention.KEY] + p["near"][q_at - np.arange(begin, q_at + 1)])
+    h = e[k] + a @ values / a.sum()
+    h = h + np.maximum(h @ p["w1"], 0) @ p["w2"]
+    soft = lambda x: np.log(np.exp(x) / np.exp(x).sum())
+    c, inner = divmod(y[k], attention.WIDE)
+    if y[k] < attention.HEAD:
+        return soft(h @ p["class"])[c] + soft(h @ p["inner"][c])[inner]
+    kind, place = divmod(y[k] - attention.HEAD, model.wide)
+    return soft(h @ p["class"])[attention.WIDE] + soft(h @ p["tails"])[kind] + soft(h @ p["tail"][kind])[place]
 
 
 def test_attention_is_causal_and_scores_each_token_once():
     r = np.random.default_rng(0)
-    model, lengths = attention.Model(), np.array([0, 1, 31, 32, 33, 58, 59, 200])
-    y = r.integers(0, attention.SLOTS, lengths.sum())
-    prior = np.full(attention.SLOTS, 1 / attention.SLOTS)
-    got = model.score(y, lengths, prior, 0.1)
-    assert len(got) == len(y) and (got < 0).all()
-    ends = np.cumsum(lengths)
-    for lo, hi in zip(ends - lengths, ends, strict=True):  # each window by itself, each place in its own window
-        x = np.append(0, y[lo:hi])[:-1]
-        for k in range(hi - lo):
-            turn = max(0, -(-(k + 1 - attention.WINDOW) // attention.STRIDE))
-            window = x[turn * attention.STRIDE : k + 1]
-            h, _ = model.hidden(np.pad(window, (0, attention.WINDOW - len(window)))[None])
-            p = np.exp(model.log_probabilities(h[0, len(window) - 1 : len(window)], y[lo + k : lo + k + 1]))[0]
-            assert abs(got[lo + k] - math.log(0.9 * p + 0.1 * prior[0])) < 1e-4
-    assert abs(np.exp(model.log_probabilities(np.repeat(h[:, 3], attention.SLOTS, 0), np.arange(attention.SLOTS))).sum() - 1) < 1e-4
+    model, lengths = network(), np.array([0, 1, 31, 32, 33, 64, 65, 200])
+    y = r.integers(0, 1500, lengths.sum()).astype(np.int32)
+    for at_once in (1, 2, 256):
+        got = model.score(y, lengths, at_once)
+        assert len(got) == len(y)
+        ends = np.cumsum(lengths)
+        for lo, hi in zip(ends - lengths, ends, strict=True):
+            assert np.allclose(got[lo:hi], [plain_log_probability(model, y[lo:hi].tolist(), k) for k in range(hi - lo)], atol=1e-4)
+    total = np.exp(model.log_probabilities(np.repeat(r.standard_normal((1, attention.D)), 1500, 0), np.arange(1500))).sum()
+    assert total <= 1 + 1e-9 and total > 0.99  # the last class of the tail may have room
 
 
 def test_attention_learns():
     texts = [np.append(2 + (np.arange(120) * 3 + i) % 40, 0) for i in range(40)]
-    losses = attention.Model().fit(texts, 60)
-    assert losses[-1] < 0.6 * losses[0]
+    model = attention.Model(42)
+    losses = model.fit(np.concatenate(texts).astype(np.int32), np.array([121] * 40), attention.Adam(model.p), 8e-3, steps=60)
+    assert len(losses) == 60 and losses[-1] < 0.6 * losses[0]
+
+
+def test_subwords_are_those_of_whole_texts():
+    """Words one by one, as the vocabulary has them behind a space; long ones in pieces."""
+    import tiktoken
+
+    own = language_model.subwords(language_model.VOCABULARY)
+    texts = ["a b  c\td\u00a0e", "", "  ", "\u0130x Ünï the thorti 日本 😀 '", "x" * 5000 + " y", prose(3, 200)]
+    got = language_model.ids_of_texts(*language_model.split(language_model.pa.array(texts)), language_model.VOCABULARY)
+    plain = tiktoken.Encoding("plain", pat_str=" [^ ]+", mergeable_ranks=own.coder._mergeable_ranks, special_tokens={})
+    for t, ids in zip(texts, got, strict=True):
+        words = [w for w in re.split(r"[\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), t)) if w]
+        ids = np.frombuffer(ids, "<u2").tolist()
+        assert own.coder.decode(ids) == "".join(f" {w}" for w in words)
+        if max(map(len, words), default=0) <= language_model.PIECE:
+            assert ids == plain.encode_ordinary("".join(f" {w}" for w in words))
 
 
 @pytest.mark.parametrize("head", [10, 10_000])
@@ -493,29 +537,40 @@ def test_lm_score_of_nothing(spark, nothing):
     assert language_model.score_documents(nothing, steps_=5).count() == 0
 
 
-def test_network_learns_from_all_training_documents(spark, tmp_path):
+def table_of_ids(spark, texts):
+    ids = language_model.ids_of_texts(*language_model.split(language_model.pa.array(texts)), language_model.VOCABULARY)
+    return ids, spark.createDataFrame([(i, bytes(b), -1 if i % 10 == 9 else i % language_model.ROUNDS) for i, b in enumerate(ids)], "doc_id long, ids binary, turn int")
+
+
+def test_network_learns_from_all_training_documents(spark):
     """Texts over LONGEST, and ones beyond the sample, count as well: each token once."""
     texts = [" ".join(WORDS[(i + k) % len(WORDS)] for k in range(n)) for i, n in enumerate([6000] * 8 + [50] * 60)]
-    rows = frame(spark, texts).select("doc_id", (F.col("doc_id") % 10 == 9).alias("held_out"), "text")
-    scorer, _, _ = language_model.learn(rows, str(tmp_path / "a"), sample=0, steps_=0)
-    new = language_model.Scorer({}, 1, 1, {}, 1, language_model.VOCABULARY)
-    new.slot, new.inside, new.prior, new.model = scorer.slot, scorer.inside, scorer.prior, attention.Model(wide=scorer.model.wide)
-    words = language_model.split(language_model.pa.array([prose(77, 5) + " " + texts[3][:4000]]))
-    assert scorer.score(*words)[0] > 0.95 * new.score(*words)[0]  # untrained before: equal
-    scorer.model = attention.Model(wide=scorer.model.wide)
-    own = [t for i, t in enumerate(texts) if i % 10 != 9]
-    _, tokens, _ = scorer.slots(*language_model.split(language_model.pa.array(own)))
-    assert language_model._pass(rows, scorer) == tokens.sum()
+    ids, encoded = table_of_ids(spark, texts)
+    scorer = language_model.learn(encoded, len(texts), sample=0, steps_=0)
+    new = language_model.learn(encoded.filter("turn < 0"), 1, sample=0, steps_=0)
+    new.slot, new.prior, new.model = scorer.slot, scorer.prior, attention.Model(len(scorer.prior))
+    assert scorer.score([ids[3][:4000]])[0] > new.score([ids[3][:4000]])[0] + 20  # untrained before: equal
+    assert language_model.train(encoded, scorer) == sum(len(b) // 2 + 1 for i, b in enumerate(ids) if i % 10 != 9)
+
+
+def test_scores_of_a_model_are_the_means_of_its_slots(spark):
+    """A text's score is the sum over its tokens of the mixture of network and counts; unseen ids share one slot."""
+    ids, encoded = table_of_ids(spark, [prose(i, 40) for i in range(30)])
+    scorer = language_model.learn(encoded, 27, sample=10, steps_=3)
+    text = np.frombuffer(ids[0], "<u2").tolist() + [40000]  # no training text has this id
+    y = [int(scorer.slot[i]) for i in text] + [language_model.END]
+    assert y[-2] == language_model.OTHER
+    each = [math.log10(0.95 * math.exp(plain_log_probability(scorer.model, y, k)) + 0.05 * scorer.prior[y[k]]) for k in range(len(y))]
+    assert abs(scorer.score([np.array(text, "<u2").tobytes()])[0] - (sum(each) + scorer.other / math.log(10))) < 1e-2
+    assert abs(math.exp(scorer.other) * (scorer.slot == language_model.OTHER).sum() - 1) < 1e-9
 
 
 def test_each_id_has_its_own_slot_and_windows_overlap_by_half():
     counts = {i: 40_000 - i for i in range(0, 40_000, 7)}
-    scorer = language_model.Scorer({}, 1, 1, counts, 5, language_model.VOCABULARY)
+    scorer = language_model.Scorer(counts, 5, language_model.VOCABULARY)
     slots = scorer.slot[list(counts)]
-    assert len(set(slots.tolist())) == len(counts) and slots.min() == 2 and slots.max() < scorer.model.wide**2 and not scorer.inside[list(counts)].any()
-    assert len(scorer.prior) == scorer.model.wide**2 and abs(np.exp(scorer.inside[scorer.slot == language_model.OTHER]).sum() - 1) < 1e-9
-    _, first, scored = attention.windows(np.array([200]))
-    assert (scored - first)[1:].min() >= attention.WINDOW // 2
+    assert len(set(slots.tolist())) == len(counts) and slots.min() == 2 and slots.max() < attention.HEAD + scorer.model.wide**2
+    assert attention.WINDOW == 2 * attention.BLOCK and attention.LAST >= attention.EACH - 1
 
 
 # 10 secrets
