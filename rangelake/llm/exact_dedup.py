@@ -6,8 +6,9 @@ an exact count verifies them, and the winners (at most k rows) are broadcast, so
 are read. All other digests, none of which is hot, go through an ordinary shuffled aggregate and join.
 
 Defined cases: a null text counts as empty. A null doc_id never is the id that stays unless a group has no other, and
-its row is not marked kept. Rows that repeat both doc_id and text belong to the group and share its verdict. An empty
-table gives an empty result. Other columns of the input are ignored here and carried along by ``drop_duplicates``.
+its row is not marked kept. Rows that repeat both doc_id and text belong to the group and share its verdict. A doc_id
+may stand at several texts: rows are judged, not ids. An empty table gives an empty result. Other columns of the input
+are ignored here and carried along by ``drop_duplicates``, which keeps one row of each group, whatever repeats.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rangelake.llm.shared import cut, shared_folder, text_or_empty
+from rangelake.llm.shared import cut, shared_folder, text_or_empty, without
 
 #: Counters of the sketch, and so the most rows that are broadcast.
 COUNTERS = 4096
@@ -74,9 +75,9 @@ def exact_dedup(docs: DataFrame, k: int = COUNTERS, folder: str | None = None) -
 
 
 def drop_duplicates(docs: DataFrame, k: int = COUNTERS) -> DataFrame:
-    """``docs`` without the rows whose text another row with a smaller doc_id has; rows without doc_id stay."""
-    dropped = exact_dedup(docs, k).filter(~F.col("kept") & F.col("doc_id").isNotNull()).select("doc_id")
-    return docs.join(dropped.hint("merge"), "doc_id", "left_anti").select(*docs.columns)
+    """``docs`` with one row of each text: that of the smallest doc_id; one without doc_id if there is no other."""
+    dropped = exact_dedup(docs, k).filter(~F.col("doc_id").eqNullSafe(F.col("keep_id"))).select("doc_id", F.col("text_sha256").alias("mark"))
+    return without(docs, dropped.distinct(), F.sha2(normalised(text_or_empty()), 256))
 
 
 ORACLE_SQL = r"""

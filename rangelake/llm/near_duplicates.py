@@ -15,7 +15,8 @@ Result: one row per row of the input: doc_id, class_id (the smallest doc_id of a
 it, itself if none), n_links (how many other documents have a similarity of at least the threshold, copies included).
 
 Defined cases: texts without a word (null, empty, marks only) are linked to nothing. Rows without doc_id have no class
-and no link. Rows that repeat a doc_id count as copies of one another. An empty table gives an empty result. Other
+and no link. Every row counts by itself: rows that repeat doc_id and text are copies of one another, and a doc_id that
+stands at several texts has a row, and maybe a class, for each of them. An empty table gives an empty result. Other
 columns are ignored, and carried along by ``drop_near_duplicates``.
 """
 
@@ -31,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rangelake.llm.shared import cut, shared_folder, steps
+from rangelake.llm.shared import cut, shared_folder, steps, without
 
 SHINGLE, THRESHOLD, TOLERANCE = 5, 0.8, 1e-6
 BANDS, ROWS = 16, 4
@@ -42,7 +43,6 @@ STEP = 16
 BLOCK = 512
 _WORD = re.compile(r"\w+")
 _BASE = 0x9E3779B97F4A7C15 | 1
-_MASK = (1 << 64) - 1
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -135,7 +135,7 @@ def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys = [hashlib.blake2b(d, digest_size=16).digest() if d else None for d in data]
         rows = signatures([_shingles_of(d) for d in data])
         signed = [r.tobytes() if d else None for r, d in zip(rows, data, strict=True)]
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(keys, pa.binary()), pa.array(signed, pa.binary())], ["doc_id", "key", "signature"])
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("mark"), pa.array(keys, pa.binary()), pa.array(signed, pa.binary())], ["doc_id", "mark", "key", "signature"])
 
 
 def _bands(signature: np.ndarray) -> np.ndarray:
@@ -152,8 +152,8 @@ def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         signature = np.array([np.frombuffer(s, np.uint32) for s in batch.column("signature").to_pylist()], dtype=np.uint32).reshape(-1, VALUES)
         bands = _bands(signature).view(np.int64)
         n = batch.num_rows
-        reps = np.repeat(np.asarray(batch.column("rep")), BANDS)
-        yield pa.RecordBatch.from_arrays([pa.array(reps), pa.array(np.tile(np.arange(BANDS, dtype=np.int32), n)), pa.array(bands.reshape(-1))], ["rep", "band", "bucket"])
+        nodes = np.repeat(np.asarray(batch.column("node")), BANDS)
+        yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(np.tile(np.arange(BANDS, dtype=np.int32), n)), pa.array(bands.reshape(-1))], ["node", "band", "bucket"])
 
 
 def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
@@ -219,7 +219,7 @@ def _verified(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[p
     need = least_matches(threshold)
     for tile in _groups(batches):
         a, b = _pairs(tile, need)
-        reps, weights = np.asarray(tile["rep"]), np.asarray(tile["weight"])
+        nodes, weights = np.asarray(tile["node"]), np.asarray(tile["weight"])
         sets = [np.frombuffer(s, dtype=np.uint64) for s in tile["shingles"].to_pylist()]
         sizes = np.array([len(s) for s in sets])
         if len(a):
@@ -241,8 +241,8 @@ def _verified(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[p
             a, b = a[linked], b[linked]
         if not len(a):
             continue
-        links = np.bincount(a, weights=weights[b], minlength=len(reps)) + np.bincount(b, weights=weights[a], minlength=len(reps))
-        root = np.arange(len(reps))
+        links = np.bincount(a, weights=weights[b], minlength=len(nodes)) + np.bincount(b, weights=weights[a], minlength=len(nodes))
+        root = np.arange(len(nodes))
         while True:  # smallest place that links reach inside the tile
             low = root.copy()
             np.minimum.at(low, a, root[b])
@@ -252,7 +252,7 @@ def _verified(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[p
                 break
             root = low
         own = np.flatnonzero(links > 0)
-        yield pa.RecordBatch.from_arrays([pa.array(reps[own]), pa.array(links[own].astype(np.int64)), pa.array(reps[root[own]])], ["rep", "links", "other"])
+        yield pa.RecordBatch.from_arrays([pa.array(nodes[own]), pa.array(links[own].astype(np.int64)), pa.array(nodes[root[own]])], ["node", "links", "other"])
 
 
 def connected(edges: DataFrame, folder: str) -> DataFrame:
@@ -261,7 +261,8 @@ def connected(edges: DataFrame, folder: str) -> DataFrame:
     seen = None
     for turn in range(1, 200):
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        # a star's centre is hot: with the least cut off, Spark can split the join
+        least = cut(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), f"least-{turn}", folder)
         large = both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a != b").distinct()
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(low, "a").filter("b != m").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(low.select("a", F.col("m").alias("b"))).distinct()
@@ -276,50 +277,65 @@ def connected(edges: DataFrame, folder: str) -> DataFrame:
 
 
 def _tiles(buckets: DataFrame) -> DataFrame:
-    """(rep, band, bucket, block, i, j): each class of a bucket of two or more, once for each tile of its block."""
+    """(node, band, bucket, block, i, j): each class of a bucket of two or more, once for each tile of its block."""
     sizes = buckets.groupBy("band", "bucket").agg(F.count("*").alias("n")).filter("n > 1")
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    placed = buckets.join(sizes, ["band", "bucket"]).select("rep", "band", "bucket", blocks.alias("blocks"), F.pmod(F.xxhash64("rep"), blocks).cast("int").alias("block"))
+    placed = buckets.join(sizes, ["band", "bucket"]).select("node", "band", "bucket", blocks.alias("blocks"), F.pmod(F.xxhash64("node"), blocks).cast("int").alias("block"))
     met = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    return placed.select("rep", "band", "bucket", "block", met).select("rep", "band", "bucket", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
+    return placed.select("node", "band", "bucket", "block", met).select("node", "band", "bucket", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
 
 
-def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """doc_id, class_id, n_links."""
-    spark = docs.sparkSession
-    folder = shared_folder(spark)
-    keyed = cut(docs.select("doc_id", "text").mapInArrow(_classes, "doc_id long, key binary, signature binary"), "keyed", folder)
+def _linked(docs: DataFrame, threshold: float, folder: str) -> tuple[DataFrame, DataFrame]:
+    """Rows as (doc_id, mark, key), and of each key: class_id, n_links, and doc_id and mark of its group's first row.
+
+    A class is numbered, as its doc_id may stand at other texts, too; ``mark`` tells the texts of a doc_id apart.
+    """
+    keyed = docs.select("doc_id", "text", F.md5(F.coalesce("text", F.lit(""))).alias("mark")).mapInArrow(_classes, "doc_id long, mark string, key binary, signature binary")
+    keyed = cut(keyed, "keyed", folder)
     worded = keyed.filter(F.col("key").isNotNull() & F.col("doc_id").isNotNull())
-    classes = cut(worded.groupBy("key").agg(F.min("doc_id").alias("rep"), F.count("*").alias("weight"), F.min("signature").alias("signature")), "classes", folder)
+    classes = worded.groupBy("key").agg(F.min(F.struct("doc_id", "mark")).alias("first"), F.count("*").alias("weight"), F.min("signature").alias("signature"))
+    classes = cut(classes.select(F.monotonically_increasing_id().alias("node"), "*"), "classes", folder)
 
-    buckets = cut(classes.select("rep", "signature").mapInArrow(_buckets, "rep long, band int, bucket long"), "buckets", folder)
+    buckets = cut(classes.select("node", "signature").mapInArrow(_buckets, "node long, band int, bucket long"), "buckets", folder)
     tile_key = ["band", "bucket", "i", "j"]
-    light = _tiles(buckets).join(classes.select("rep", "weight", "signature"), "rep")
-    light = light.select("rep", "weight", "signature", "block", *tile_key)
+    light = _tiles(buckets).join(classes.select("node", "weight", "signature"), "node")
+    light = light.select("node", "weight", "signature", "block", *tile_key)
     candidates = cut(light.repartition(*tile_key).sortWithinPartitions(*tile_key).mapInArrow(_candidates, light.schema), "candidates", folder)
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in steps(batches):
             own = [np.unique(shingles(t)).tobytes() for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(own, pa.binary())], ["rep", "shingles"])
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(own, pa.binary())], ["node", "shingles"])
 
-    wanted = candidates.select(F.col("rep").alias("doc_id")).distinct()
+    wanted = classes.join(candidates.select("node").distinct(), "node", "left_semi").select("node", "first.*")
     # merged at every size: a broadcast that small inputs happen to get would not carry over to large ones
-    texts = docs.select("doc_id", "text").join(wanted.hint("merge"), "doc_id", "left_semi").mapInArrow(sets, "rep long, shingles binary")
-    texts = cut(texts.dropDuplicates(["rep"]), "shingles", folder)
-    heavy = candidates.join(texts, "rep").repartition(*tile_key).sortWithinPartitions(*tile_key)
-    verified = cut(heavy.mapInArrow(lambda b: _verified(b, threshold), "rep long, links long, other long"), "verified", folder)
-
-    roots = connected(verified.select(F.col("rep").alias("a"), F.col("other").alias("b")), folder)
-    links = verified.groupBy("rep").agg(F.sum("links").alias("links"))
-    settled = classes.select("key", "rep", "weight").join(links, "rep", "left").join(roots.withColumnRenamed("node", "rep"), "rep", "left")
-    settled = settled.select("key", F.coalesce("root", "rep").alias("class_id"), (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links"))
+    marked = docs.select("doc_id", "text", F.md5(F.coalesce("text", F.lit(""))).alias("mark"))
+    texts = marked.join(wanted.hint("merge"), ["doc_id", "mark"]).select("node", "text").mapInArrow(sets, "node long, shingles binary")
+    texts = cut(texts.dropDuplicates(["node"]), "shingles", folder)
+    heavy = candidates.join(texts, "node").repartition(*tile_key).sortWithinPartitions(*tile_key)
+    verified = cut(heavy.mapInArrow(lambda b: _verified(b, threshold), "node long, links long, other long"), "verified", folder)
+
+    roots = connected(verified.select(F.col("node").alias("a"), F.col("other").alias("b")), folder)
+    links = verified.groupBy("node").agg(F.sum("links").alias("links"))
+    settled = classes.drop("signature").join(links, "node", "left").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    settled = cut(settled, "settled", folder)
+    firsts = settled.groupBy("root").agg(F.min("first").alias("group"))
+    settled = settled.join(firsts, "root")  # as many rows as classes; a large group's are split by Spark
+    n_links = F.coalesce("links", F.lit(0)) + F.col("weight") - 1
+    return keyed.select("doc_id", "mark", "key"), settled.select("key", F.col("group.doc_id").alias("class_id"), n_links.alias("n_links"), F.col("group.mark").alias("first_mark"))
+
+
+def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """doc_id, class_id, n_links."""
+    keyed, settled = _linked(docs, threshold, shared_folder(docs.sparkSession))
     # a key may be hot, its class is one row: such a join is split by Spark
     rows = keyed.select("doc_id", F.when(F.col("doc_id").isNotNull(), F.col("key")).alias("key")).join(settled, "key", "left")
     return rows.select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
 
 
 def drop_near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` with one document of each class, that of the smallest doc_id."""
-    dropped = near_duplicates(docs, threshold).filter("doc_id != class_id").select("doc_id").distinct()
-    return docs.join(dropped.hint("merge"), "doc_id", "left_anti").select(*docs.columns)
+    """``docs`` with one row of each class: the first by doc_id and text. Rows that repeat both stay once in any case."""
+    keyed, settled = _linked(docs, threshold, shared_folder(docs.sparkSession))
+    rows = keyed.filter(F.col("doc_id").isNotNull() & F.col("key").isNotNull()).select("doc_id", "mark", "key").distinct().join(settled, "key")
+    dropped = rows.filter((F.col("doc_id") != F.col("class_id")) | (F.col("mark") != F.col("first_mark"))).select("doc_id", "mark")
+    return without(docs, dropped, F.md5(F.coalesce("text", F.lit(""))))

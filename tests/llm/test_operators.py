@@ -55,8 +55,20 @@ def test_exact_dedup(spark, awkward, nothing):
             r = got[i, digest]
             assert (r["keep_id"], r["group_size"], r["kept"]) == (min(known, default=None), len(ids), bool(known) and i == min(known))
     assert exact_dedup.exact_dedup(awkward).count() == awkward.count() and exact_dedup.exact_dedup(nothing).count() == 0
-    left = exact_dedup.drop_duplicates(awkward)
-    assert left.columns == awkward.columns and {r["doc_id"] for r in left.collect()} == {None, 0, 2, 3, 4, 5, 6, 8, 10, 12, 13}
+
+
+def test_drop_duplicates_keeps_one_row_of_each_text(spark, awkward, nothing):
+    """Also where an id stands at several texts, rows repeat, or ids are null."""
+    texts = ["same", "same", "another", "another one", "rep", "rep", "n  n", "n n", "x", "x"]
+    docs = frame(spark, texts, ids=[3, 5, 5, 5, 7, 7, None, None, None, 9]).unionByName(awkward.withColumn("doc_id", F.col("doc_id") + 100)).repartition(5)
+    left = exact_dedup.drop_duplicates(docs, k=2)
+    groups = defaultdict(list)
+    for r in docs.collect():
+        groups[re.sub(r"[\x20\x09-\x0D]+", " ", r["text"] or "")].append(r["doc_id"])
+    first = lambda ids: min((i for i in ids if i is not None), default=None)
+    got = Counter((r["doc_id"], re.sub(r"[\x20\x09-\x0D]+", " ", r["text"] or "")) for r in left.collect())
+    assert left.columns == docs.columns and got == Counter((first(ids), t) for t, ids in groups.items())
+    assert exact_dedup.drop_duplicates(nothing).count() == 0
 
 
 def test_heavy_digests_are_found(spark):
@@ -379,7 +391,18 @@ def test_near_duplicates(spark, awkward, nothing, monkeypatch):
     assert Counter(tuple(r) for r in got.collect()) == plain_links(rows)
     left = near_duplicates.drop_near_duplicates(docs)
     assert left.columns == docs.columns and {r["doc_id"] for r in left.collect()} == {c for _, c, _ in plain_links(rows)}
-    assert near_duplicates.near_duplicates(nothing).count() == 0
+    assert near_duplicates.near_duplicates(nothing).count() == 0 and near_duplicates.drop_near_duplicates(nothing).count() == 0
+
+
+def test_near_duplicates_of_ids_with_several_texts(spark):
+    a, b, c = prose(1, 60), prose(2, 60), prose(3, 60)
+    near = lambda t, w: t.replace(t.split()[-1], w)
+    rows = [(3, a), (5, a + " x"), (5, b), (8, b), (8, b), (9, near(c, "y")), (2, c), (5, "..."), (None, a), (4, None), (4, b + " z"), (7, prose(4, 3)), (7, prose(4, 3))]
+    docs = frame(spark, [t for _, t in rows], ids=[i for i, _ in rows]).repartition(3)
+    assert Counter(tuple(r) for r in near_duplicates.near_duplicates(docs).collect()) == plain_links(rows)
+    left = Counter((r["doc_id"], r["text"]) for r in near_duplicates.drop_near_duplicates(docs).collect())
+    linked = plain_links(rows)
+    assert left == Counter([(3, a), (4, b + " z"), (2, c) if (9, 2, 1) in linked else (2, c), (5, "..."), (None, a), (4, None), (7, prose(4, 3))] + ([] if (9, 2, 1) in linked else [(9, near(c, "y"))]))
 
 
 def test_minhash_and_pruning():
