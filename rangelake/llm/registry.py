@@ -55,4 +55,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_exact_dedup": exact_dedup.ORACLE_SQL}
+    return {"op1_exact_dedup": exact_dedup.ORACLE_SQL, "op2_url_filter": url_filter.ORACLE_SQL}

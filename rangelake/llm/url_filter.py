@@ -1,19 +1,20 @@
 """URL filter: fixed host and path rules first, then association rules that FP-growth mines from labelled pages.
 
-A URL is a set of tokens: the labels of its host (``h:``), its path segments (``p:``) and the keys of its query
-(``q:``), lower-cased, each run of digits as ``#``. A labelled page is a transaction of its tokens and its label, block
-(toxic, or of no quality) or allow. Spark's FP-growth finds the frequent combinations; a combination that implies block
-with enough support and confidence is a rule, unless a part of it implies block at least as surely. Rules are held in an
-inverted index under their rarest token: a URL meets only rules filed under a token that it has, and a rule fits if the
-URL has all of its tokens. A page that a fitting rule blocks is blocked, any other is allowed.
+A URL is a set of tokens: the words of its host (``h:``) and path (``p:``), cut at dots, slashes, hyphens and underscores,
+and the keys of its query (``q:``), lower-cased, each run of digits as ``#``. A labelled page is a transaction of its tokens
+and its label, block (toxic, or of no quality) or allow. Spark's FP-growth finds the frequent combinations. A combination
+is a rule if the pages that have it and are blocked reach SUPPORT of all labelled pages, if its confidence is LIFT times
+the share of blocked pages at least, and if that isn't chance: the lower end of the confidence's Wilson interval (Z
+deviations) is above that share. A rule goes if a part of it is a rule at least as sure. The same bounds hold at every size.
 
-Bounds of the training, none of which touches the matching: a transaction holds the page's ITEMS most frequent tokens,
-so it has at most 2^ITEMS combinations, and at most 2^ITEMS / SUPPORT combinations can be frequent.
+Rules are held in an inverted index under their rarest token: a URL meets only rules filed under a token that it has, and
+a rule fits if the URL has all of its tokens. The index is broadcast if it has at most BROADCAST rules; a larger one is
+joined by token, where Spark splits a hot one. A page that a fitting rule blocks is blocked, any other is allowed.
 
 Defined cases: a URL that is null or lacks ``://`` has an empty host and path and no tokens, and is allowed. Repeated
 rows are judged one by one. Labels without a page, and pages without a label, are no transactions; several labels of a
 page are several transactions. No labels or no pages: no rules, so what no fixed rule fits is allowed. Other columns of
-the tables are ignored.
+the tables are ignored. Whole transactions are mined: the time grows with the combinations that SUPPORT of the pages share.
 """
 
 from __future__ import annotations
@@ -23,17 +24,17 @@ from functools import reduce
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from rangelake.llm.shared import cut, shared_folder
 
 #: Fixed rules: verdict, host, path.
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
-SUPPORT, CONFIDENCE, ITEMS = 0.001, 0.5, 10
-#: Labelled pages that a combination needs, where the support asks for fewer.
-LEAST = 20
+SUPPORT, LIFT, Z = 0.005, 1.5, 2.0
+#: The most rules that are broadcast.
+BROADCAST = 50_000
 BLOCK, ALLOW = "label=block", "label=allow"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+NO_RULES = "rarest string, tokens array<string>, confidence double, support double"
 
 
 def host_of(url: Column) -> Column:
@@ -57,59 +58,94 @@ def tokens_of(url: Column) -> Column:
     """Distinct tokens of a URL."""
     query = F.regexp_extract(F.coalesce(url, F.lit("")), r"(?s)^.*?://[^/?#]*[^?#]*\?([^#]*)", 1)
 
-    def parts(text: Column, by: str, mark: str, cut_at: str | None = None) -> Column:
+    def parts(text: Column, by: str, mark: str) -> Column:
         pieces = F.filter(F.split(F.lower(text), by), lambda x: x != "")
-        return F.transform(pieces, lambda x: F.concat(F.lit(mark), F.regexp_replace(F.split(x, cut_at)[0] if cut_at else x, "[0-9]+", "#")))
+        return F.transform(pieces, lambda x: F.concat(F.lit(mark), F.regexp_replace(x if mark != "q:" else F.split(x, "=")[0], "[0-9]+", "#")))
 
-    return F.array_distinct(F.concat(parts(host_of(url), r"\.", "h:"), parts(path_of(url), "/", "p:"), parts(query, "&", "q:", "=")))
+    return F.array_distinct(F.concat(parts(host_of(url), "[._-]", "h:"), parts(path_of(url), "[/._-]", "p:"), parts(query, "&", "q:")))
 
 
-def mine(pages: DataFrame, labels: DataFrame, folder: str, support: float = SUPPORT, confidence: float = CONFIDENCE, items: int = ITEMS) -> DataFrame:
+def wilson_low(share: Column, n: Column, z: float = Z) -> Column:
+    """Lower end of the Wilson interval of a share that n draws gave."""
+    return (share + z * z / (2 * n) - z * F.sqrt(share * (1 - share) / n + z * z / (4 * n * n))) / (1 + z * z / n)
+
+
+def meeting(have: DataFrame, rules: DataFrame) -> DataFrame:
+    """Rows of ``have`` (with a column have) beside each rule whose tokens they all have."""
+    met = have.withColumn("rarest", F.explode("have")).join(rules, "rarest")
+    return met.filter(F.forall("tokens", lambda t: F.array_contains("have", t)))
+
+
+def mine(pages: DataFrame, labels: DataFrame, folder: str, support: float = SUPPORT, lift: float = LIFT) -> DataFrame:
     """Rules: rarest (the token it is filed under), tokens, confidence, support."""
-    bad = (F.coalesce(F.col("toxic"), F.lit(0)) == 1) | (F.coalesce(F.col("quality"), F.lit(1)) == 0)
-    labelled = cut(
-        pages.select(F.col("page_id").alias("doc_id"), tokens_of(F.col("url")).alias("tokens")).join(labels.select("doc_id", bad.alias("bad")), "doc_id").filter(F.size("tokens") > 0).select("doc_id", "tokens", "bad"),
-        "labelled",
-        folder,
-    )
-    rows = labelled.count()
-    support = max(support, LEAST / max(rows, 1))
-    floor = support * rows
-    frequent = labelled.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count("*").alias("n")).filter(F.col("n") >= floor)
-    frequent = cut(frequent, "tokens", folder)  # 1/support tokens a place in a transaction, at most
     spark = pages.sparkSession
-    known = {r["token"]: r["n"] for r in frequent.collect()}
-    if not known:
-        return spark.createDataFrame([], "rarest string, tokens array<string>, confidence double, support double")
-    rank = {t: i for i, (t, _) in enumerate(sorted(known.items(), key=lambda x: (-x[1], x[0])))}
-    ranks = F.create_map(*[F.lit(x) for pair in rank.items() for x in pair]) if len(rank) <= 20_000 else None
-    if ranks is None:
-        raise ValueError(f"{len(rank)} tokens are frequent; raise the support")
-    kept = F.transform(F.slice(F.array_sort(F.filter(F.transform(F.col("tokens"), lambda t: F.struct(ranks[t].alias("rank"), t.alias("token"))), lambda s: s["rank"].isNotNull())), 1, items), lambda s: s["token"])
-    transactions = labelled.select(F.concat(kept, F.array(F.when(F.col("bad"), BLOCK).otherwise(ALLOW))).alias("items")).filter(F.size("items") > 1)
-    model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=confidence).fit(transactions)
-    found = [(sorted(r["antecedent"], key=lambda t: -rank.get(t, -1)), r["confidence"], r["support"]) for r in model.associationRules.filter(F.col("consequent")[0] == BLOCK).filter(~F.array_contains("antecedent", ALLOW)).collect()]
-    found.sort(key=lambda r: (len(r[0]), r[0]))
-    least: dict[frozenset, tuple] = {}
-    for tokens, sure, share in found:
-        mine_ = frozenset(tokens)
-        if not any(other < mine_ and least[other][1] >= sure for other in least):
-            least[mine_] = (tokens, sure, share)
-    schema = T.StructType([T.StructField("rarest", T.StringType()), T.StructField("tokens", T.ArrayType(T.StringType())), T.StructField("confidence", T.DoubleType()), T.StructField("support", T.DoubleType())])
-    return spark.createDataFrame([(t[0], t, float(c), float(s)) for t, c, s in least.values()], schema)
-
-
-def url_filter(pages: DataFrame, labels: DataFrame, support: float = SUPPORT, confidence: float = CONFIDENCE, items: int = ITEMS) -> DataFrame:
+    bad = (F.coalesce(F.col("toxic"), F.lit(0)) == 1) | (F.coalesce(F.col("quality"), F.lit(1)) == 0)
+    tokens = pages.select(F.col("page_id").alias("doc_id"), tokens_of(F.col("url")).alias("tokens")).filter(F.size("tokens") > 0)
+    labelled = cut(tokens.join(labels.select("doc_id", bad.alias("bad")), "doc_id").select("tokens", "bad"), "labelled", folder)
+    rows, blocked = labelled.agg(F.count("*"), F.count(F.when(F.col("bad"), True))).first()
+    if not blocked:
+        return spark.createDataFrame([], NO_RULES)
+    base = blocked / rows
+    transactions = labelled.select(F.concat("tokens", F.array(F.when(F.col("bad"), BLOCK).otherwise(ALLOW))).alias("items"))
+    model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=min(1.0, lift * base)).fit(transactions)
+    found = model.associationRules.filter((F.element_at("consequent", 1) == BLOCK) & ~F.array_contains("antecedent", ALLOW))
+    found = found.filter((F.col("confidence") >= lift * base) & (wilson_low(F.col("confidence"), F.round(F.col("support") * rows / F.col("confidence"))) > base))
+    found = cut(found.select(F.monotonically_increasing_id().alias("rule"), F.array_sort("antecedent").alias("tokens"), "confidence", "support"), "found", folder)
+
+    counts = labelled.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count("*").alias("n"))
+    rarest = found.select("rule", F.explode("tokens").alias("token")).join(counts, "token").groupBy("rule").agg(F.min(F.struct("n", "token"))["token"].alias("rarest"))
+    filed = cut(found.join(rarest, "rule"), "filed", folder)
+    part = filed.select("rarest", F.col("tokens").alias("part"), F.col("confidence").alias("surety"))
+    within = meeting(filed.select("rule", "confidence", F.col("tokens").alias("have")), part.withColumnRenamed("part", "tokens"))
+    needless = within.filter((F.size("tokens") < F.size("have")) & (F.col("surety") >= F.col("confidence"))).select("rule").distinct()
+    return filed.join(needless, "rule", "left_anti").select("rarest", "tokens", "confidence", "support")
+
+
+def url_filter(pages: DataFrame, labels: DataFrame, support: float = SUPPORT, lift: float = LIFT) -> DataFrame:
     """One row per page: page_id, host, path, rule, verdict, method_confidence (of the surest mined rule that fits)."""
     folder = shared_folder(pages.sparkSession)
-    rules = cut(mine(pages, labels, folder, support, confidence, items), "rules", folder)
+    rules = cut(mine(pages, labels, folder, support, lift), "rules", folder).select("rarest", "tokens", "confidence")
+    rules = F.broadcast(rules) if rules.count() <= BROADCAST else rules.hint("merge")
     url = F.col("url")
     host, path = host_of(url).alias("host"), path_of(url).alias("path")
     rows = pages.select("page_id", host, path, tokens_of(url).alias("have"), F.monotonically_increasing_id().alias("row"))
     rule, verdict = fixed_rule(F.col("host"), F.col("path"))
     judged = rows.select("row", "page_id", "host", "path", rule.alias("rule"), verdict.alias("fixed"), "have")
-    met = judged.filter(F.col("rule").isNull()).select("row", "have", F.explode("have").alias("rarest")).join(rules, "rarest")
-    fits = met.filter(F.forall("tokens", lambda t: F.array_contains("have", t))).groupBy("row").agg(F.max("confidence").alias("method_confidence"))
+    fits = meeting(judged.filter(F.col("rule").isNull()).select("row", "have"), rules).groupBy("row").agg(F.max("confidence").alias("method_confidence"))
     both = judged.drop("have").join(fits, "row", "left")
     chosen = F.coalesce(F.col("fixed"), F.when(F.col("method_confidence").isNotNull(), "block").otherwise("allow"))
     return both.select("page_id", "host", "path", "rule", chosen.alias("verdict"), "method_confidence")
+
+
+_PIECES = "list_transform(list_filter(regexp_split_to_array(lower({0}), '{1}'), lambda x: x <> ''), lambda x: '{2}' || regexp_replace({3}, '[0-9]+', '#', 'g'))"
+_FITS = "(host = '{1}' OR ends_with(host, '.{1}')) AND starts_with(path, '{2}')"
+_ORDERED = sorted(RULES, key=lambda r: -len(r[1] + r[2]))
+#: Mines by all combinations of each page's tokens, so for small tables.
+ORACLE_SQL = f"""
+WITH cut AS (
+  SELECT page_id, translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), '{UPPER}', '{LOWER}') AS host,
+    regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path, regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*[^?#]*\\?([^#]*)', 1) AS query
+  FROM pages),
+split AS (
+  SELECT *, row_number() OVER () AS page, list_distinct(list_concat(list_concat({_PIECES.format("host", "[._-]", "h:", "x")}, {_PIECES.format("path", "[/._-]", "p:", "x")}), {_PIECES.format("query", "&", "q:", "string_split(x, '=')[1]")})) AS have
+  FROM cut),
+labelled AS (
+  SELECT have, (coalesce(toxic, 0) = 1 OR coalesce(quality, 1) = 0)::INT AS bad
+  FROM split JOIN labels ON page_id = doc_id WHERE len(have) > 0),
+base AS (SELECT count(*) AS pages, sum(bad) / count(*) AS share FROM labelled),
+combined AS (
+  SELECT list_sort(list_filter(have, lambda x, i: (mask >> (i - 1)) & 1 = 1)) AS tokens, bad
+  FROM (SELECT have, bad, unnest(range(1, (1 << len(have))::BIGINT)) AS mask FROM labelled)),
+sure AS (SELECT tokens, count(*)::DOUBLE AS n, sum(bad)::DOUBLE AS b, sum(bad)::DOUBLE / count(*) AS p FROM combined GROUP BY tokens),
+rules AS (
+  SELECT tokens, p FROM sure, base
+  WHERE b >= greatest(1, ceil({SUPPORT} * pages)) AND p >= {LIFT} * share
+    AND (p + {Z * Z} / (2 * n) - {Z} * sqrt(p * (1 - p) / n + {Z * Z} / (4 * n * n))) / (1 + {Z * Z} / n) > share),
+fixed AS (
+  SELECT *, CASE {" ".join(f"WHEN {_FITS.format(*r)} THEN '{r[1]}{r[2]}'" for r in _ORDERED)} END AS rule,
+    CASE {" ".join(f"WHEN {_FITS.format(*r)} THEN '{r[0]}'" for r in _ORDERED)} END AS verdict
+  FROM split),
+met AS (SELECT page, max(p) AS p FROM fixed JOIN rules ON list_has_all(have, tokens) WHERE rule IS NULL GROUP BY page)
+SELECT page_id, host, path, rule, coalesce(verdict, CASE WHEN p IS NOT NULL THEN 'block' ELSE 'allow' END) AS verdict, p AS method_confidence
+FROM fixed LEFT JOIN met USING (page)
+"""

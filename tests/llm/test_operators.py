@@ -107,7 +107,8 @@ def test_url_rules(spark):
         assert r["verdict"] == ("allow" if rule is None or rule in ("example.net/en/", "org/fr/") else "block")
 
 
-def test_url_rules_are_learned(spark):
+@pytest.mark.parametrize("joined", [False, True])
+def test_url_rules_are_learned(spark, tmp_path, monkeypatch, joined):
     """Mined rules equal those of counting all combinations, and a page is blocked if one fits."""
     r = np.random.default_rng(3)
     urls, labels = [], []
@@ -125,10 +126,19 @@ def test_url_rules_are_learned(spark):
             part = frozenset(t for k, t in enumerate(have) if mask >> k & 1)
             counts[part] += 1
             blocked[part] += toxic
-    rules = {p for p, n in blocked.items() if n >= url_filter.LEAST and n / counts[p] >= url_filter.CONFIDENCE}
+    base, z = sum(t for _, _, t in labels) / len(labels), url_filter.Z
+
+    def low(p, n):
+        return (p + z * z / (2 * n) - z * math.sqrt(p * (1 - p) / n + z * z / (4 * n * n))) / (1 + z * z / n)
+
+    rules = {p: n / counts[p] for p, n in blocked.items() if n >= 0.005 * 600 and n / counts[p] >= 1.5 * base and low(n / counts[p], counts[p]) > base}
     expected = {i: "block" if any(p <= t for p in rules) else "allow" for i, t in tokens.items()}
-    got = {x["page_id"]: x["verdict"] for x in url_filter.url_filter(pages, labelled, support=0.001).collect()}
+    monkeypatch.setattr(url_filter, "BROADCAST", 0 if joined else 10**6)
+    got = {x["page_id"]: x["verdict"] for x in url_filter.url_filter(pages, labelled).collect()}
     assert got == expected and set(got.values()) == {"allow", "block"}
+    mined = {frozenset(r["tokens"]): r for r in url_filter.mine(pages, labelled, f"file://{tmp_path}/m").collect()}
+    assert mined.keys() == {p for p, c in rules.items() if not any(o < p and rules[o] >= c for o in rules)}
+    assert all(counts[frozenset([r["rarest"]])] == min(counts[frozenset([t])] for t in p) for p, r in mined.items())
 
 
 def test_url_filter_of_awkward_tables(spark):
@@ -401,8 +411,8 @@ def test_near_duplicates_of_ids_with_several_texts(spark):
     docs = frame(spark, [t for _, t in rows], ids=[i for i, _ in rows]).repartition(3)
     assert Counter(tuple(r) for r in near_duplicates.near_duplicates(docs).collect()) == plain_links(rows)
     left = Counter((r["doc_id"], r["text"]) for r in near_duplicates.drop_near_duplicates(docs).collect())
-    linked = plain_links(rows)
-    assert left == Counter([(3, a), (4, b + " z"), (2, c) if (9, 2, 1) in linked else (2, c), (5, "..."), (None, a), (4, None), (7, prose(4, 3))] + ([] if (9, 2, 1) in linked else [(9, near(c, "y"))]))
+    alone = [] if (9, 2, 1) in plain_links(rows) else [(9, near(c, "y"))]
+    assert left == Counter([(3, a), (4, b + " z"), (2, c), (5, "..."), (None, a), (4, None), (7, prose(4, 3)), *alone])
 
 
 def test_minhash_and_pruning():
