@@ -1,19 +1,20 @@
 """Benchmark decontamination: every passage of the corpus queries a BM25 index of the test items.
 
 The index is small (the items are sharded by INDEX_CHARS, and each shard is broadcast in turn), so documents are never
-shuffled. Term and length statistics are those of all items, however many shards there are. A document is cut into passages of twice the longest item's words, half overlapping, so any item's copy lies
-whole in one. A passage's distinct words are the query; impacts are divided by the item's score against itself, so a
+shuffled. Term and length statistics are those of all items, however many shards there are, and so is the passage: a
+document is cut into passages of twice the longest item's words, half overlapping, so any item's copy lies whole in one. A passage's distinct words are the query; impacts are divided by the item's score against itself, so a
 score is the share of the item that the passage accounts for, and all items of THRESHOLD and above are retrieved.
 
 Retrieval is block-max WAND. Its first test, whether the terms' greatest impacts can reach the threshold at all (for the
 whole index, then for blocks of items), is made for all passages of a batch at once; the few that pass walk the postings
 with pivots and block maxima. A retrieved item is a leak if the shares of the n-grams of its question and of its answer
 that stand in the document both reach OVERLAP. The answer is what follows the last question mark, else the last
-sentence, else the last quarter.
+sentence, else the last quarter. Of an item of fewer than LEAST words, the whole must stand there as one phrase.
 
-Defined cases: null and empty texts have no passage. Items of fewer than LEAST words say too little and are left out; an
-empty benchmark finds nothing. Repeated rows are judged one by one, repeated items are reported each. Words are runs of
-letters, digits and underscores in lower case; of scripts that are written without spaces, each letter is a word. Other columns are ignored, and carried along by ``clean_documents``.
+Defined cases: null and empty texts have no passage. Items without a word, and null ones, can't be found; an empty
+benchmark finds nothing. An item without item_id is reported with a null item_id. Repeated rows are judged one by one,
+repeated items are reported each. Words are runs of letters, digits and underscores in lower case; of scripts that are
+written without spaces, each letter is a word. Other columns are ignored, and carried along by ``clean_documents``.
 """
 
 from __future__ import annotations
@@ -41,10 +42,17 @@ CHUNK = 1 << 20
 _UNSPACED = r"\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
 _WORD = re.compile(rf"[^\W{_UNSPACED}]+|(?=\w)[{_UNSPACED}]")
 _INSIDE = re.compile(rf"[^\W{_UNSPACED}]")
+_SPACED_WORD, _ANY_UNSPACED = re.compile(r"\w+"), re.compile(f"[{_UNSPACED}]")
 
 
 def words_of(text: str) -> list[str]:
-    return _WORD.findall(text.lower())
+    text = text.lower()
+    try:  # most texts have no letter that needs the dearer pattern, and most of those none beyond Latin-1
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        if _ANY_UNSPACED.search(text):
+            return _WORD.findall(text)
+    return _SPACED_WORD.findall(text)
 
 
 def split_answer(text: str) -> tuple[list[str], list[str]]:
@@ -63,31 +71,32 @@ def grams(words: list[str], n: int) -> set[tuple[str, ...]]:
 
 
 class Statistics:
-    """Of items: how many there are, their words, and in how many of them each term stands."""
+    """Of items: how many there are, their words, those of the longest, and in how many of them each term stands."""
 
     def __init__(self) -> None:
-        self.items, self.words, self.found_in = 0, 0, Counter()
+        self.items, self.words, self.longest, self.found_in = 0, 0, 0, Counter()
 
     def add(self, words: list[str]) -> None:
-        if len(words) >= LEAST:
+        if words:
             self.items += 1
             self.words += len(words)
+            self.longest = max(self.longest, len(words))
             self.found_in.update(dict.fromkeys(words, 1))
 
 
 class Index:
     """Postings with block maxima; items are numbered 0 to len(ids) - 1. Without ``statistics``, those of ``items`` count."""
 
-    def __init__(self, items: list[tuple[int, str]], statistics: Statistics | None = None) -> None:
+    def __init__(self, items: list[tuple[int | None, str]], statistics: Statistics | None = None) -> None:
         kept = [(i, t, words_of(t)) for i, t in items]
-        kept = [x for x in kept if len(x[2]) >= LEAST]
+        kept = [x for x in kept if x[2]]
         self.ids = [i for i, _, _ in kept]
         self.parts = [split_answer(t) for _, t, _ in kept]
-        self.longest = max((len(w) for _, _, w in kept), default=0)
         if statistics is None:
             statistics = Statistics()
             for _, _, w in kept:
                 statistics.add(w)
+        self.longest = statistics.longest if kept else 0
         average = statistics.words / max(statistics.items, 1)
         counts = [Counter(w) for _, _, w in kept]
         self.terms = {t: k for k, t in enumerate(dict.fromkeys(t for c in counts for t in c))}
@@ -147,7 +156,12 @@ class Index:
 
 
 def overlaps(item: tuple[list[str], list[str]], words: list[str]) -> tuple[float, float]:
-    """Shares of the question's and of the answer's n-grams (of up to five words) among those of ``words``."""
+    """Shares of the question's and of the answer's n-grams (of up to five words) among those of ``words``; of a short
+    item, whether it stands there whole."""
+    whole = [*item[0], *item[1]]
+    if len(whole) < LEAST:
+        there = float(tuple(whole) in grams(words, len(whole)))
+        return there, there
     shares = []
     for part in item:
         n = min(5, len(part))
@@ -224,9 +238,9 @@ def shards(benchmark: DataFrame) -> Iterator[Index]:
     total = items.agg(F.sum(F.length("text"))).first()[0] or 0
     n = max(1, -(-total // INDEX_CHARS))
 
-    def shard(k: int) -> list[tuple[int, str]]:
+    def shard(k: int) -> list[tuple[int | None, str]]:
         own = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k).collect() if n > 1 else items.collect()
-        return sorted((r["item_id"], r["text"]) for r in own if r["item_id"] is not None)
+        return sorted(((r["item_id"], r["text"]) for r in own), key=lambda x: (x[0] is None, x[0] or 0, x[1]))
 
     statistics = None
     if n > 1:

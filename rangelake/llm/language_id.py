@@ -11,8 +11,10 @@ few stand in any landmark. The bound is REJECT times the share that all but QUAN
 no landmarks. A text is dropped if its share is below by more than DOUBT deviations of a draw of as many 3-grams, so a
 text of very few letters, which tells nothing, stays.
 
-Fitted on a bounded sample: of each language TRAIN texts (LANDMARKS of them as landmarks) of at most LONGEST characters,
-drawn by a hash of doc_id; every text is then scored whole. Languages that the sample holds are learned.
+Fitted on a bounded sample: of each of the LANGUAGES most frequent values of lang, TRAIN texts (LANDMARKS of them as
+landmarks) of at most LONGEST characters, drawn by a hash of doc_id, and at most SAMPLE texts in all; every text is then
+scored whole. Languages that the sample holds are learned. No letter is left out: n-grams are numbers made of their code
+points, and looked up among those of the landmarks.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0; so is every text if nothing can be learned.
 Rows with a null lang are never learned from. Repeated rows are scored alike. An empty table gives an empty result.
@@ -24,6 +26,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -32,31 +35,59 @@ from pyspark.sql import functions as F
 
 from rangelake.llm.shared import in_fold, steps
 
-TRAIN, LANDMARKS, LONGEST = 200, 32, 20_000
-RIDGE, LETTERS = 1e-2, 62
+TRAIN, LANDMARKS, LONGEST, LANGUAGES, SAMPLE = 200, 32, 20_000, 200, 4000
+RIDGE = 1e-2
+#: Bits of a code point.
+_BITS = 21
 #: What part of the usual share of known 3-grams a text needs, what part of the labelled texts is unusual, and the doubt.
 REJECT, QUANTILE, DOUBT = 0.5, 0.01, 2.0
 FOLDS, HELD_OUT = 3, 1
 
 
+@cache
+def _letters() -> np.ndarray:
+    """Of each code point: that of its letter in lower case; 0, a gap, if it is no letter."""
+    out = np.zeros(0x110000, dtype=np.int32)
+    for code in range(0x110000):
+        c = chr(code)
+        if c.isalpha():
+            lower = c.lower()
+            out[code] = ord(lower) if len(lower) == 1 else code
+    return out
+
+
+def _grams(text: str) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Numbers of the 1-, 2- and 3-grams of a text, in pieces of a long one, each two characters over into the next."""
+    for at in range(0, len(text), 1 << 20):
+        c = _letters().take(np.frombuffer(text[at : at + (1 << 20) + 2].encode("utf-32-le", "surrogatepass"), dtype="<u4")).astype(np.int64)
+        two = (c[:-1] << _BITS) | c[1:]
+        yield c, two, (two[:-1] << _BITS) | c[2:]
+
+
 @dataclass(frozen=True)
 class Model:
-    letter: np.ndarray  # code point -> letter number; 0 a gap, 1 a letter that no landmark has
-    column: tuple[np.ndarray, ...]  # n-gram number -> column, for n = 1, 2, 3; the last column is none
-    landmarks: np.ndarray  # columns x landmarks, of length 1
+    known: tuple[np.ndarray, ...]  # numbers of the landmarks' n-grams in ascending order, for n = 1, 2, 3
+    landmarks: np.ndarray  # columns (1-, 2- and 3-grams in this order) x landmarks, of length 1
     weights: np.ndarray  # landmarks x languages
     languages: tuple[str, ...]
     bound: float = 0.0  # share of known 3-grams below which a text is foreign
 
+    def _columns(self, n: int, grams: np.ndarray) -> np.ndarray:
+        """Columns of n-grams; a column behind the last one for those that no landmark has."""
+        known = self.known[n - 1]
+        none = sum(map(len, self.known))
+        if not len(known):
+            return np.full(len(grams), none)
+        at = np.searchsorted(known, grams)
+        at[at == len(known)] = 0
+        return np.where(known.take(at) == grams, at + sum(map(len, self.known[: n - 1])), none)
+
     def familiar(self, text: str) -> tuple[int, int]:
         """How many 3-grams with a letter stand in a landmark, and how many there are; a gap is on either side of the text."""
         known = total = 0
-        text = f" {text} "
-        for at in range(0, len(text) - 2, 1 << 20):
-            c = self.letter[np.frombuffer(text[at : at + (1 << 20) + 2].encode("utf-32-le", "surrogatepass"), dtype="<u4")]
-            grams = (c[:-2] * 64 + c[1:-1]) * 64 + c[2:]
+        for _, _, grams in _grams(f" {text} "):
             grams = grams[grams > 0]
-            known += int((self.column[2][grams] < self.landmarks.shape[0]).sum())
+            known += int((self._columns(3, grams) < self.landmarks.shape[0]).sum())
             total += len(grams)
         return known, total
 
@@ -68,12 +99,9 @@ class Model:
         n = self.landmarks.shape[0]
         out = np.zeros((len(texts), n + 1), dtype=np.float32)
         for row, text in zip(out, texts, strict=True):
-            for at in range(0, len(text), 1 << 20):  # pieces of a long text, two characters over
-                c = self.letter[np.frombuffer(text[at : at + (1 << 20) + 2].encode("utf-32-le", "surrogatepass"), dtype="<u4")]
-                row[self.column[0][c]] = 1
-                two = c[:-1] * 64 + c[1:]
-                row[self.column[1][two]] = 1
-                row[self.column[2][two[:-1] * 64 + c[2:]]] = 1
+            for pieces in _grams(text):
+                for k, grams in enumerate(pieces, 1):
+                    row[self._columns(k, grams)] = 1
         return out[:, :n]
 
     def kernel(self, texts: list[str]) -> np.ndarray:
@@ -100,29 +128,16 @@ def fit(sample: list[tuple[str, str]]) -> Model:
     sample = [(lang, text) for lang, text in sample if any(map(str.isalpha, text))]
     languages = tuple(sorted({lang for lang, _ in sample}))
     if not languages:
-        return Model(np.zeros(0x110000, np.int32), (), np.zeros((0, 0), np.float32), np.zeros((0, 0), np.float32), ())
+        return Model((), np.zeros((0, 0), np.float32), np.zeros((0, 0), np.float32), ())
     seen: Counter = Counter()
     marks, others = [], []
     for lang, text in sample:
         seen[lang] += 1
         (marks if seen[lang] <= LANDMARKS else others).append(text)
-    frequent = Counter(c for t in marks for c in t.lower() if c.isalpha()).most_common(LETTERS)
-    number = {c: k + 2 for k, (c, _) in enumerate(sorted(frequent, key=lambda x: (-x[1], x[0])))}
-    letter = np.zeros(0x110000, dtype=np.int32)
-    for code in range(0x110000):
-        c = chr(code)
-        if c.isalpha():
-            letter[code] = number.get(c.lower(), 1)
-    whole = Model(letter, tuple(np.arange(64**n, dtype=np.int32) + sum(64**m for m in range(1, n)) for n in (1, 2, 3)), np.zeros((64 + 64**2 + 64**3, 1), np.float32), np.zeros((1, 1)), languages)
-    used = np.zeros(64 + 64**2 + 64**3, dtype=bool)
-    for t in marks:
-        used |= whole.presence([t])[0] > 0
-    position = np.where(used, np.cumsum(used) - 1, used.sum()).astype(np.int32)
-    bounds = np.cumsum([0, 64, 64**2, 64**3])
-    columns = tuple(position[bounds[n] : bounds[n + 1]] for n in range(3))
-    model = Model(letter, columns, np.zeros((int(used.sum()), 1), np.float32), np.zeros((1, 1)), languages)
+    used = tuple(np.unique(np.concatenate([np.unique(piece[n]) for t in marks for piece in _grams(t)])) for n in range(3))
+    model = Model(used, np.zeros((sum(map(len, used)), 1), np.float32), np.zeros((1, 1)), languages)
     p = model.presence(marks)
-    model = Model(letter, columns, (p / np.sqrt(np.maximum(p.sum(axis=1, keepdims=True), 1))).T.copy(), np.zeros((1, 1)), languages)
+    model = Model(used, (p / np.sqrt(np.maximum(p.sum(axis=1, keepdims=True), 1))).T.copy(), np.zeros((1, 1)), languages)
     values, vectors = np.linalg.eigh(model.kernel(marks).astype(np.float64))
     keep = values > 1e-8 * values.max()
     root = vectors[:, keep] / np.sqrt(values[keep])
@@ -131,22 +146,23 @@ def fit(sample: list[tuple[str, str]]) -> Model:
     ridge = RIDGE * len(sample) / max(1, features.shape[1]) * np.eye(features.shape[1])
     weights = root @ np.linalg.solve(features.T @ features + ridge, features.T @ targets)
     shares = [known / max(1, total) for known, total in map(model.familiar, others or marks)]
-    return Model(letter, columns, model.landmarks, weights.astype(np.float32), languages, REJECT * float(np.quantile(shares, QUANTILE)))
+    return Model(used, model.landmarks, weights.astype(np.float32), languages, REJECT * float(np.quantile(shares, QUANTILE)))
 
 
 def train(docs: DataFrame) -> Model:
     """Fits on the bounded sample of labelled rows outside the held-out fold."""
     labelled = docs.select("doc_id", "lang", "text").filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~in_fold(F.col("doc_id"), FOLDS, HELD_OUT) & (F.length("text") <= LONGEST))
-    counts = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().collect()}
+    counts = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()}
     if not counts:
         return fit([])
+    most = min(TRAIN, max(1, SAMPLE // len(counts)))
     draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
-    share = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, min(1.0, 2.0 * TRAIN / n))])
+    share = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, min(1.0, 2.0 * most / n))])
     rows = labelled.filter(draw < share[F.col("lang")]).select("lang", "text", draw.alias("draw")).collect()
     picked: dict[str, dict[str, None]] = {}
     for r in sorted(rows, key=lambda r: (r["draw"], r["text"])):
         own = picked.setdefault(r["lang"], {})
-        if len(own) < TRAIN:
+        if len(own) < most:
             own[r["text"]] = None  # copies count once
     return fit([(lang, text) for lang in sorted(picked) for text in picked[lang]])
 

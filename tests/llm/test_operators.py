@@ -220,9 +220,9 @@ def test_decontamination(spark, awkward, nothing):
     }
     docs = frame(spark, list(texts.values()), ids=list(texts)).unionByName(awkward)
     got = {(r["doc_id"], r["item_id"]) for r in decontamination.find_leaks(docs, benchmark).collect()}
-    assert got == {(100, 1), (101, 2), (105, 2), (106, 1), (106, 2)}
+    assert got == {(100, 1), (101, 2), (103, 3), (105, 2), (106, 1), (106, 2)}
     clean = decontamination.clean_documents(docs, benchmark)
-    assert clean.columns == docs.columns and {r["doc_id"] for r in clean.collect()} == {r["doc_id"] for r in docs.collect()} - {100, 101, 105, 106}
+    assert clean.columns == docs.columns and {r["doc_id"] for r in clean.collect()} == {r["doc_id"] for r in docs.collect()} - {100, 101, 103, 105, 106}
     assert decontamination.find_leaks(nothing, benchmark).count() == 0 and decontamination.find_leaks(docs, benchmark.limit(0)).count() == 0
 
 
@@ -247,6 +247,45 @@ def test_index_is_sharded_without_loss(spark, monkeypatch):
     assert {(r["doc_id"], r["item_id"]) for r in decontamination.find_leaks(docs, benchmark).collect()} == {(0, 1), (1, 2)}
 
 
+def test_short_items_are_found_as_phrases(spark):
+    """Items of fewer than LEAST words, also without an id, and with those of others in other orders."""
+    benchmark = spark.createDataFrame([(1, "red green blue"), (None, "Why? Because."), (7, "  "), (8, None)], "item_id long, text string")
+    docs = frame(spark, ["a red, green BLUE sky", "green red blue green blue red", "why because", "red green", "because why", None, ""])
+    assert {(r["doc_id"], r["item_id"]) for r in decontamination.find_leaks(docs, benchmark).collect()} == {(0, 1), (2, None)}
+
+
+def test_decontamination_equals_a_plain_version(spark):
+    """Every passage against every item, scored term by term."""
+    r = np.random.default_rng(5)
+    items = [(i, prose(300 + i, int(r.integers(2, 30)), WORDS + [f"w{k}" for k in range(60)])) for i in range(40)]
+    texts = [prose(400 + i, int(r.integers(1, 300))) for i in range(30)]
+    for i in range(25):  # copies, some in part, some with a change
+        words = items[int(r.integers(40))][1].split()
+        words = words[int(r.integers(0, 3)) :]
+        if i % 3 == 0:
+            words[len(words) // 2] = "changed"
+        at = int(r.integers(len(texts[i]) + 1))
+        texts[i] = f"{texts[i][:at]} {' '.join(words)} {texts[i][at:]}"
+    split = [(i, decontamination.words_of(t)) for i, t in items]
+    average, longest = sum(len(w) for _, w in split) / len(split), max(len(w) for _, w in split)
+    found_in = Counter(t for _, w in split for t in set(w))
+    expected = set()
+    for d, text in enumerate(texts):
+        words = decontamination.words_of(text)
+        for begin in range(0, longest * max(1, -(-len(words) // longest) - 1), longest):
+            passage = words[begin : begin + 2 * longest]
+            for (i, w), (_, raw) in zip(split, items, strict=True):
+                tf = Counter(w)
+                own = {t: math.log(1 + (40 - found_in[t] + 0.5) / (found_in[t] + 0.5)) * n * 2.2 / (n + 1.2 * (0.25 + 0.75 * len(w) / average)) for t, n in tf.items()}
+                score = sum(x for t, x in own.items() if t in passage) / sum(own.values())
+                q, a = decontamination.overlaps(decontamination.split_answer(raw), passage)
+                if score >= 0.6 and q >= 0.6 and a >= 0.6:
+                    expected.add((d, i))
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]) for r in decontamination.find_leaks(frame(spark, texts), benchmark).collect()}
+    assert got == expected and len(got) >= 12
+
+
 def test_scores_do_not_depend_on_shards(spark, monkeypatch):
     """An item in part scores the same in one index and in many."""
     items = [(i, prose(200 + i, 12 + i, WORDS[: 5 + i])) for i in range(12)]
@@ -254,8 +293,9 @@ def test_scores_do_not_depend_on_shards(spark, monkeypatch):
     docs = frame(spark, [" ".join(t.split()[k:]) for _, t in items for k in (0, 2)])
     report = lambda: {(r["doc_id"], r["item_id"]): round(r["score"], 6) for r in decontamination.find_leaks(docs, benchmark, 0.3, 0.3).collect()}
     whole = report()
-    monkeypatch.setattr(decontamination, "INDEX_CHARS", 400)
-    assert len(whole) >= 12 and report() == whole
+    for size in (400, 60):
+        monkeypatch.setattr(decontamination, "INDEX_CHARS", size)
+        assert len(whole) >= 12 and report() == whole
 
 
 def test_items_without_spaces_are_found(spark):
@@ -294,6 +334,33 @@ def test_language_id(spark, awkward, nothing):
     assert language_id.identify(nothing).count() == 0 and language_id.known_language(docs).count() == 240
 
 
+def test_languages_of_many_letters_are_told_apart(spark):
+    """Two with the same 400 Chinese characters, one of them half in kana, and two of Indic scripts."""
+    r = np.random.default_rng(4)
+    pools = {"zh": range(0x4E00, 0x4E00 + 400), "ja": [*range(0x4E00, 0x4E00 + 400), *[*range(0x3042, 0x3090)] * 5], "hi": range(0x0915, 0x0939), "ta": [0x0B95, *range(0x0BAE, 0x0BBA)]}
+    texts = [("".join(chr(c) for c in r.choice(list(pools[lang]), 60)), lang) for _ in range(60) for lang in pools]
+    docs = frame(spark, [t for t, _ in texts], [lang for _, lang in texts])
+    held = [(x["lang_pred"], texts[x["doc_id"]][1]) for x in language_id.identify(docs).collect() if x["held_out"]]
+    assert len(held) > 50 and sum(a == b for a, b in held) >= 0.95 * len(held)
+
+
+def test_language_id_equals_a_plain_kernel_ridge_regression():
+    """Nystroem features with all texts as landmarks are kernel ridge regression itself."""
+    sample = [(f"l{i % 3}", prose(500 + i, 12, [w[i % 3 :] for w in WORDS])) for i in range(30)]
+    model = language_id.fit(sample)
+    grams = lambda t: {re.sub("[^a-z]", " ", t)[i : i + n] for n in (1, 2, 3) for i in range(len(t) - n + 1)}
+    sets = [grams(t) for _, t in sample]
+    kernel = lambda a, b: len(a & b) / math.sqrt(len(a) * len(b))
+    gram = np.array([[kernel(a, b) for b in sets] for a in sets])
+    y = np.array([[1.0 if lang == x else -1.0 for x in model.languages] for lang, _ in sample])
+    alpha = np.linalg.solve(gram + language_id.RIDGE * np.eye(30), y)
+    for _, t in [*sample[:5], ("", prose(999, 20))]:
+        own = grams(t) & set().union(*sets)
+        decisions = np.array([kernel(own, s) for s in sets]) @ alpha
+        names, scores = model.predict([t])
+        assert names[0] == model.languages[decisions.argmax()] and abs(scores[0] - np.clip((decisions.max() + 1) / 2, 0, 1)) < 1e-3
+
+
 def test_held_out_rows_teach_nothing(spark):
     docs = frame(spark, [prose(i, 40) for i in range(60)], ["xx"] * 60)
     poisoned = docs.withColumn("lang", F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1, "zz").otherwise(F.col("lang")))
