@@ -13,12 +13,16 @@ from rangelake.plans import sink
 from rangelake.sources.envelope import read_block_stream, read_blocks
 from rangelake.sources.store import normalise_url, probe
 from rangelake.streaming import run as streaming
+from rangelake.streaming.progress import Progress, Samples
 
 log = logging.getLogger("rangelake")
+#: Seconds between two reports of a stream.
+SAMPLE_SECONDS = 30
 
 
 def parser() -> argparse.ArgumentParser:
     out = argparse.ArgumentParser(prog="rangelake", description=__doc__)
+    out.add_argument("--debug", action="store_true", help="log at debug level, Spark's own messages included")
     commands = out.add_subparsers(dest="command", required=True)
     setup = commands.add_parser("setup", help="write, read and delete a small object in the store")
     setup.add_argument("store_url")
@@ -36,9 +40,12 @@ def parser() -> argparse.ArgumentParser:
 
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:
-    logging.basicConfig(level=logging.INFO, format="%(asctime)s %(name)s %(levelname)s %(message)s")
     args = parser().parse_args(argv)
+    logging.basicConfig(level=logging.INFO, format="%(asctime)s %(name)s %(levelname)s %(message)s")
+    log.setLevel(logging.DEBUG if args.debug else logging.INFO)
     spark = spark or SparkSession.builder.appName("rangelake").config("spark.sql.session.timeZone", "UTC").getOrCreate()
+    if args.debug:
+        spark.sparkContext.setLogLevel("DEBUG")
     if args.command == "setup":
         log.info("store is writable: %s", probe(spark, args.store_url, args.output_prefix or ""))
         return 0
@@ -51,14 +58,22 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     if not args.stream:
         rows = sink.write_blocks(read_blocks(spark, args.blocks), url, descriptor_set, options)
         log.info("%d files, %d rows, %d bytes", len(rows), sum(r[4] for r in rows), sum(r[5] for r in rows))
+        Samples(spark, url).report()
         return 0
     stream = read_block_stream(spark, args.blocks, options.max_files_per_trigger)
+    samples, listener = Samples(spark, url), Progress()
+    spark.streams.addListener(listener)
     query, sealer = streaming.start(stream, url, descriptor_set, options, args.checkpoint or f"{url}/_checkpoint", args.available_now)
     try:
-        query.awaitTermination()
+        while not query.awaitTermination(SAMPLE_SECONDS):
+            samples.report()
     except KeyboardInterrupt:
         log.info("stopping")
-    streaming.finish(query, sealer)
+    try:
+        streaming.finish(query, sealer)
+        samples.report()
+    finally:
+        spark.streams.removeListener(listener)
     return 0
 
 

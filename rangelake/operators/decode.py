@@ -61,6 +61,7 @@ def decode(blocks: DataFrame, descriptor_set: bytes, message: str, fields: list[
         schema = T.StructType([f for f in schema.fields if f.name in fields])
     wanted = frozenset(schema.names)
     kinds = [(f.name, arrow_type(f.dataType)) for f in schema.fields]
+    whole = bool(kinds)
     permissive = mode == "PERMISSIVE"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -69,7 +70,8 @@ def decode(blocks: DataFrame, descriptor_set: bytes, message: str, fields: list[
             rows, errors = [], []
             for number, payload in zip(batch.column("block_number").to_pylist(), batch.column("payload").to_pylist(), strict=True):
                 try:
-                    rows.append(to_row(kind.FromString(payload), wanted, wkt_timestamps))
+                    parsed = kind.FromString(payload)
+                    rows.append(to_row(parsed, wanted, wkt_timestamps) if whole else {})
                     errors.append(None)
                 except Exception as e:
                     if not permissive:

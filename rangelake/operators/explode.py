@@ -31,16 +31,3 @@ def explode_table(df: DataFrame, field: str, lineage: str | None = None, scalar_
         return rows.select(*front, *[F.col("_element").getField(n).alias(n) for n in kind.elementType.names])
     value = F.lit(None).cast(kind.elementType) if scalar_compat else F.col("_element")
     return rows.select(*front, value.alias(field))
-
-
-def explode_map(df: DataFrame, field: str, keep: tuple[str, ...] = ()) -> DataFrame:
-    """A map's entries as rows of key and value. Asked for by name: explode itself leaves maps alone."""
-    return df.select(*keep, F.explode(field).alias("key", "value"))
-
-
-def explode_tables(df: DataFrame, maps: tuple[str, ...] = (), lineage: str | None = None, scalar_compat: bool = False) -> dict[str, DataFrame]:
-    """A table for each root list; a message without any can't be exploded."""
-    names = root_lists(df, maps)
-    if not names:
-        raise ValueError("the message has no root list, so explode would write nothing")
-    return {n: explode_table(df, n, lineage, scalar_compat) for n in names}

@@ -7,9 +7,14 @@ from pyspark.sql import functions as F
 
 
 def totals(manifest: DataFrame) -> DataFrame:
-    """Per table: files, rows, bytes, the active range and the last file."""
-    return manifest.groupBy("table").agg(
-        F.count("*").alias("files"), F.sum("n_rows").alias("rows"), F.sum("bytes").alias("bytes"), F.max("range_lo").alias("active_range_lo"), F.max_by("file", F.struct("sealed_at", "range_lo")).alias("last_file"), F.max("sealed_at").alias("last_sealed_at")
+    """Per table: files, rows, bytes, the active range and the last file, its rows, bytes and seconds. Of a file that was
+    written several times, the last row counts."""
+    last = manifest.groupBy("table", "file").agg(F.max_by(F.struct("range_lo", "n_rows", "bytes", "sealed_at", "seconds"), F.col("sealed_at")).alias("x")).select("table", "file", "x.*")
+    newest = F.struct("sealed_at", "range_lo")
+    return last.groupBy("table").agg(
+        F.count("*").alias("files"), F.sum("n_rows").alias("rows"), F.sum("bytes").alias("bytes"), F.max("range_lo").alias("active_range_lo"),
+        F.max_by("file", newest).alias("last_file"), F.max_by("n_rows", newest).alias("last_rows"), F.max_by("bytes", newest).alias("last_bytes"), F.max_by("seconds", newest).alias("last_seconds"),
+        F.max("sealed_at").alias("last_sealed_at"),
     )
 
 

@@ -11,12 +11,16 @@ from rangelake.functions.presence import absent_if, absent_if_empty, entries, en
 from rangelake.functions.ranges import file_name, range_hi, range_lo
 from rangelake.operators.backfill import expected_ranges, missing_ranges
 from rangelake.operators.explode import explode_table
-from rangelake.operators.stats import rates
+from rangelake.operators.stats import rates, totals
 from rangelake.operators.undo import undo_apply
 from rangelake.sources.envelope import after_cursor, raw_table, with_payload, within
 
-#: Deliberately off the data's alignment, so that both bounds clamp.
-START, SIZE, END = 500, 700, 14900
+#: Deliberately off the data's alignment, so that the lower bound clamps. Runs end behind the table's last block.
+START, SIZE = 500, 700
+#: The stop block of the query that shows bounds.
+STOP = 14900
+#: Blocks that have gaps: documents that have a label, filed into small ranges.
+GAP_START, GAP_SIZE = 5, 4
 ROW_GROUP = 300
 #: Order numbers behind this one are what a resumed run reads.
 CURSOR = 7321
@@ -31,6 +35,8 @@ _SQL: dict[str, str] = {}
 
 #: What the SQL shares: an order's range, and a line's fields in an order that no two different lines share.
 _LO = f"({START} + (greatest(o_orderkey, {START}) - {START}) // {SIZE} * {SIZE})"
+_END = "(SELECT max(o_orderkey) + 1 FROM orders)"
+_HI = f"least({_LO} + {SIZE}, {_END})"
 _LINE = "l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate"
 LINE = _LINE.split(", ")
 
@@ -57,7 +63,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def order_blocks(spark: SparkSession, sf_dir: str, start: int = 0, end: int | None = END) -> DataFrame:
+def end_of(blocks: DataFrame, column: str = "block_number") -> int:
+    """The stop block behind the last block; at least one behind START."""
+    last = blocks.agg(F.max(column)).first()[0]
+    return max(START + 1, (last if last is not None else 0) + 1)
+
+
+def order_blocks(spark: SparkSession, sf_dir: str, start: int = 0, end: int | None = None) -> DataFrame:
     """Orders as blocks inside the bounds."""
     return within(table(spark, sf_dir, "orders").withColumn("block_number", F.col("o_orderkey")), start, end)
 
@@ -66,66 +78,74 @@ def ranged(df: DataFrame) -> DataFrame:
     return df.withColumn("range_lo", range_lo(F.col("block_number"), SIZE, START))
 
 
-def nested_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders with their lines as a list; NULL where there are none. Lines are brought together by one shuffle of their key."""
-    lines = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct(*LINE))).alias("lines"))
+def nested_orders(spark: SparkSession, sf_dir: str, in_order: bool = True) -> DataFrame:
+    """Orders with their lines as a list, sorted if asked for; NULL where there are none. Lines are brought together by one shuffle of their key."""
+    lines = F.collect_list(F.struct(*LINE))
+    per_order = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg((F.array_sort(lines) if in_order else lines).alias("lines"))
     orders = table(spark, sf_dir, "orders")
-    return orders.join(lines, orders["o_orderkey"] == lines["l_orderkey"], "left").select(F.col("o_orderkey").alias("block_number"), "o_custkey", absent_if_empty(F.col("lines")).alias("lines"))
+    return orders.join(per_order, orders["o_orderkey"] == per_order["l_orderkey"], "left").select(F.col("o_orderkey").alias("block_number"), "o_custkey", absent_if_empty(F.col("lines")).alias("lines"))
 
 
-@query("range_assign", f"SELECT o_orderkey AS block_number, {_LO} AS range_lo, least({_LO} + {SIZE}, {END}) AS range_hi, printf('%010d-%010d.parquet', {_LO}, least({_LO} + {SIZE}, {END})) AS file_name FROM orders WHERE o_orderkey < {END}")
+@query("range_assign", f"SELECT o_orderkey AS block_number, {_LO} AS range_lo, {_HI} AS range_hi, printf('%010d-%010d.parquet', {_LO}, {_HI}) AS file_name FROM orders")
 def range_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
-    hi = range_hi(F.col("range_lo"), SIZE, END)
-    return ranged(order_blocks(spark, sf_dir)).select("block_number", "range_lo", hi.alias("range_hi"), file_name(F.col("range_lo"), hi).alias("file_name"))
+    blocks = order_blocks(spark, sf_dir)
+    hi = range_hi(F.col("range_lo"), SIZE, end_of(blocks))
+    return ranged(blocks).select("block_number", "range_lo", hi.alias("range_hi"), file_name(F.col("range_lo"), hi).alias("file_name"))
 
 
-@query("range_counts", f"SELECT lo AS range_lo, least(lo + {SIZE}, {END}) AS range_hi, printf('%010d-%010d.parquet', lo, least(lo + {SIZE}, {END})) AS file_name, count(*) AS n_rows FROM (SELECT {_LO} AS lo FROM orders WHERE o_orderkey < {END}) GROUP BY lo")
+@query("range_counts", f"SELECT lo AS range_lo, least(lo + {SIZE}, {_END}) AS range_hi, printf('%010d-%010d.parquet', lo, least(lo + {SIZE}, {_END})) AS file_name, count(*) AS n_rows FROM (SELECT {_LO} AS lo FROM orders) GROUP BY lo")
 def range_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    per_range = ranged(order_blocks(spark, sf_dir)).groupBy("range_lo").agg(F.count("*").alias("n_rows"))
-    hi = range_hi(F.col("range_lo"), SIZE, END)
+    blocks = order_blocks(spark, sf_dir)
+    per_range = ranged(blocks).groupBy("range_lo").agg(F.count("*").alias("n_rows"))
+    hi = range_hi(F.col("range_lo"), SIZE, end_of(blocks))
     return per_range.select("range_lo", hi.alias("range_hi"), file_name(F.col("range_lo"), hi).alias("file_name"), "n_rows")
 
 
-@query("range_bounds_filter", f"SELECT o_orderkey AS block_number, o_custkey, o_orderstatus FROM orders WHERE o_orderkey >= {START} AND o_orderkey < {END}")
+@query("range_bounds_filter", f"SELECT o_orderkey AS block_number, o_custkey, o_orderstatus FROM orders WHERE o_orderkey >= {START} AND o_orderkey < {STOP}")
 def range_bounds_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return order_blocks(spark, sf_dir, START).select("block_number", "o_custkey", "o_orderstatus")
+    return order_blocks(spark, sf_dir, START, STOP).select("block_number", "o_custkey", "o_orderstatus")
 
 
-@query("range_minmax", f"SELECT {_LO} AS range_lo, min(o_orderkey) AS first_block, max(o_orderkey) AS last_block FROM orders WHERE o_orderkey < {END} GROUP BY 1")
+@query("range_minmax", f"SELECT {_LO} AS range_lo, min(o_orderkey) AS first_block, max(o_orderkey) AS last_block FROM orders GROUP BY 1")
 def range_minmax(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranged(order_blocks(spark, sf_dir)).groupBy("range_lo").agg(F.min("block_number").alias("first_block"), F.max("block_number").alias("last_block"))
 
 
-_EXPECTED = f"(SELECT unnest(range({START}, {END}, {SIZE})) AS range_lo)"
-_SPARSE = "o_orderkey % 1900 < 350"
+_GAP_LO = f"({GAP_START} + (greatest(doc_id, {GAP_START}) - {GAP_START}) // {GAP_SIZE} * {GAP_SIZE})"
+_GAP_END = f"greatest({START + 1}, (SELECT max(doc_id) + 1 FROM labels))"
+_EXPECTED = f"(SELECT unnest(range({GAP_START}, {_GAP_END}, {GAP_SIZE})) AS range_lo)"
 
 
-def sparse_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows per range of orders that leave gaps."""
-    return ranged(order_blocks(spark, sf_dir, START).filter(F.col("block_number") % 1900 < 350)).groupBy("range_lo").agg(F.count("*").alias("n_rows"))
+def label_ranges(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The ranges up to the last label, and the rows that each range has; some have none."""
+    blocks = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("block_number"))
+    end = end_of(blocks)
+    rows = blocks.groupBy(range_lo(F.col("block_number"), GAP_SIZE, GAP_START).alias("range_lo")).agg(F.count("*").alias("n_rows"))
+    return expected_ranges(spark, GAP_START, end, GAP_SIZE, end), rows
 
 
-@query("gap_backfill", f"SELECT e.range_lo, least(e.range_lo + {SIZE}, {END}) AS range_hi, coalesce(n, 0)::BIGINT AS n_rows FROM {_EXPECTED} e LEFT JOIN (SELECT {_LO} AS lo, count(*) AS n FROM orders WHERE o_orderkey >= {START} AND o_orderkey < {END} AND {_SPARSE} GROUP BY 1) ON lo = e.range_lo")
+@query("gap_backfill", f"SELECT e.range_lo, least(e.range_lo + {GAP_SIZE}, {_GAP_END}) AS range_hi, coalesce(n, 0)::BIGINT AS n_rows FROM {_EXPECTED} e LEFT JOIN (SELECT {_GAP_LO} AS lo, count(*) AS n FROM labels GROUP BY 1) ON lo = e.range_lo")
 def gap_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
-    expected = expected_ranges(spark, START, END, SIZE, END)
-    return expected.join(sparse_ranges(spark, sf_dir), "range_lo", "left").select("range_lo", "range_hi", F.coalesce("n_rows", F.lit(0).cast("long")).alias("n_rows"))
+    expected, rows = label_ranges(spark, sf_dir)
+    return expected.join(rows, "range_lo", "left").select("range_lo", "range_hi", F.coalesce("n_rows", F.lit(0).cast("long")).alias("n_rows"))
 
 
-@query("missing_ranges", f"SELECT e.range_lo, least(e.range_lo + {SIZE}, {END}) AS range_hi FROM {_EXPECTED} e WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_orderkey >= {START} AND o_orderkey < {END} AND {_SPARSE} AND {_LO} = e.range_lo)")
+@query("missing_ranges", f"SELECT e.range_lo, least(e.range_lo + {GAP_SIZE}, {_GAP_END}) AS range_hi FROM {_EXPECTED} e WHERE NOT EXISTS (SELECT 1 FROM labels WHERE {_GAP_LO} = e.range_lo)")
 def missing_ranges_(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return missing_ranges(expected_ranges(spark, START, END, SIZE, END), sparse_ranges(spark, sf_dir))
+    return missing_ranges(*label_ranges(spark, sf_dir))
 
 
-@query("backfill_leading", f"SELECT e.range_lo FROM {_EXPECTED} e WHERE e.range_lo < (SELECT min({_LO}) FROM orders WHERE o_orderkey >= 3000 AND o_orderkey < {END})")
+@query("backfill_leading", f"SELECT e.range_lo FROM (SELECT unnest(range({START}, {_END}, {SIZE})) AS range_lo) e WHERE e.range_lo < (SELECT min({_LO}) FROM orders WHERE o_orderkey >= 3000)")
 def backfill_leading(spark: SparkSession, sf_dir: str) -> DataFrame:
-    first = ranged(order_blocks(spark, sf_dir, 3000)).agg(F.min("range_lo").alias("first"))
-    expected = expected_ranges(spark, START, END, SIZE, END)
-    return expected.crossJoin(F.broadcast(first)).filter("range_lo < first").select("range_lo")  # first is one row
+    blocks = order_blocks(spark, sf_dir, 3000)
+    first = ranged(blocks).agg(F.min("range_lo").alias("first"))
+    end = end_of(blocks)
+    return expected_ranges(spark, START, end, SIZE, end).crossJoin(F.broadcast(first)).filter("range_lo < first").select("range_lo")  # first is one row
 
 
 @query("nest_explode", f"SELECT {_LINE} FROM lineitem JOIN orders ON l_orderkey = o_orderkey")
 def nest_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return explode_table(nested_orders(spark, sf_dir), "lines")
+    return explode_table(nested_orders(spark, sf_dir, False), "lines")
 
 
 @query("explode_lineage", f"SELECT l_orderkey AS block_number, (row_number() OVER (PARTITION BY l_orderkey ORDER BY {_LINE}) - 1)::INTEGER AS ordinal, {_LINE} FROM lineitem")
@@ -151,7 +171,10 @@ def explode_map(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("main_table_list_sizes", "SELECT o_orderkey AS block_number, o_custkey, nullif(count(l_orderkey), 0)::INTEGER AS n_lines FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY 1, 2")
 def main_table_list_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return nested_orders(spark, sf_dir).select("block_number", "o_custkey", F.when(F.col("lines").isNotNull(), F.size("lines")).alias("n_lines"))
+    """The sizes of the lists that nesting would make: nothing but the counts is shuffled."""
+    orders = table(spark, sf_dir, "orders")
+    sizes = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.count("*").cast("int").alias("n_lines"))
+    return orders.join(sizes, orders["o_orderkey"] == sizes["l_orderkey"], "left").select(F.col("o_orderkey").alias("block_number"), "o_custkey", "n_lines")
 
 
 @query("default_to_null", "SELECT doc_id, nullif(quality, 0) AS quality, nullif(toxic, 0) AS toxic FROM labels")
@@ -196,7 +219,7 @@ def unsigned_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").select(key.alias("block_number"), (key.cast("decimal(20,0)") + F.lit(9223372036854775807).cast("decimal(20,0)")).cast("decimal(20,0)").cast("string").alias("u64"), (key + F.lit(2147483647)).cast("long").alias("u32"))
 
 
-@query("stats_rollup", f"SELECT o_orderstatus AS table_name, count(DISTINCT {_LO})::BIGINT AS files, count(*)::BIGINT AS n_rows, sum(CAST(o_totalprice * 100 AS DECIMAL(20,0)))::BIGINT AS cents, max({_LO}) AS active_range_lo, max_by(o_orderkey, o_orderkey) AS last_block FROM orders WHERE o_orderkey < {END} GROUP BY 1")
+@query("stats_rollup", f"SELECT o_orderstatus AS table_name, count(DISTINCT {_LO})::BIGINT AS files, count(*)::BIGINT AS n_rows, sum(CAST(o_totalprice * 100 AS DECIMAL(20,0)))::BIGINT AS cents, max({_LO}) AS active_range_lo, max_by(o_orderkey, o_orderkey) AS last_block FROM orders GROUP BY 1")
 def stats_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cents = F.sum((F.col("o_totalprice") * 100).cast("decimal(20,0)")).cast("decimal(30,0)")
     # counted per range first, so that the shuffle carries a row for each range and task
@@ -223,44 +246,65 @@ def undo_apply_(spark: SparkSession, sf_dir: str) -> DataFrame:
     return undo_apply(blocks, spark.createDataFrame(UNDOS, "seq long, last_valid_block long"), SIZE).select("block_number", "event_type", "user_id")
 
 
-@query("ordered_within_range", f"SELECT {_LO} AS range_lo, o_orderkey AS block_number, row_number() OVER (PARTITION BY {_LO} ORDER BY o_orderkey)::INTEGER AS place FROM orders WHERE o_orderkey < {END}")
+@query("ordered_within_range", f"SELECT {_LO} AS range_lo, o_orderkey AS block_number, row_number() OVER (PARTITION BY {_LO} ORDER BY o_orderkey)::INTEGER AS place FROM orders")
 def ordered_within_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranged(order_blocks(spark, sf_dir)).select("range_lo", "block_number", F.row_number().over(Window.partitionBy("range_lo").orderBy("block_number")).alias("place"))
 
 
-@query("flush_batches", f"SELECT {_LO} AS range_lo, ((row_number() OVER (PARTITION BY {_LO} ORDER BY o_orderkey) - 1) // {ROW_GROUP})::INTEGER AS row_group, o_orderkey AS block_number FROM orders WHERE o_orderkey < {END}")
+@query("flush_batches", f"SELECT {_LO} AS range_lo, ((row_number() OVER (PARTITION BY {_LO} ORDER BY o_orderkey) - 1) // {ROW_GROUP})::INTEGER AS row_group, o_orderkey AS block_number FROM orders")
 def flush_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     place = F.row_number().over(Window.partitionBy("range_lo").orderBy("block_number")) - 1
     return ranged(order_blocks(spark, sf_dir)).select("range_lo", F.floor(place / ROW_GROUP).cast("int").alias("row_group"), "block_number")
 
 
-@query("cursor_resume", f"SELECT o_orderkey AS block_number, o_custkey FROM orders WHERE o_orderkey > {CURSOR} AND o_orderkey < {END}")
+@query("cursor_resume", f"SELECT o_orderkey AS block_number, o_custkey FROM orders WHERE o_orderkey > {CURSOR}")
 def cursor_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
     return after_cursor(order_blocks(spark, sf_dir), CURSOR).select("block_number", "o_custkey")
 
 
 @query("reattach_parent", f"SELECT o_orderkey AS block_number, o_orderstatus, {_LINE} FROM lineitem JOIN orders ON l_orderkey = o_orderkey")
 def reattach_parent(spark: SparkSession, sf_dir: str) -> DataFrame:
-    exploded = explode_table(nested_orders(spark, sf_dir), "lines", "block_number").drop("ordinal")
-    return exploded.join(order_blocks(spark, sf_dir, 0, None).select("block_number", "o_orderstatus"), "block_number").select("block_number", "o_orderstatus", *LINE)
+    exploded = explode_table(nested_orders(spark, sf_dir, False), "lines", "block_number").drop("ordinal")
+    return exploded.join(order_blocks(spark, sf_dir).select("block_number", "o_orderstatus"), "block_number").select("block_number", "o_orderstatus", *LINE)
 
 
-@query("file_write_read", f"SELECT {_LO} AS range_lo, count(*) AS n_rows, min(o_orderkey) AS first_block, max(o_orderkey) AS last_block FROM orders WHERE o_orderkey < {END} GROUP BY 1")
-def file_write_read(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders through the sink: range files are written to the shared folder, and read back by their names."""
+def written_orders(spark: SparkSession, sf_dir: str, runs: int) -> tuple[str, DataFrame]:
+    """Orders through the sink, into the shared folder, by runs one behind the other; the folder, and the manifest."""
     from rangelake.functions.scratch import scratch_folder
     from rangelake.options import Options
     from rangelake.plans import sink
     from rangelake.sources.store import Store
 
     folder = scratch_folder(spark)
-    options = Options(start_block=START, stop_block=END, partition_size=SIZE, fill_gaps="none")
-    sink.write_tables({"": order_blocks(spark, sf_dir).select("block_number", "o_custkey")}, Store(spark, folder), options, "batch-0")
+    blocks = order_blocks(spark, sf_dir).select("block_number", "o_custkey")
+    end = end_of(blocks)
+    size = min(max(SIZE, end // 20), 200_000)  # a range is one task, so its size is bounded
+    options = Options(start_block=START, stop_block=end, partition_size=size, fill_gaps="none")
+    for k in range(runs):
+        sink.write_tables({"": within(blocks, end * k // runs, end * (k + 1) // runs)}, Store(spark, folder), options)
+    return folder, sink.manifest(spark, Store(spark, folder))
+
+
+_SIZED = f"({START} + (greatest(o_orderkey, {START}) - {START}) // size * size)"
+_SIZES = f"(SELECT *, least(greatest({SIZE}, (max(o_orderkey) OVER () + 1) // 20), 200000) AS size FROM orders)"
+
+
+@query("file_write_read", f"SELECT {_SIZED} AS range_lo, count(*) AS n_rows, min(o_orderkey) AS first_block, max(o_orderkey) AS last_block FROM {_SIZES} GROUP BY 1")
+def file_write_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders through the sink: range files are written to the shared folder, and read back by their names."""
+    folder, _ = written_orders(spark, sf_dir, 1)
     back = spark.read.schema("block_number long, o_custkey long").parquet(f"{folder}/*.parquet")
     lo = F.regexp_extract(F.col("_metadata.file_name"), r"^(\d+)-", 1).cast("long")
     return back.groupBy(lo.alias("range_lo")).agg(F.count("*").alias("n_rows"), F.min("block_number").alias("first_block"), F.max("block_number").alias("last_block"))
 
 
+@query("manifest_totals", f"SELECT '' AS table_name, count(DISTINCT {_SIZED})::BIGINT AS files, count(*)::BIGINT AS n_rows, max({_SIZED}) AS active_range_lo FROM {_SIZES} HAVING count(*) > 0")
+def manifest_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders through the sink in three runs, of which the later ones go on with a range that the one before began."""
+    _, rows = written_orders(spark, sf_dir, 3)
+    return totals(rows).select(F.col("table").alias("table_name"), "files", F.col("rows").alias("n_rows"), "active_range_lo")
+
+
 @query("decode_payloads", "SELECT o_orderkey AS block_number, nullif(o_custkey, 0) AS custkey, nullif(o_orderstatus, '') AS status, CASE o_orderstatus WHEN 'O' THEN 1 WHEN 'F' THEN 2 WHEN 'P' THEN 3 END AS state FROM orders")
 def decode_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders encoded as protobuf messages, and decoded by their descriptor."""
@@ -269,3 +313,27 @@ def decode_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     blocks = encode_orders(table(spark, sf_dir, "orders"), STATUS)
     return decode(blocks, descriptor_set(), MESSAGE)
+
+
+@query("explode_payload_lists", f"SELECT l_orderkey AS block_number, (row_number() OVER (PARTITION BY l_orderkey ORDER BY {_LINE}) - 1)::INTEGER AS ordinal, nullif(l_linenumber, 0)::BIGINT AS linenumber, nullif(l_partkey, 0)::DECIMAL(20,0)::VARCHAR AS partkey, nullif(l_quantity, 0)::DOUBLE AS quantity, nullif(l_returnflag, '') AS returnflag FROM lineitem JOIN orders ON o_orderkey = l_orderkey")
+def explode_payload_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with their lines as protobuf messages; the list of messages decoded and exploded."""
+    from rangelake.operators.decode import decode
+    from rangelake.plans.order_message import NESTED, descriptor_set, encode_nested
+
+    blocks = encode_nested(nested_orders(spark, sf_dir))
+    lines = explode_table(decode(blocks, descriptor_set(), NESTED, ["lines"]), "lines", "block_number")
+    return lines.withColumn("partkey", F.col("partkey").cast("string"))
+
+
+@query("quarantine_counts", "SELECT (o_orderstatus = 'P')::BOOLEAN AS quarantined, count(*)::BIGINT AS n FROM orders GROUP BY 1")
+def quarantine_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as messages, those of one status cut short in the middle: permissive decoding sets them apart."""
+    from rangelake.operators.decode import ERROR, decode
+    from rangelake.plans.order_message import MESSAGE, descriptor_set, encode_orders
+
+    orders = table(spark, sf_dir, "orders")
+    blocks = encode_orders(orders, STATUS).join(orders.select(F.col("o_orderkey").alias("block_number"), "o_orderstatus"), "block_number")
+    cut_short = blocks.withColumn("payload", F.when(F.col("o_orderstatus") == "P", F.concat(F.col("payload"), F.lit(b"\x12\x7f"))).otherwise(F.col("payload")))
+    decoded = decode(cut_short, descriptor_set(), MESSAGE, [], "PERMISSIVE")
+    return decoded.groupBy(F.col(ERROR).isNotNull().alias("quarantined")).agg(F.count("*").alias("n"))

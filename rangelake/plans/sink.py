@@ -1,20 +1,25 @@
 """Range files: one Parquet file per table and range, under the range's name, and a manifest of what is sealed.
 
-Rows are filed by their own block. Spark writes each range in one task (sorted by block and ordinal) to a staging
-folder, and the file is then renamed; empty ranges get a file with the schema alone. The manifest is written last, so a
-run that stops before can be repeated.
+Rows are filed by their own block. The decoded rows are kept in a staging folder, so they are decoded once; Spark then
+writes each range in one task (sorted by block and ordinal), and the file is renamed. Empty ranges get a copy of one file
+that has the schema alone, never in place of a file that is there. The manifest only grows, a part for each run, and is
+written last, so a run that stops before can be repeated; of a range that was sealed again its last row counts.
+
+A batch run that meets a range that has a file already goes on with it if all its blocks are behind those of the file,
+and writes it anew if its blocks are the same; blocks that overlap otherwise are refused, before a file is changed.
 """
 
 from __future__ import annotations
 
 import time
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rangelake.functions.ranges import range_hi, range_lo
+from rangelake.functions.ranges import range_lo
 from rangelake.operators.backfill import gaps
 from rangelake.options import Options
 from rangelake.sources.store import Store
@@ -29,9 +34,15 @@ MANIFEST_SCHEMA = T.StructType(
         T.StructField("n_rows", T.LongType()),
         T.StructField("bytes", T.LongType()),
         T.StructField("sealed_at", T.DoubleType()),
+        T.StructField("seconds", T.DoubleType()),  # that moving the file took
+        T.StructField("settled", T.BooleanType()),  # no undo reaches it any more
+        T.StructField("first_block", T.LongType()),
+        T.StructField("last_block", T.LongType()),
+        T.StructField("blocks", T.LongType()),
+        T.StructField("block_hash", T.LongType()),  # of the distinct blocks that have rows
     ]
 )
-#: Renames that are under way at once.
+#: Files that are moved or copied at once.
 RENAMES = 8
 
 
@@ -52,79 +63,150 @@ def manifest(spark: SparkSession, store: Store) -> DataFrame:
     return spark.read.schema(MANIFEST_SCHEMA).option("recursiveFileLookup", "true").parquet(f"{store.url}/{MANIFEST}")
 
 
+def latest(rows: DataFrame) -> DataFrame:
+    """Of a manifest, the last row of each table and range."""
+    columns = [f.name for f in MANIFEST_SCHEMA.fields]
+    return rows.groupBy("table", "range_lo").agg(F.max_by(F.struct(*columns), F.col("sealed_at")).alias("row")).select("row.*")
+
+
 def _hi(lo: int, options: Options) -> int:
     hi = lo + options.partition_size
     return hi if options.stop_block is None else min(hi, options.stop_block)
 
 
-def _seal(store: Store, staging: str, table: str, ranges: dict[int, int], options: Options) -> list[tuple]:
-    """Renames each range's file; gives the manifest rows. ranges: range_lo -> rows."""
-    folder = f"{table}/" if table else ""
+def _target(table: str, lo: int, options: Options) -> str:
+    return (f"{table}/" if table else "") + name_of(lo, _hi(lo, options), options.pad_width)
+
+
+def _staging(options: Options, turn: str) -> str:
+    return f"{options.tmp_dir.strip('/') or '_staging'}/{turn}"
 
-    def one(item: tuple[int, int]) -> tuple:
-        lo, rows = item
-        hi = _hi(lo, options)
+
+def _seal(store: Store, staging: str, table: str, ranges: list, options: Options, settled: bool) -> list[tuple]:
+    """Moves each range's file to its place; gives the manifest rows. ranges: rows of what each range holds."""
+
+    def one(r) -> tuple:
+        lo, began = r["range_lo"], time.time()
         parts = [f for f in store.list(f"{staging}/range_lo={lo}") if f.startswith("part-")]
-        target = folder + name_of(lo, hi, options.pad_width)
-        if len(parts) > 1:  # only with max_records_per_file: later parts are numbered
-            names = [target] + [target.removesuffix(".parquet") + f".{k}.parquet" for k in range(1, len(parts))]
-        else:
-            names = [target]
+        target = _target(table, lo, options)
+        # only with max_records_per_file there are several: later parts are numbered
+        names = [target] + [target.removesuffix(".parquet") + f".{k}.parquet" for k in range(1, len(parts))]
         for part, name in zip(parts, names, strict=True):
             store.replace(f"{staging}/range_lo={lo}/{part}", name)
-        return (table, lo, hi, target, rows, sum(store.size(n) for n in names), time.time())
+        k = len(parts)
+        while store.exists(more := target.removesuffix(".parquet") + f".{k}.parquet"):  # of an earlier, longer seal
+            store.delete(more)
+            k += 1
+        now = time.time()
+        return (table, lo, _hi(lo, options), target, r["n"], sum(store.size(n) for n in names), now, now - began, settled, r["first"], r["last"], r["blocks"], r["hash"])
 
     with ThreadPoolExecutor(RENAMES) as pool:
-        return list(pool.map(one, sorted(ranges.items())))
-
-
-def write_ranges(df: DataFrame, store: Store, table: str, options: Options, turn: str, order: tuple[str, ...] = ("block_number",), hidden: tuple[str, ...] = ()) -> list[tuple]:
-    """Writes the rows of ``df`` (which has range_lo) as range files of ``table``. Columns in ``hidden`` only sort."""
-    spark = df.sparkSession
-    staging = f"{options.tmp_dir.strip('/') or '_staging'}/{turn}/{table or '_main'}"
-    store.delete(staging)
-    sorted_ = df.repartition("range_lo").sortWithinPartitions("range_lo", *order)
-    sorted_.drop(*hidden).write.options(**options.writer()).partitionBy("range_lo").parquet(f"{store.url}/{staging}")
-    written = spark.read.schema("range_lo long").parquet(f"{store.url}/{staging}") if store.list(staging) != ["_SUCCESS"] else None
-    counts = {r["range_lo"]: r["count"] for r in written.groupBy("range_lo").count().collect()} if written is not None else {}
-    out = _seal(store, staging, table, counts, options)
-    store.delete(f"{staging}")
-    return out
+        return list(pool.map(one, ranges))
+
 
+def _held(rows: DataFrame) -> list:
+    """What each range of ``rows`` holds: rows, and its distinct blocks."""
+    per_block = rows.groupBy("range_lo", "block_number").agg(F.count("*").alias("n"))
+    held = per_block.groupBy("range_lo").agg(
+        F.sum("n").alias("n"), F.min("block_number").alias("first"), F.max("block_number").alias("last"), F.count("*").alias("blocks"), F.expr("bit_xor(xxhash64(block_number))").alias("hash")
+    )
+    return held.orderBy("range_lo").collect()
 
-def write_empty(spark: SparkSession, store: Store, table: str, schema: T.StructType, ranges: list[int], options: Options, turn: str) -> list[tuple]:
-    """A file with the schema alone for each range."""
+
+def _continued(spark: SparkSession, store: Store, table: str, rows: DataFrame, held: list, before: dict, shown: T.StructType, options: Options) -> tuple[DataFrame, list]:
+    """``rows`` behind those of the files that they go on with, and what the ranges then hold."""
     out = []
-    for lo in ranges:
-        staging = f"{options.tmp_dir.strip('/') or '_staging'}/{turn}/_empty/range_lo={lo}"
-        store.delete(staging)
-        spark.createDataFrame([], schema).coalesce(1).write.options(**options.writer()).parquet(f"{store.url}/{staging}")
-        out += _seal(store, staging.rpartition("/")[0], table, {lo: 0}, options)
-        store.delete(staging)
-    return out
+    for r in held:
+        old = before.get(r["range_lo"])
+        if old is None or not old["n_rows"] or (old["blocks"], old["block_hash"]) == (r["blocks"], r["hash"]):
+            out.append(r.asDict())
+            continue
+        if r["first"] <= old["last_block"]:
+            raise ValueError(f"{old['file']} holds blocks {old['first_block']} to {old['last_block']}; blocks from {r['first']} on can't be added to it")
+        target, files, k = f"{store.url}/{old['file']}", [f"{store.url}/{old['file']}"], 1
+        while store.exists(f"{old['file'].removesuffix('.parquet')}.{k}.parquet"):
+            files.append(f"{target.removesuffix('.parquet')}.{k}.parquet")
+            k += 1
+        kept = spark.read.schema(shown).parquet(*files).withColumn("_place", F.monotonically_increasing_id()).withColumn("range_lo", F.lit(r["range_lo"]).cast("long"))
+        for c in rows.columns:
+            if c not in kept.columns:
+                kept = kept.withColumn(c, F.lit(-1 if c in ("block_number", "ordinal") else None).cast(rows.schema[c].dataType))
+        rows = rows.unionByName(kept.select(*rows.columns))
+        out.append({"range_lo": r["range_lo"], "n": r["n"] + old["n_rows"], "first": old["first_block"], "last": r["last"], "blocks": r["blocks"] + old["blocks"], "hash": r["hash"] ^ old["block_hash"]})
+    return rows, out
+
+
+def write_ranges(rows: DataFrame, held: list, store: Store, table: str, options: Options, turn: str, order: tuple[str, ...], hidden: tuple[str, ...], settled: bool) -> list[tuple]:
+    """Writes ``rows`` (with range_lo, and _place as the last thing to sort by) as range files of ``table``."""
+    if not held:
+        return []
+    staging = f"{_staging(options, turn)}/{table or '_main'}"
+    sorted_ = rows.repartition("range_lo").sortWithinPartitions("range_lo", *order, "_place")
+    sorted_.drop("_place", *hidden).write.options(**options.writer()).partitionBy("range_lo").parquet(f"{store.url}/{staging}")
+    return _seal(store, staging, table, held, options, settled)
+
+
+def write_empty(spark: SparkSession, store: Store, table: str, schema: T.StructType, ranges: list[int], options: Options, turn: str, settled: bool = True, over: bool = False) -> list[tuple]:
+    """A file with the schema alone for each range: written once, and copied. Files that are there stay, but with ``over``."""
+    if not ranges:
+        return []
+    staging = f"{_staging(options, turn)}/_empty/{table or '_main'}"
+    spark.createDataFrame([], schema).coalesce(1).write.options(**options.writer()).parquet(f"{store.url}/{staging}")
+    data = store.read(f"{staging}/{next(f for f in store.list(staging) if f.startswith('part-'))}")
+
+    def one(lo: int) -> tuple | None:
+        target, began = _target(table, lo, options), time.time()
+        if not over and store.exists(target):
+            return None
+        if over:
+            store.write(f"{staging}/range_lo={lo}", data)
+            store.replace(f"{staging}/range_lo={lo}", target)
+        else:
+            store.write(target, data)
+        now = time.time()
+        return (table, lo, _hi(lo, options), target, 0, len(data), now, now - began, settled, None, None, 0, 0)
+
+    with ThreadPoolExecutor(RENAMES) as pool:
+        return [r for r in pool.map(one, ranges) if r is not None]
 
 
 def record(spark: SparkSession, store: Store, rows: list[tuple], turn: str) -> None:
     if rows:
-        spark.createDataFrame(rows, MANIFEST_SCHEMA).coalesce(1).write.mode("overwrite").parquet(f"{store.url}/{MANIFEST}/{turn}")
+        spark.createDataFrame(rows, MANIFEST_SCHEMA).coalesce(1).write.parquet(f"{store.url}/{MANIFEST}/{turn}")
 
 
-def write_tables(tables: dict[str, DataFrame], store: Store, options: Options, turn: str, order: tuple[str, ...] = ("block_number",), hidden: tuple[str, ...] = ()) -> list[tuple]:
-    """Range files of all tables, the empty ones that the options ask for, and their manifest rows."""
+def write_tables(tables: dict[str, DataFrame], store: Store, options: Options, turn: str | None = None, order: tuple[str, ...] = ("block_number",), hidden: tuple[str, ...] = (), settled: bool = True, anew: list[int] | None = None) -> list[tuple]:
+    """Range files of all tables, the empty ones that the options ask for, and their manifest rows.
+
+    ``anew``: ranges whose files are replaced by what the tables hold of them; else files are gone on with.
+    """
+    turn = f"{turn or 'batch'}-{uuid.uuid4().hex}"
     out: list[tuple] = []
-    for table, df in tables.items():
-        spark = df.sparkSession
-        rows = write_ranges(with_range(df, options), store, table, options, turn, order, hidden)
-        done = manifest(spark, store).filter(F.col("table") == table).select("range_lo")
-        now = done.unionByName(spark.createDataFrame([(r[1],) for r in rows], "range_lo long"))
+    spark = next(iter(tables.values())).sparkSession
+    known = latest(manifest(spark, store)).collect()  # a row a file
+    plans = []
+    for table, df in tables.items():  # what a run may not do shows before any file changes
+        before = {r["range_lo"]: r for r in known if r["table"] == table}
+        shown = T.StructType([f for f in df.schema.fields if f.name not in hidden])
+        staged = f"{_staging(options, turn)}/_rows/{table or '_main'}"
+        with_range(df, options).withColumn("_place", F.lit(0).cast("long")).write.parquet(f"{store.url}/{staged}")
+        rows = spark.read.parquet(f"{store.url}/{staged}")
+        held = _held(rows)
+        if anew is None:
+            rows, held = _continued(spark, store, table, rows, held, before, shown, options)
+        plans.append((table, before, shown, rows, held))
+    for table, before, shown, rows, held in plans:
+        sealed = write_ranges(rows, held, store, table, options, turn, order, hidden, settled)
+        now = {r[1] for r in sealed}
+        gone = [lo for lo in anew or () if lo not in now and lo in before and before[lo]["n_rows"]]
+        sealed += write_empty(spark, store, table, shown, gone, options, f"{turn}/gone", settled, True)
         if options.fill_gaps != "none":
-            missing = [r["range_lo"] for r in gaps(spark, now, options.start_block, options.partition_size, options.stop_block, options.fill_gaps).orderBy("range_lo").collect()]
-            shown = T.StructType([f for f in df.schema.fields if f.name not in hidden])
-            rows += write_empty(spark, store, table, shown, missing, options, turn)
-        out += rows
-    if out:
-        record(tables[next(iter(tables))].sparkSession, store, out, turn)
-    store.delete(f"{options.tmp_dir.strip('/') or '_staging'}/{turn}")
+            done = spark.createDataFrame([(lo,) for lo in {*before, *now}], "range_lo long")
+            missing = [r["range_lo"] for r in gaps(spark, done, options.start_block, options.partition_size, options.stop_block, options.fill_gaps).orderBy("range_lo").collect()]
+            sealed += write_empty(spark, store, table, shown, missing, options, turn)
+        out += sealed
+    record(spark, store, out, turn)
+    store.delete(_staging(options, turn))
     return out
 
 
@@ -145,8 +227,8 @@ def shape_tables(decoded: DataFrame, options: Options, maps: tuple[str, ...] = (
     return tables, ("block_number", "ordinal"), () if options.with_lineage else ("block_number", "ordinal")
 
 
-def write_blocks(blocks: DataFrame, url: str, descriptor_set: bytes, options: Options, turn: str = "batch-0") -> list[tuple]:
-    """A finished set of blocks to range files; gives the manifest rows."""
+def write_blocks(blocks: DataFrame, url: str, descriptor_set: bytes, options: Options, turn: str | None = None, settled: bool = True, anew: list[int] | None = None) -> list[tuple]:
+    """A finished set of blocks to range files; gives the manifest rows. ``anew``: see ``write_tables``."""
     from rangelake.functions.types import is_map, load_descriptor
     from rangelake.operators.decode import ERROR, decode
     from rangelake.sources.envelope import within
@@ -154,11 +236,18 @@ def write_blocks(blocks: DataFrame, url: str, descriptor_set: bytes, options: Op
     store = Store(blocks.sparkSession, url)
     carry = ("block_number", "block_id") if options.with_block_columns and not options.explode else ("block_number",)
     chosen = within(blocks.filter("kind IS NULL OR kind = 'data'") if "kind" in blocks.columns else blocks, 0, options.stop_block)
-    decoded = decode(chosen, descriptor_set, options.message, None, options.mode, options.max_depth, options.wkt_timestamps, carry)
+    message = load_descriptor(descriptor_set, options.message)
+    maps = tuple(f.name for f in message.fields if is_map(f))
+
+    def decoded(fields: list[str] | None) -> DataFrame:
+        rows = decode(chosen, descriptor_set, options.message, fields, options.mode, options.max_depth, options.wkt_timestamps, carry)
+        return rows.filter(F.col(ERROR).isNull()).drop(ERROR) if options.mode == "PERMISSIVE" else rows
+
     if options.mode == "PERMISSIVE":
-        bad = decoded.filter(F.col(ERROR).isNotNull()).select("block_number", F.col(ERROR).alias("error"))
-        bad.write.mode("overwrite").parquet(f"{store.url}/_quarantine/{turn}")
-        decoded = decoded.filter(F.col(ERROR).isNull()).drop(ERROR)
-    maps = tuple(f.name for f in load_descriptor(descriptor_set, options.message).fields if is_map(f))
-    tables, order, hidden = shape_tables(decoded, options, maps)
-    return write_tables(tables, store, options, turn, order, hidden)
+        parsed = decode(chosen, descriptor_set, options.message, [], options.mode, options.max_depth, options.wkt_timestamps, ("block_number",))
+        bad = parsed.filter(F.col(ERROR).isNotNull()).select("block_number", F.col(ERROR).alias("error"))
+        bad.write.mode("append").parquet(f"{store.url}/_quarantine/{turn or 'batch'}")
+    tables, order, hidden = shape_tables(decoded(None), options, maps)
+    if options.explode:  # of a list's table nothing else is decoded
+        tables = {n: shape_tables(decoded([n]), options)[0][n] for n in tables}
+    return write_tables(tables, store, options, turn, order, hidden, settled, anew)

@@ -6,6 +6,7 @@ import os
 import time
 from urllib.parse import urlparse
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -28,7 +29,7 @@ class Store:
 
     def __init__(self, spark: SparkSession, url: str) -> None:
         self.url = url.partition("?")[0].rstrip("/")
-        self.jvm = spark.sparkContext._jvm
+        self.jvm, self.gateway = spark.sparkContext._jvm, spark.sparkContext._gateway
         self.conf = spark.sparkContext._jsc.hadoopConfiguration()
         self.fs = self.path("").getFileSystem(self.conf)
 
@@ -62,13 +63,24 @@ class Store:
             stream.close()
 
     def replace(self, source: str, target: str) -> None:
-        """Renames a file; one that is there already gives way."""
+        """Renames a file; one that is there already gives way, in one step where the file system can do that."""
         to = self.path(target)
         self.fs.mkdirs(to.getParent())
-        if self.fs.exists(to):
+        if not self.fs.exists(to):
+            if not self.fs.rename(self.path(source), to):
+                raise OSError(f"{source} could not be renamed to {target}")
+            return
+        hadoop = self.jvm.org.apache.hadoop.fs
+        try:
+            context = hadoop.FileContext.getFileContext(self.fs.getUri(), self.conf)
+        except Py4JJavaError:  # a file system without that interface
             self.fs.delete(to, False)
-        if not self.fs.rename(self.path(source), to):
-            raise OSError(f"{source} could not be renamed to {target}")
+            if not self.fs.rename(self.path(source), to):
+                raise OSError(f"{source} could not be renamed to {target}") from None
+            return
+        options = self.gateway.new_array(getattr(hadoop, "Options$Rename"), 1)
+        options[0] = getattr(hadoop, "Options$Rename").OVERWRITE
+        context.rename(self.path(source), to, options)
 
 
 def probe(spark: SparkSession, url: str, prefix: str = "") -> str:

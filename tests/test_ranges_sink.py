@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import glob
 import os
+import time
 
 import pyarrow.parquet as pq
 import pytest
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from rangelake import cli
 from rangelake.functions.ranges import file_name, range_hi, range_lo
-from rangelake.operators.explode import explode_table, explode_tables
+from rangelake.operators.explode import explode_table
 from rangelake.operators.stats import totals
 from rangelake.options import Options, codec, from_environment, stop_block
 from rangelake.plans import sink
@@ -67,9 +68,61 @@ def test_explode_rules(spark):
     assert [r["tags"] for r in explode_table(df, "tags", scalar_compat=True).collect()] == [None] * 3
     lineage = explode_table(df, "items", "block_number")
     assert lineage.columns == ["block_number", "ordinal", "v", "k"] and [tuple(r) for r in lineage.collect()] == [(10, 0, 1, "a"), (10, 1, None, None)]
-    assert list(explode_tables(df)) == ["tags", "items"]
-    with pytest.raises(ValueError, match="no root list"):
-        explode_tables(df.select("block_number"))
+
+
+def table_rows(spark, path):
+    return {n: f.metadata.num_rows for n, f in files(path).items()}
+
+
+def test_runs_over_consecutive_blocks_keep_all_rows(spark, tmp_path):
+    """The manifest only grows, and no empty file takes the place of one that is there."""
+    for option in ("leading", "all"):
+        out = tmp_path / option
+        for lo in (0, 10, 20, 30):
+            blocks = spark.createDataFrame([data(b, b, kind("Root")(n=b)) for b in range(lo, lo + 5)], ENVELOPE)
+            sink.write_blocks(blocks, f"file://{out}", SET, Options(partition_size=10, message="t.Root", fill_gaps=option))
+        assert table_rows(spark, out) == {f"{lo:010d}-{lo + 10:010d}.parquet": 5 for lo in (0, 10, 20, 30)}
+
+
+def test_a_range_is_gone_on_with_or_refused(spark, tmp_path):
+    write = lambda blocks, **more: sink.write_blocks(spark.createDataFrame([data(b, b, kind("Root")(n=b + 1)) for b in blocks], ENVELOPE), f"file://{tmp_path}", SET, Options(partition_size=10, message="t.Root", **more))
+    write([0, 1, 2])
+    write([3, 4, 12])
+    read = lambda name: files(tmp_path)[name].read()["n"].to_pylist()
+    assert read("0000000000-0000000010.parquet") == [1, 2, 3, 4, 5] and read("0000000010-0000000020.parquet") == [13]
+    write([0, 1, 2, 3, 4])  # the same blocks: written anew
+    assert read("0000000000-0000000010.parquet") == [1, 2, 3, 4, 5]
+    with pytest.raises(ValueError, match="can't be added"):
+        write([4, 5, 13])
+    assert read("0000000000-0000000010.parquet") == [1, 2, 3, 4, 5] and read("0000000010-0000000020.parquet") == [13]
+    write([13, 14], max_records_per_file=1)
+    assert read("0000000010-0000000020.parquet") == [13] and read("0000000010-0000000020.1.parquet") == [14] and read("0000000010-0000000020.2.parquet") == [15]
+    write([15])
+    assert read("0000000010-0000000020.parquet") == [13, 14, 15, 16] and not os.path.exists(tmp_path / "0000000010-0000000020.1.parquet")
+    t = totals(sink.manifest(spark, Store(spark, f"file://{tmp_path}"))).first()
+    assert (t["files"], t["rows"], t["last_rows"]) == (2, 9, 4)
+
+
+def test_many_empty_files_are_fast(spark, tmp_path):
+    began = time.time()
+    rows = sink.write_blocks(spark.createDataFrame([data(1, 10_005, kind("Root")(n=1))], ENVELOPE), f"file://{tmp_path}", SET, Options(partition_size=10, message="t.Root"))
+    assert len(rows) == 1001 and time.time() - began < 30 and sum(table_rows(spark, tmp_path).values()) == 1
+
+
+def test_level_page_size_and_records(spark, tmp_path):
+    blocks = spark.createDataFrame([data(i, i, kind("Root")(n=i * 7919 % 10007, tags=[f"t{i * 31 % 997}"] * 3)) for i in range(1, 2001)], ENVELOPE)
+    size = {}
+    for level in (1, 19):
+        sink.write_blocks(blocks, f"file://{tmp_path}/{level}", SET, Options(message="t.Root", compression_level=level, dict_encoding=False))
+        size[level] = os.path.getsize(glob.glob(f"{tmp_path}/{level}/*.parquet")[0])
+    assert size[19] != size[1]
+    pages = {}
+    for page in (1 << 10, 1 << 20):
+        sink.write_blocks(blocks, f"file://{tmp_path}/p{page}", SET, Options(message="t.Root", page_size=page, dict_encoding=False, compression="none"))
+        pages[page] = os.path.getsize(glob.glob(f"{tmp_path}/p{page}/*.parquet")[0])
+    assert pages[1 << 10] > pages[1 << 20]  # more pages, more headers
+    sink.write_blocks(blocks, f"file://{tmp_path}/m", SET, Options(message="t.Root", max_records_per_file=900))
+    assert sorted(f.metadata.num_rows for f in files(tmp_path / "m").values()) == [200, 900, 900]
 
 
 def test_gap_files(spark, tmp_path):
@@ -79,7 +132,7 @@ def test_gap_files(spark, tmp_path):
     sink.write_blocks(blocks, f"file://{tmp_path}/b", SET, Options(partition_size=100, message="t.Root", fill_gaps="all"))
     assert "0000000300-0000000400.parquet" in files(tmp_path / "b")
     # again: finished ranges are not emptied
-    sink.write_blocks(blocks, f"file://{tmp_path}/a", SET, Options(partition_size=100, message="t.Root"), "batch-1")
+    sink.write_blocks(blocks, f"file://{tmp_path}/a", SET, Options(partition_size=100, message="t.Root"))
     assert files(tmp_path / "a")["0000000200-0000000300.parquet"].metadata.num_rows == 2
 
 
@@ -109,7 +162,7 @@ def test_no_lists(spark, tmp_path):
 def test_quarantine(spark, tmp_path):
     blocks = spark.createDataFrame([data(1, 20, kind("Root")(n=1)), data(2, 21, b"\x12\x99")], ENVELOPE)
     sink.write_blocks(blocks, f"file://{tmp_path}", SET, Options(message="t.Root", mode="PERMISSIVE"))
-    assert spark.read.parquet(f"{tmp_path}/_quarantine/batch-0").first()["block_number"] == 21
+    assert spark.read.parquet(f"{tmp_path}/_quarantine/batch").first()["block_number"] == 21
     assert files(tmp_path)["0000000000-0000005000.parquet"].metadata.num_rows == 1
 
 

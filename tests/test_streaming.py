@@ -4,6 +4,7 @@ import glob
 
 import pytest
 
+from rangelake.operators.stats import totals
 from rangelake.operators.undo import undo_apply
 from rangelake.options import Options
 from rangelake.plans import sink
@@ -11,6 +12,7 @@ from rangelake.sources.block_source import register
 from rangelake.sources.envelope import ENVELOPE, read_block_stream
 from rangelake.sources.store import Store
 from rangelake.streaming import run as streaming
+from rangelake.streaming.progress import Samples
 from tests.fixtures import data, descriptor_set, kind, roots, undo
 
 SET = descriptor_set()
@@ -94,6 +96,58 @@ def test_late_rows_join_their_file(spark, tmp_path):
     assert values(spark, tmp_path / "out") == [(1,), (2,), (25,)]
 
 
+def test_three_streams_that_end_keep_all_rows(spark, tmp_path):
+    options = Options(partition_size=10, message="t.Root", fill_gaps="all", undo_buffer_size=3)
+    for k in range(3):
+        put(spark, tmp_path / "in", [data(b, b, root(n=b)) for b in range(1 + 15 * k, 16 + 15 * k)], first=k)
+        streaming.finish(*run(spark, tmp_path / "in", tmp_path / "out", options))
+    assert values(spark, tmp_path / "out") == [(b,) for b in range(1, 46)]
+
+
+def test_undo_after_a_stop(spark, tmp_path):
+    """What finish wrote ahead of the undo depth is written anew, also where the same number of rows, or none, is left."""
+    options = Options(partition_size=10, message="t.Root", undo_buffer_size=50)
+    put(spark, tmp_path / "in", [data(b, b, root(n=b)) for b in range(1, 31)])
+    streaming.finish(*run(spark, tmp_path / "in", tmp_path / "out", options))
+    assert len(values(spark, tmp_path / "out")) == 30
+    put(spark, tmp_path / "in", [undo(31, 17), *[data(14 + b, b, root(n=100 + b), "new") for b in range(18, 21)]], first=1)
+    streaming.finish(*run(spark, tmp_path / "in", tmp_path / "out", options))
+    assert values(spark, tmp_path / "out") == [(b,) for b in range(1, 18)] + [(118,), (119,), (120,)]
+    put(spark, tmp_path / "in", [data(40 + b, b, root(n=b)) for b in range(21, 90)], first=2)
+    streaming.finish(*run(spark, tmp_path / "in", tmp_path / "out", options))
+    assert len(values(spark, tmp_path / "out")) == 89
+    total = totals(sink.manifest(spark, Store(spark, f"file://{tmp_path}/out"))).first()
+    assert (total["files"], total["rows"]) == (9, 89)
+
+
+def test_undone_lists_leave_their_tables(spark, tmp_path):
+    options = Options(partition_size=10, message="t.Root", undo_buffer_size=50, explode=True)
+    put(spark, tmp_path / "in", [data(1, 1, root(tags=["a", "b"])), data(2, 2, root(tags=["c"], items=[{"k": "x"}]))])
+    streaming.finish(*run(spark, tmp_path / "in", tmp_path / "out", options))
+    put(spark, tmp_path / "in", [undo(3, 1)], first=1)
+    streaming.finish(*run(spark, tmp_path / "in", tmp_path / "out", options))
+    rows = lambda table: [tuple(r) for r in spark.read.parquet(*glob.glob(f"{tmp_path}/out/{table}/*.parquet")).collect()]
+    assert rows("tags") == [("a",), ("b",)] and rows("items") == []
+
+
+def test_a_batch_reads_open_ranges_alone(spark, tmp_path, monkeypatch):
+    seen = []
+    staged = streaming.Sealer._staged
+    monkeypatch.setattr(streaming.Sealer, "_staged", lambda self, ranges: seen.append(list(ranges)) or staged(self, ranges))
+    put(spark, tmp_path / "in", *[[data(b, b, root(n=b)) for b in range(10 * k, 10 * k + 10)] for k in range(6)])
+    streaming.finish(*run(spark, tmp_path / "in", tmp_path / "out", Options(partition_size=10, message="t.Root")))
+    assert seen == [[10 * k] for k in range(6)] and len(values(spark, tmp_path / "out")) == 60
+
+
+def test_samples(spark, tmp_path):
+    samples = Samples(spark, f"file://{tmp_path}/out")
+    assert samples.take(0.0) == []
+    for k in range(2):
+        sink.write_blocks(spark.createDataFrame([data(b, b, root(n=b)) for b in range(10 * k, 10 * k + 10)], ENVELOPE), f"file://{tmp_path}/out", SET, Options(partition_size=10, message="t.Root"))
+        row = samples.take(5.0 * k)[0]
+    assert (row["files"], row["rows"], row["rows_per_sec"], row["files_per_sec"], row["last_rows"]) == (2, 20, 2.0, 0.2, 10) and row["last_seconds"] >= 0
+
+
 def test_python_source(spark, tmp_path):
     spark.createDataFrame(FORK, ENVELOPE).repartition(3).write.parquet(f"{tmp_path}/in")
     register(spark)
