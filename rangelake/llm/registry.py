@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import secrets
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -39,7 +41,8 @@ def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pii.surrogates(table(spark, sf_dir, "documents"))
+    """Under the key of RANGELAKE_PII_KEY; without it under one that is drawn for this run and forgotten."""
+    return pii.surrogates(table(spark, sf_dir, "documents"), os.environ.get("RANGELAKE_PII_KEY") or secrets.token_hex(32))
 
 
 def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:

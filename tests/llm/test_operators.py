@@ -513,20 +513,77 @@ def test_pii(spark, awkward, nothing):
     assert c[1] == c[2] != "Schmidt" and c[0].split("-")[0] in pii.GIVEN["latin"]["f"] and c[3].split("-")[0] in pii.GIVEN["cyrillic"]["m"] and re.fullmatch("[А-я]+", c[4])
     again = {r["doc_id"]: r["text"] for r in pii.surrogates(frame(spark, texts), "k").collect()}
     assert again == {d: r["text"] for d, r in out.items()} and pii.surrogates(frame(spark, texts), "other").first()["text"] != out[0]["text"]
-    same = pii.surrogates(awkward)
+    same = pii.surrogates(awkward, "k")
     assert same.columns == [*awkward.columns, "n_pii"] and Counter((r["doc_id"], r["text"]) for r in same.collect()) == Counter((r["doc_id"], r["text"]) for r in awkward.collect())
-    assert pii.surrogates(nothing).count() == 0
+    assert pii.surrogates(nothing, "k").count() == 0
+    with pytest.raises(ValueError):
+        pii.surrogates(nothing, "")
+
+
+def test_mentions_of_an_entity_stay_one(spark):
+    texts = [
+        "Prof. Anna Schmidt came. Later Frau Anna Schmidt left; Schmidt came back, Anna's Schmidts did not. Schmidt",
+        "Dr Kim Lee and Mr Kim Lee. kim",
+        "Call +1 386-555-3733 or 386-555-3733 or (386) 555-3733, not +49 386 555 3733.",
+        "Herr Alma Alma met Alma.",
+        "Schmidt alone has no title here.",
+    ]
+    out = [r["text"] for r in pii.surrogates(frame(spark, texts), "k").orderBy("doc_id").collect()]
+    a = re.fullmatch(r"Prof\. (\S+) (\w+) came\. Later Frau (\S+) (\w+) left; (\w+) came back, (\S+)'s Schmidts did not\. (\w+)", out[0]).groups()
+    assert a[0] == a[2] == a[5] != "Anna" and a[1] == a[3] == a[4] == a[6] != "Schmidt" and a[0].split("-")[0] in pii.GIVEN["latin"]["f"]
+    b = re.fullmatch(r"Dr (\S+) (\w+) and Mr (\S+) (\w+)\. kim", out[1]).groups()
+    assert b[:2] == b[2:] and b[0].split("-")[0] in pii.GIVEN["latin"]["m"]
+    c = re.fullmatch(r"Call \+1 (\d{3})-(\d{3})-(\d{4}) or (\d{3})-(\d{3})-(\d{4}) or \((\d{3})\) (\d{3})-(\d{4}), not \+49 (\d{3}) (\d{3}) (\d{4})\.", out[2]).groups()
+    assert c[:3] == c[3:6] == c[6:9] != ("386", "555", "3733") and c[9:] not in (c[:3], ("386", "555", "3733"))
+    d = re.fullmatch(r"Herr (\S+) (\w+) met (\w+)\.", out[3]).groups()
+    assert d[1] == d[2] != "Alma" and out[4] == texts[4]
+
+
+def test_surrogates_equal_a_plain_version(spark):
+    """Each text against Python's own reading of the patterns: what is found is replaced alike everywhere, all else stays."""
+    r = np.random.default_rng(6)
+    people, mails = ["Anna Berg", "Otto Vale", "Lee"], [f"{w}@{v}.com" for w in WORDS[:4] for v in WORDS[4:6]]
+    phones, cards = ["386-555-3733", "+1 386 555 3733", "(212) 555-0199"], ["4041894974608795", "4041 8949 7460 8795"]
+    bits = [*mails, *phones, *cards, *[f"Mr {p}" for p in people], *[f"Dr. {p}" for p in people], "10.1.2.3", "123-45-6789", *WORDS[:10], "Berg", "Lee", "x@", "4041894974608796", "12-34"]
+    texts = [" | ".join(r.choice(bits, size=r.integers(0, 12))) for _ in range(60)]
+    found = re.compile("|".join(p.replace(r"\p{Lu}", "[A-Z]").replace(r"\p{Ll}", "[a-z]").replace(r"\p{L}", "[A-Za-z]") for p in pii.PATTERNS.values()))
+    got = {x["doc_id"]: x for x in pii.surrogates(frame(spark, texts), "k").collect()}
+    mapped: dict[str, set] = defaultdict(set)
+    for i, text in enumerate(texts):
+        before, after = text.split(" | "), got[i]["text"].split(" | ")
+        titled = {w for m in found.finditer(text) if re.match("Mr|Dr", m[0]) for w in m[0].split(" ")[1:]}
+        n = 0
+        for x, y in zip(before, after, strict=True):
+            whole = found.fullmatch(x)
+            if re.match("Mr|Dr", x):
+                title, *own = x.split(" ")
+                assert y.startswith(title + " ") and len(y.split(" ")) == len(own) + 1
+                for k, (w, v) in enumerate(zip(own, y.split(" ")[1:], strict=True)):
+                    mapped["s" + w if k == len(own) - 1 else "g" + w].add(v)
+                n += len(own)
+            elif whole and x != "4041894974608796":
+                digits = re.sub(r"\D", "", x)
+                mapped["+" + digits[-10:] if x in phones else digits if x in cards else x].add(re.sub(r"\D", "", y)[-10:] if x in phones else re.sub(" ", "", y))
+                n += 1
+            elif x in titled:
+                mapped["s" + x].add(y)
+                n += 1
+            else:
+                assert x == y
+        assert got[i]["n_pii"] == n
+    assert all(len(v) == 1 for v in mapped.values()) and len({(k[0], *v) for k, v in mapped.items()}) == len(mapped)
+    assert not any(next(iter(v)).lower() in {k.lower().lstrip("sg+") for k in mapped} for v in mapped.values())
 
 
 def test_surrogates_stay_distinct(spark, tmp_path):
     """More one-letter emails than a first draw can tell apart; none becomes another's or an entity of the corpus."""
-    entities = [("email", f"{c}@{d}.com") for c in "abcdefghij" for d in "abcdefgh"] + [("given-f-latin", n) for n in "anna berta carla dora emma frida gerda hanna ida jana".split()]
-    got = pii.dictionary(spark.createDataFrame(entities, "kind string, entity string"), "k", f"file://{tmp_path}/d").collect()
-    assert len(got) == len(entities) == len({(r["kind"], r["surrogate"]) for r in got}) and not {r["surrogate"] for r in got} & {e for _, e in entities}
+    entities = [("email", f"{c}@{d}.com", "n") for c in "abcdefghij" for d in "abcdefgh"] + [("given-latin", n, "f") for n in "anna berta carla dora emma frida gerda hanna ida jana".split()]
+    got = pii.dictionary(spark.createDataFrame(entities, "kind string, entity string, gender string"), "k", f"file://{tmp_path}/d").collect()
+    assert len(got) == len(entities) == len({(r["kind"], r["surrogate"]) for r in got}) and not {r["surrogate"] for r in got} & {e for _, e, _ in entities}
 
 
 def test_pii_runs_no_python(spark):
-    plan = pii.surrogates(frame(spark, ["a@b.com"]))._jdf.queryExecution().executedPlan().toString()
+    plan = pii.surrogates(frame(spark, ["a@b.com", "Mr Lee, Lee"]), "k")._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
 
 
