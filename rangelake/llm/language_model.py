@@ -42,7 +42,7 @@ HEAD, SAMPLE, LONGEST, STEPS, SHARE = 200_000, 1500, 8_000, 400, 0.05
 #: Rates of the fit on the sample and of the first round; rounds of the pass over all training documents, and tasks that add up parameters.
 FIRST_RATE, RATE, ROUNDS, ADDING = 8e-3, 4e-3, 4, 8
 #: Words that a counting task holds before it passes them on; ids that a training task holds at once; characters of a word's piece.
-HELD, IDS, PIECE = 400_000, 1 << 20, 400
+HELD, IDS, PIECE = 400_000, 1 << 19, 400
 END, OTHER = 0, 1
 ENCODED = "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, rare array<struct<word: binary, tf: bigint>>, ids binary"
 
@@ -144,7 +144,7 @@ class Base:
 def _encode(batches: Iterator[pa.RecordBatch], base: Base, vocabulary: str) -> Iterator[pa.RecordBatch]:
     """Of each text: what the head's words make of its base score, its other words, and its ids."""
     end_score, end_known = base.of(base.ends), base.ends > 0
-    for batch in steps(batches, most=2 * STEP_BYTES):
+    for batch in steps(batches):
         place, lengths, words = split(batch.column("text"))
         names = words.cast(pa.binary())
         at = np.asarray(pc.index_in(names, value_set=base.words).fill_null(-1))[place]
