@@ -115,43 +115,50 @@ class Index:
                 self.block_max[term, k // self.block] = max(self.block_max[term, k // self.block], x / whole * (1 + 1e-6))
         self.greatest = self.block_max.max(axis=1) if len(self.terms) else np.zeros(0, np.float32)
 
-    def retrieve(self, terms: list[int], threshold: float) -> list[tuple[int, float]]:
-        """Block-max WAND: all items whose score reaches the threshold."""
-        at = {t: 0 for t in terms}
-        live = [(self.postings[t][0], t) for t in terms]
-        out = []
+    def retrieve(self, terms: list[int], threshold: float, blocks: list[int] | None = None) -> list[tuple[int, float]]:
+        """Block-max WAND: all items whose score reaches the threshold; ``blocks`` are those that can hold one, if known.
 
-        def forward(chosen: list[tuple[int, int]], to: int) -> list[tuple[int, int]]:
-            moved = []
-            for _, t in chosen:
-                at[t] = bisect_left(self.postings[t], to, at[t])
-                if at[t] < len(self.postings[t]):
-                    moved.append((self.postings[t][at[t]], t))
-            return moved
-
-        while live:
-            live.sort()
-            bound, pivot = 0.0, -1
-            for item, t in live:
-                bound += float(self.greatest[t])
-                if bound >= threshold:
-                    pivot = item
+        Inside a block the pivot is where the block's maxima of the terms, in the order of their next items, first add up
+        to the threshold: no item before it can.
+        """
+        terms = np.asarray(terms)
+        out = []
+        for block in range(self.block_max.shape[1]) if blocks is None else blocks:
+            most = self.block_max[terms, block].tolist()
+            if sum(most) < threshold:
+                continue
+            end, live = (block + 1) * self.block, []
+            for t, m in zip(terms.tolist(), most, strict=True):
+                if m > 0:
+                    postings = self.postings[t]
+                    at = bisect_left(postings, block * self.block)
+                    live.append((postings[at], at, t, m))  # a maximum above 0 says that there is one
+            while live:
+                live.sort()
+                bound, pivot = 0.0, -1
+                for item, _, _, m in live:
+                    bound += m
+                    if bound >= threshold:
+                        pivot = item
+                        break
+                if pivot < 0:
                     break
-            if pivot < 0:
-                break
-            here = [x for x in live if x[0] <= pivot]
-            rest = live[len(here) :]
-            block = pivot // self.block
-            if sum(float(self.block_max[t, block]) for _, t in here) < threshold:
-                to = min((block + 1) * self.block, rest[0][0]) if rest else (block + 1) * self.block
-                live = forward(here, max(to, pivot + 1)) + rest
-            elif here[0][0] == pivot:
-                score = sum(self.impacts[t][at[t]] for _, t in here)
-                if score >= threshold:
-                    out.append((pivot, score))
-                live = forward(here, pivot + 1) + rest
-            else:
-                live = forward(here, pivot) + rest
+                settled = live[0][0] == pivot
+                if settled:
+                    score = sum(self.impacts[t][at] for item, at, t, _ in live if item == pivot)
+                    if score >= threshold:
+                        out.append((pivot, score))
+                moved = []
+                for entry in live:
+                    item, at, t, m = entry
+                    if item < pivot or (settled and item == pivot):
+                        postings = self.postings[t]
+                        at = bisect_left(postings, pivot + settled, at)
+                        if at < len(postings) and postings[at] < end:
+                            moved.append((postings[at], at, t, m))
+                    else:
+                        moved.append(entry)
+                live = moved
         return out
 
 
@@ -223,7 +230,7 @@ def leaks(texts: list[str | None], index: Index, threshold: float = THRESHOLD, o
         for j in np.flatnonzero((blocks >= threshold).any(axis=1)) + lo:
             p = int(passage[first[j]])
             text, words = pieces[owner[p]]
-            for item, score in index.retrieve(term[first[j] : ends[j]].tolist(), threshold):
+            for item, score in index.retrieve(term[first[j] : ends[j]], threshold, np.flatnonzero(blocks[j - lo] >= threshold).tolist()):
                 if item in out[text] and out[text][item][0] >= score:
                     continue
                 q, a_ = overlaps(index.parts[item], words[begin[p] : begin[p] + 2 * half])
