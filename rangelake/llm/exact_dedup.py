@@ -76,8 +76,9 @@ def exact_dedup(docs: DataFrame, k: int = COUNTERS, folder: str | None = None) -
 
 def drop_duplicates(docs: DataFrame, k: int = COUNTERS) -> DataFrame:
     """``docs`` with one row of each text: that of the smallest doc_id; one without doc_id if there is no other."""
-    dropped = exact_dedup(docs, k).filter(~F.col("doc_id").eqNullSafe(F.col("keep_id"))).select("doc_id", F.col("text_sha256").alias("mark"))
-    return without(docs, dropped.distinct(), F.sha2(normalised(text_or_empty()), 256))
+    verdicts = cut(exact_dedup(docs, k).select("doc_id", "keep_id", F.col("text_sha256").alias("mark")), "verdicts")
+    dropped = verdicts.filter(~F.col("doc_id").eqNullSafe(F.col("keep_id"))).select("doc_id", "mark").distinct()
+    return without(docs, dropped, verdicts, F.sha2(normalised(text_or_empty()), 256))
 
 
 ORACLE_SQL = r"""

@@ -37,8 +37,8 @@ from rangelake.llm.shared import in_fold, steps
 
 TRAIN, LANDMARKS, LONGEST, LANGUAGES, SAMPLE = 200, 32, 20_000, 200, 4000
 RIDGE = 1e-2
-#: Bits of a code point.
-_BITS = 21
+#: Bits of a code point, and characters of a text that are worked on at once.
+_BITS, PIECE = 21, 1 << 16
 #: What part of the usual share of known 3-grams a text needs, what part of the labelled texts is unusual, and the doubt.
 REJECT, QUANTILE, DOUBT = 0.5, 0.01, 2.0
 FOLDS, HELD_OUT = 3, 1
@@ -58,8 +58,8 @@ def _letters() -> np.ndarray:
 
 def _grams(text: str) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Numbers of the 1-, 2- and 3-grams of a text, in pieces of a long one, each two characters over into the next."""
-    for at in range(0, len(text), 1 << 20):
-        c = _letters().take(np.frombuffer(text[at : at + (1 << 20) + 2].encode("utf-32-le", "surrogatepass"), dtype="<u4")).astype(np.int64)
+    for at in range(0, len(text), PIECE):
+        c = _letters().take(np.frombuffer(text[at : at + PIECE + 2].encode("utf-32-le", "surrogatepass"), dtype="<u4")).astype(np.int64)
         two = (c[:-1] << _BITS) | c[1:]
         yield c, two, (two[:-1] << _BITS) | c[2:]
 
@@ -113,8 +113,8 @@ class Model:
         scores = np.zeros(len(texts))
         names = ["und"] * len(texts)
         known = [i for i, t in enumerate(texts) if t and any(map(str.isalpha, t))] if self.languages else []
-        for lo in range(0, len(known), 128):
-            rows = known[lo : lo + 128]
+        for lo in range(0, len(known), 64):
+            rows = known[lo : lo + 64]
             decisions = self.kernel([texts[i] for i in rows]) @ self.weights
             best = decisions.argmax(axis=1)
             scores[rows] = np.clip((decisions[np.arange(len(rows)), best].astype(float) + 1) / 2, 0, 1)

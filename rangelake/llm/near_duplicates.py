@@ -338,4 +338,4 @@ def drop_near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataF
     keyed, settled = _linked(docs, threshold, shared_folder(docs.sparkSession))
     rows = keyed.filter(F.col("doc_id").isNotNull() & F.col("key").isNotNull()).select("doc_id", "mark", "key").distinct().join(settled, "key")
     dropped = rows.filter((F.col("doc_id") != F.col("class_id")) | (F.col("mark") != F.col("first_mark"))).select("doc_id", "mark")
-    return without(docs, dropped, F.md5(F.coalesce("text", F.lit(""))))
+    return without(docs, dropped, keyed, F.md5(F.coalesce("text", F.lit(""))))

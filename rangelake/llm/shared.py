@@ -34,15 +34,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def without(docs: DataFrame, dropped: DataFrame, mark: Column) -> DataFrame:
+def without(docs: DataFrame, dropped: DataFrame, marked: DataFrame, mark: Column) -> DataFrame:
     """``docs`` without the rows whose doc_id and ``mark`` (a function of the text) stand in ``dropped`` (doc_id, mark).
-    Rows that repeat both stay once; they are brought down to one a task before the shuffle."""
+
+    Rows that repeat both stay once; they are brought down to one a task before the shuffle. Whether there are any is told
+    by ``marked`` (doc_id, mark, of all rows), as bringing rows down sorts the texts once more in each task.
+    """
 
     def key(mark: Column) -> Column:
         return F.concat_ws(":", mark, F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
 
     columns = [F.col(f"`{c}`") for c in docs.columns]
-    rows = docs.select(key(mark).alias("key"), F.struct(*columns).alias("row")).groupBy("key").agg(F.first("row").alias("row"))
+    rows = docs.select(key(mark).alias("key"), F.struct(*columns).alias("row"))
+    if not marked.groupBy("doc_id", "mark").count().filter("count > 1").isEmpty():
+        rows = rows.groupBy("key").agg(F.first("row").alias("row"))
     return rows.join(dropped.select(key(F.col("mark")).alias("key")).hint("merge"), "key", "left_anti").select("row.*")
 
 
