@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import zlib
 from collections.abc import Iterator
 
@@ -78,3 +79,12 @@ def steps(batches: Iterator[pa.RecordBatch], column: str = "text", most: int = S
             held += n or 0
         if begin < len(sizes):
             yield batch.slice(begin)
+    give_back()
+
+
+def give_back() -> None:
+    """Freed memory goes back to the system at a task's end, as Spark keeps its Python workers for the tasks of other stages."""
+    pa.default_memory_pool().release_unused()
+    libc = ctypes.CDLL(None)
+    if hasattr(libc, "malloc_trim"):
+        libc.malloc_trim(0)
