@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rangelake.llm.encoder import AT_ONCE, END, encoder
+from rangelake.llm.encoder import AT_ONCE, END, WORDS, encoder
 from rangelake.llm.shared import cut, ids_crc32, steps
 
 VOCABULARY = "word_bpe_49k.json"
@@ -92,13 +92,13 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int,
     return sorted(runs)
 
 
-def _pieces(batches: Iterator[pa.RecordBatch], vocabulary: str, capacity: int) -> Iterator[pa.RecordBatch]:
+def _pieces(batches: Iterator[pa.RecordBatch], vocabulary: str, capacity: int, words: int) -> Iterator[pa.RecordBatch]:
     part = TaskContext.get().partitionId()
     met: dict[int, int] = defaultdict(int)
     for batch in steps(batches, most=AT_ONCE):
         rows: list[tuple] = []
         texts = [t or "" for t in batch.column("text").to_pylist()]
-        for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encoder(vocabulary).encode(texts), strict=True):
+        for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encoder(vocabulary, words).encode(texts), strict=True):
             ids += END
             for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
                 own = ids[at : at + 4 * capacity]
@@ -121,10 +121,10 @@ def _assign(batches: Iterator[pa.RecordBatch], runs: np.ndarray) -> Iterator[pa.
         yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in names], pa.array(sequence), pa.array(offset)], [*names, "sequence_id", "offset"])
 
 
-def best_fit_pack(docs: DataFrame, vocabulary: str = VOCABULARY, capacity: int = CAPACITY) -> DataFrame:
-    """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
+def best_fit_pack(docs: DataFrame, vocabulary: str = VOCABULARY, capacity: int = CAPACITY, words: int = WORDS) -> DataFrame:
+    """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset. ``words``: that a worker's cache holds."""
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long, part int, rank long"
-    pieces = cut(docs.select("doc_id", "text").mapInArrow(lambda b: _pieces(b, vocabulary, capacity), schema), "pieces")
+    pieces = cut(docs.select("doc_id", "text").mapInArrow(lambda b: _pieces(b, vocabulary, capacity, words), schema), "pieces")
     counts = pieces.groupBy("length", "part").agg(F.count("*").alias("n"))
     histogram = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # at most capacity rows
     runs = np.array(plan(histogram, capacity), dtype=np.int64).reshape(-1, 5)
