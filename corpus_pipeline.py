@@ -11,6 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from rangelake.llm import decontamination, exact_dedup, language_id, near_duplicates, packing
 from rangelake.llm.shared import cut, shared_folder, table
 
+#: Words that packing caches: less than by itself, as its workers go on to serve other stages. Results don't depend on it.
+CACHED = 200_000
+
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops texts without a letter, and those that resemble no learned language."""
@@ -34,7 +37,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Packs what is left into sequences; one row per piece."""
-    return packing.best_fit_pack(docs)
+    return packing.best_fit_pack(docs, words=CACHED)
 
 
 STAGES = [
