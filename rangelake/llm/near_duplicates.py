@@ -339,3 +339,18 @@ def drop_near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataF
     rows = keyed.filter(F.col("doc_id").isNotNull() & F.col("key").isNotNull()).select("doc_id", "mark", "key").distinct().join(settled, "key")
     dropped = rows.filter((F.col("doc_id") != F.col("class_id")) | (F.col("mark") != F.col("first_mark"))).select("doc_id", "mark")
     return without(docs, dropped, keyed, F.md5(F.coalesce("text", F.lit(""))))
+
+
+#: The same by brute force: the Jaccard similarity of all pairs that share a shingle, and what links reach.
+ORACLE_SQL = r"""
+WITH RECURSIVE words AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}_]+') AS w FROM documents),
+shingle AS MATERIALIZED (SELECT DISTINCT r, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+  ELSE [array_to_string(w[i:i + 4], ' ') FOR i IN range(1, len(w) - 3)] END) AS s FROM words WHERE doc_id IS NOT NULL),
+size AS (SELECT r, count(*) AS n FROM shingle GROUP BY r),
+common AS (SELECT x.r AS a, y.r AS b, count(*) AS c FROM shingle x JOIN shingle y ON x.s = y.s AND x.r <> y.r GROUP BY ALL),
+link AS MATERIALIZED (SELECT a, b FROM common JOIN size p ON p.r = a JOIN size q ON q.r = b WHERE c >= 0.8 * (p.n + q.n - c)),
+reach AS (SELECT r AS a, r AS b FROM words UNION SELECT reach.a, link.b FROM reach JOIN link ON link.a = reach.b),
+class AS (SELECT reach.a AS r, min(words.doc_id) AS class_id FROM reach JOIN words ON words.r = reach.b GROUP BY reach.a),
+links AS (SELECT a AS r, count(*) AS n FROM link GROUP BY a)
+SELECT doc_id, class_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links FROM words JOIN class USING (r) LEFT JOIN links USING (r)
+"""

@@ -58,4 +58,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_exact_dedup": exact_dedup.ORACLE_SQL, "op2_url_filter": url_filter.ORACLE_SQL}
+    with_sql = {"op1_exact_dedup": exact_dedup, "op2_url_filter": url_filter, "op7_ngram_jaccard_join": near_duplicates, "op10_secret_scan": secret_scan}
+    return {name: module.ORACLE_SQL for name, module in with_sql.items()}

@@ -111,3 +111,29 @@ def scan_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def secret_scan(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_assign, n_access, n_hex, base_sha256, spans."""
     return docs.select("doc_id", "text").mapInArrow(scan_batches, "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string")
+
+
+def _oracle_sql() -> str:
+    """The same by regular expressions: a match begins behind the texts between matches and the matches before it."""
+    rules = []
+    for k, (kind, pattern, fold, least) in enumerate(BASE + EXTRA):
+        pattern = pattern.replace("'", "''")
+        if fold:  # ASCII letters alone, so no case folding by the engine
+            words, rest = pattern.split(")", 1)
+            pattern = "".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in words) + ")" + rest
+        value = f"regexp_extract(m[i], '{pattern.replace('[A-Za-z0-9+/', '([A-Za-z0-9+/')})', 2)" if kind == "assign" else "m[i]"
+        rules.append(f"SELECT r, {k} AS k, '{kind}' AS kind, g, m, i, length({value}) >= {least} AS good FROM (SELECT *, unnest(range(1, len(m) + 1)) AS i FROM (SELECT r, regexp_extract_all(t, '{pattern}') AS m, string_split_regex(t, '{pattern}') AS g FROM texts))")
+    every = "\n  UNION ALL ".join(rules)
+    return f"""
+WITH texts AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+found AS ({every}),
+placed AS (SELECT r, k, kind, length(m[i]) AS n, CAST(list_sum([length(x) FOR x IN g[1:i]]) + coalesce(list_sum([length(x) FOR x IN m[1:i - 1]]), 0) AS BIGINT) AS a FROM found WHERE good),
+named AS (SELECT r, k, a, concat(kind, ':', a, ':', a + n) AS s FROM placed),
+each AS (SELECT r, count(*) FILTER (k = 0) AS n_assign, count(*) FILTER (k = 1) AS n_access, count(*) FILTER (k = 2) AS n_hex,
+  string_agg(s, ',' ORDER BY a, k) FILTER (k < {len(BASE)}) AS base, string_agg(s, ',' ORDER BY a, k) AS spans FROM named GROUP BY r)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans FROM texts LEFT JOIN each USING (r)
+"""
+
+
+ORACLE_SQL = _oracle_sql()
