@@ -48,7 +48,7 @@ STAGES = [
     ("best_fit_packing", pack),
 ]
 
-#: Language ID, the join, retrieval and tokenisation can't be written in SQL; tests compare with brute force.
+#: Language ID, retrieval and tokenisation can't be written in SQL; the operators' tests compare with brute force.
 ORACLE_SQL = None
 
 
