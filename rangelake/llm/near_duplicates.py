@@ -300,7 +300,8 @@ def _linked(docs: DataFrame, threshold: float, folder: str) -> tuple[DataFrame,
     tile_key = ["band", "bucket", "i", "j"]
     light = _tiles(buckets).join(classes.select("node", "weight", "signature"), "node")
     light = light.select("node", "weight", "signature", "block", *tile_key)
-    candidates = cut(light.repartition(*tile_key).sortWithinPartitions(*tile_key).mapInArrow(_candidates, light.schema), "candidates", folder)
+    # dealt by ranges, as hashes put several large tiles into one task
+    candidates = cut(light.repartitionByRange(*tile_key).sortWithinPartitions(*tile_key).mapInArrow(_candidates, light.schema), "candidates", folder)
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in steps(batches):
@@ -312,7 +313,7 @@ def _linked(docs: DataFrame, threshold: float, folder: str) -> tuple[DataFrame,
     marked = docs.select("doc_id", "text", F.md5(F.coalesce("text", F.lit(""))).alias("mark"))
     texts = marked.join(wanted.hint("merge"), ["doc_id", "mark"]).select("node", "text").mapInArrow(sets, "node long, shingles binary")
     texts = cut(texts.dropDuplicates(["node"]), "shingles", folder)
-    heavy = candidates.join(texts, "node").repartition(*tile_key).sortWithinPartitions(*tile_key)
+    heavy = candidates.join(texts, "node").repartitionByRange(*tile_key).sortWithinPartitions(*tile_key)
     verified = cut(heavy.mapInArrow(lambda b: _verified(b, threshold), "node long, links long, other long"), "verified", folder)
 
     roots = connected(verified.select(F.col("node").alias("a"), F.col("other").alias("b")), folder)
