@@ -13,6 +13,7 @@ from rangelake.plans import sink
 from rangelake.sources.envelope import read_block_stream, read_blocks
 from rangelake.sources.store import normalise_url, probe
 from rangelake.streaming import run as streaming
+from rangelake.streaming.metrics import Gauges, close, serve, threads
 from rangelake.streaming.progress import Progress, Samples
 
 log = logging.getLogger("rangelake")
@@ -23,6 +24,8 @@ SAMPLE_SECONDS = 30
 def parser() -> argparse.ArgumentParser:
     out = argparse.ArgumentParser(prog="rangelake", description=__doc__)
     out.add_argument("--debug", action="store_true", help="log at debug level, Spark's own messages included")
+    out.add_argument("--metrics-listen-addr", default="localhost:9102", help="host:port of /metrics; empty: none")
+    out.add_argument("--pprof-listen-addr", default="localhost:6060", help="host:port of /threads, the driver's stacks; empty: none")
     commands = out.add_subparsers(dest="command", required=True)
     setup = commands.add_parser("setup", help="write, read and delete a small object in the store")
     setup.add_argument("store_url")
@@ -49,6 +52,16 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     if args.command == "setup":
         log.info("store is writable: %s", probe(spark, args.store_url, args.output_prefix or ""))
         return 0
+    gauges = Gauges()
+    servers = [serve(args.metrics_listen_addr, {"/metrics": gauges.text}), serve(args.pprof_listen_addr, {"/threads": lambda: threads(spark)})]
+    try:
+        return write(spark, args, gauges)
+    finally:
+        for server in servers:
+            close(server)
+
+
+def write(spark: SparkSession, args: argparse.Namespace, gauges: Gauges) -> int:
     options = from_environment(**{f.name: v for f in fields(Options) if (v := getattr(args, f.name)) is not None})
     if not options.message:
         raise SystemExit("--message is required: the full name of the blocks' message")
@@ -58,10 +71,10 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     if not args.stream:
         rows = sink.write_blocks(read_blocks(spark, args.blocks), url, descriptor_set, options)
         log.info("%d files, %d rows, %d bytes", len(rows), sum(r[4] for r in rows), sum(r[5] for r in rows))
-        Samples(spark, url).report()
+        Samples(spark, url, gauges).report()
         return 0
     stream = read_block_stream(spark, args.blocks, options.max_files_per_trigger)
-    samples, listener = Samples(spark, url), Progress()
+    samples, listener = Samples(spark, url, gauges), Progress(gauges)
     spark.streams.addListener(listener)
     query, sealer = streaming.start(stream, url, descriptor_set, options, args.checkpoint or f"{url}/_checkpoint", args.available_now)
     try:

@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 
 from rangelake.functions.ranges import range_lo
 from rangelake.operators.backfill import gaps
-from rangelake.options import Options
+from rangelake.options import Options, codec
 from rangelake.sources.store import Store
 
 MANIFEST = "_manifest"
@@ -89,7 +89,7 @@ def _seal(store: Store, staging: str, table: str, ranges: list, options: Options
         lo, began = r["range_lo"], time.time()
         parts = [f for f in store.list(f"{staging}/range_lo={lo}") if f.startswith("part-")]
         target = _target(table, lo, options)
-        # only with max_records_per_file there are several: later parts are numbered
+        # only with a limit of rows or bytes there are several: later parts are numbered
         names = [target] + [target.removesuffix(".parquet") + f".{k}.parquet" for k in range(1, len(parts))]
         for part, name in zip(parts, names, strict=True):
             store.replace(f"{staging}/range_lo={lo}/{part}", name)
@@ -104,6 +104,16 @@ def _seal(store: Store, staging: str, table: str, ranges: list, options: Options
         return list(pool.map(one, ranges))
 
 
+def _most(store: Store, staged: str, n: int, options: Options) -> int:
+    """Rows that a file takes at most by ``max_records_per_file``, and by ``target_file_bytes`` at the size that the ``n`` staged
+    rows have; 0: no limit."""
+    limits = [options.max_records_per_file]
+    if options.target_file_bytes and n:
+        size = sum(store.size(f"{staged}/{f}") for f in store.list(staged) if f.startswith("part-"))
+        limits.append(max(1, options.target_file_bytes * n // max(1, size)))
+    return min((x for x in limits if x), default=0)
+
+
 def _held(rows: DataFrame) -> list:
     """What each range of ``rows`` holds: rows, and its distinct blocks."""
     per_block = rows.groupBy("range_lo", "block_number").agg(F.count("*").alias("n"))
@@ -136,13 +146,14 @@ def _continued(spark: SparkSession, store: Store, table: str, rows: DataFrame, h
     return rows, out
 
 
-def write_ranges(rows: DataFrame, held: list, store: Store, table: str, options: Options, turn: str, order: tuple[str, ...], hidden: tuple[str, ...], settled: bool) -> list[tuple]:
-    """Writes ``rows`` (with range_lo, and _place as the last thing to sort by) as range files of ``table``."""
+def write_ranges(rows: DataFrame, held: list, store: Store, table: str, options: Options, turn: str, order: tuple[str, ...], hidden: tuple[str, ...], settled: bool, most: int = 0) -> list[tuple]:
+    """Writes ``rows`` (with range_lo, and _place as the last thing to sort by) as range files of ``table``. ``most``: rows a
+    file takes at most, if not 0."""
     if not held:
         return []
     staging = f"{_staging(options, turn)}/{table or '_main'}"
     sorted_ = rows.repartition("range_lo").sortWithinPartitions("range_lo", *order, "_place")
-    sorted_.drop("_place", *hidden).write.options(**options.writer()).partitionBy("range_lo").parquet(f"{store.url}/{staging}")
+    sorted_.drop("_place", *hidden).write.options(**options.writer() | ({"maxRecordsPerFile": str(most)} if most else {})).partitionBy("range_lo").parquet(f"{store.url}/{staging}")
     return _seal(store, staging, table, held, options, settled)
 
 
@@ -189,14 +200,15 @@ def write_tables(tables: dict[str, DataFrame], store: Store, options: Options, t
         before = {r["range_lo"]: r for r in known if r["table"] == table}
         shown = T.StructType([f for f in df.schema.fields if f.name not in hidden])
         staged = f"{_staging(options, turn)}/_rows/{table or '_main'}"
-        with_range(df, options).withColumn("_place", F.lit(0).cast("long")).write.parquet(f"{store.url}/{staged}")
+        with_range(df, options).withColumn("_place", F.lit(0).cast("long")).write.option("compression", codec(options.compression)).parquet(f"{store.url}/{staged}")
         rows = spark.read.parquet(f"{store.url}/{staged}")
         held = _held(rows)
+        most = _most(store, staged, sum(r["n"] for r in held), options)
         if anew is None:
             rows, held = _continued(spark, store, table, rows, held, before, shown, options)
-        plans.append((table, before, shown, rows, held))
-    for table, before, shown, rows, held in plans:
-        sealed = write_ranges(rows, held, store, table, options, turn, order, hidden, settled)
+        plans.append((table, before, shown, rows, held, most))
+    for table, before, shown, rows, held, most in plans:
+        sealed = write_ranges(rows, held, store, table, options, turn, order, hidden, settled, most)
         now = {r[1] for r in sealed}
         gone = [lo for lo in anew or () if lo not in now and lo in before and before[lo]["n_rows"]]
         sealed += write_empty(spark, store, table, shown, gone, options, f"{turn}/gone", settled, True)

@@ -125,6 +125,19 @@ def test_level_page_size_and_records(spark, tmp_path):
     assert sorted(f.metadata.num_rows for f in files(tmp_path / "m").values()) == [200, 900, 900]
 
 
+def test_target_file_bytes(spark, tmp_path):
+    blocks = spark.createDataFrame([data(i, i, kind("Root")(n=i * 7919 % 10007, tags=[f"t{i * 31 % 997}"] * 3)) for i in range(1, 2001)], ENVELOPE)
+    size = {}
+    for target in (0, 10_000, 1 << 30):
+        sink.write_blocks(blocks, f"file://{tmp_path}/{target}", SET, Options(message="t.Root", target_file_bytes=target, dict_encoding=False))
+        found = files(tmp_path / str(target))
+        size[target] = len(found)
+        assert sum(f.metadata.num_rows for f in found.values()) == 2000
+    assert size[0] == size[1 << 30] == 1 < size[10_000]
+    back = spark.read.parquet(*sorted(glob.glob(f"{tmp_path}/10000/*.parquet"))).select("n")
+    assert {r["n"] for r in back.collect()} == {i * 7919 % 10007 for i in range(1, 2001)}
+
+
 def test_gap_files(spark, tmp_path):
     blocks = spark.createDataFrame([data(i, b, kind("Root")(n=b)) for i, b in enumerate((250, 255, 460))], ENVELOPE)
     sink.write_blocks(blocks, f"file://{tmp_path}/a", SET, Options(partition_size=100, message="t.Root"))

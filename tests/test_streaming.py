@@ -1,6 +1,9 @@
 from __future__ import annotations
 
 import glob
+import urllib.error
+import urllib.request
+from types import SimpleNamespace
 
 import pytest
 
@@ -12,7 +15,8 @@ from rangelake.sources.block_source import register
 from rangelake.sources.envelope import ENVELOPE, read_block_stream
 from rangelake.sources.store import Store
 from rangelake.streaming import run as streaming
-from rangelake.streaming.progress import Samples
+from rangelake.streaming.metrics import Gauges, close, serve, threads
+from rangelake.streaming.progress import Progress, Samples
 from tests.fixtures import data, descriptor_set, kind, roots, undo
 
 SET = descriptor_set()
@@ -148,6 +152,31 @@ def test_samples(spark, tmp_path):
     assert (row["files"], row["rows"], row["rows_per_sec"], row["files_per_sec"], row["last_rows"]) == (2, 20, 2.0, 0.2, 10) and row["last_seconds"] >= 0
 
 
+def test_metrics_are_served(spark, tmp_path):
+    gauges = Gauges()
+    sink.write_blocks(spark.createDataFrame([data(b, b, root(n=b)) for b in range(10)], ENVELOPE), f"file://{tmp_path}/out", SET, Options(partition_size=10, message="t.Root"))
+    Samples(spark, f"file://{tmp_path}/out", gauges).report()
+    gauges.set("rangelake_odd", 1, table='a"b')
+    listener = Progress(gauges)
+    for k in range(2):
+        listener.onQueryProgress(SimpleNamespace(progress=SimpleNamespace(batchId=k, numInputRows=3, inputRowsPerSecond=None, processedRowsPerSecond=1.5, batchDuration=7)))
+    server = serve("localhost:0", {"/metrics": gauges.text, "/threads": lambda: threads(spark)})
+    try:
+        base = f"http://localhost:{server.server_address[1]}"
+        lines = urllib.request.urlopen(f"{base}/metrics").read().decode().splitlines()
+        assert {'rangelake_rows{table=""} 10.0', 'rangelake_files{table=""} 1.0', 'rangelake_odd{table="a\\"b"} 1.0', "rangelake_stream_envelopes 6.0", "# TYPE rangelake_rows gauge"} <= set(lines)
+        stacks = urllib.request.urlopen(f"{base}/threads").read().decode()
+        assert "python MainThread" in stacks and "jvm " in stacks
+        with pytest.raises(urllib.error.HTTPError):
+            urllib.request.urlopen(f"{base}/other")
+        assert serve(f"localhost:{server.server_address[1]}", {}) is None  # taken: the run goes on
+    finally:
+        close(server)
+    assert serve("", {}) is None
+    with pytest.raises(ValueError, match="host:port"):
+        serve("localhost", {})
+
+
 def test_python_source(spark, tmp_path):
     spark.createDataFrame(FORK, ENVELOPE).repartition(3).write.parquet(f"{tmp_path}/in")
     register(spark)
