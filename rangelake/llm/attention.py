@@ -26,6 +26,8 @@ BLOCK, WINDOW, EACH, LAST = 32, 64, 4, 3
 #: Blocks that training takes in a row, rows in a step, and of how many steps one also moves what stands before the last
 #: states (the others, which cost half as much, move the two levels of the softmax).
 RUN, ROWS, DEEP = 4, 64, 4
+#: Rows that a product of many rows takes at once, as small products need no packing of their operands.
+AT_ONCE = 128
 #: What a masked place gets.
 MASKED = np.float32(-1e9)
 _EYE = np.eye(WIDE, dtype=np.float32)
@@ -56,11 +58,29 @@ def before(y: np.ndarray, first: np.ndarray) -> np.ndarray:
     return x
 
 
-def _sums(rows: np.ndarray, d: np.ndarray, n: int) -> np.ndarray:
-    """The sum of the lines of ``d`` for each of n rows: sorted, and by a product for each WIDE rows."""
+def product(a: np.ndarray, w: np.ndarray, out: np.ndarray | None = None) -> np.ndarray:
+    """a @ w for many rows a and a small w."""
+    out = np.empty((len(a), w.shape[1]), a.dtype) if out is None else out
+    full = len(a) // AT_ONCE * AT_ONCE
+    np.matmul(a[:full].reshape(-1, AT_ONCE, a.shape[1]), w, out=out[:full].reshape(-1, AT_ONCE, w.shape[1]))
+    np.matmul(a[full:], w, out=out[full:])
+    return out
+
+
+def gram(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """a.T @ b for many rows a and b."""
+    full = len(a) // AT_ONCE * AT_ONCE
+    parts = a[:full].reshape(-1, AT_ONCE, a.shape[1]).transpose(0, 2, 1) @ b[:full].reshape(-1, AT_ONCE, b.shape[1])
+    out = a[full:].T @ b[full:]
+    out += parts.sum(axis=0)
+    return out
+
+
+def _sums(rows: np.ndarray, d: np.ndarray, order: np.ndarray, n: int) -> np.ndarray:
+    """The sum of the lines of ``d`` for each of n rows, a product for each WIDE rows. ``rows`` in the given order ascend;
+    the lines of ``d`` stand in that order."""
     n = -(-n // WIDE) * WIDE
-    order = np.argsort(rows.astype(np.uint16), kind="stable")
-    rows, d = rows.take(order), d.take(order, axis=0)
+    rows = rows.take(order)
     which = _EYE.take(rows & (WIDE - 1), axis=0)
     bounds = np.searchsorted(rows, np.arange(0, n + 1, WIDE)).tolist()
     out = np.zeros((n, d.shape[1]), dtype=d.dtype)
@@ -142,32 +162,31 @@ class Model:
         return np.where(slots < HEAD, slots, HEAD + np.maximum(slots - HEAD, 0) // self.wide)
 
     def _bias(self) -> np.ndarray:
-        """What is added to a query's scores: by distance, and the mask. For a block behind another, and for a first one."""
+        """What is added to a query's scores: by distance, and the mask of what stands behind it."""
         far = np.arange(0, BLOCK, EACH)[:, None] + BLOCK - np.arange(WINDOW)
-        behind = np.where(far >= 0, self.p["near"][np.maximum(far, 0) % WINDOW], MASKED)
-        alone = behind.copy()
-        alone[:, :BLOCK] = MASKED
-        return np.stack([behind, alone]).astype(self.p["near"].dtype)
+        return np.where(far >= 0, self.p["near"][np.maximum(far, 0) % WINDOW], self.p["near"].dtype.type(MASKED))
 
     def states(self, x: np.ndarray, first: np.ndarray) -> tuple:
         """Last states of blocks whose inputs are the rows x (LAST, tokens), and what the way back needs."""
         p, n = self.p, len(first)
         e = p["embed"][:, 0].take(x[0], axis=0)
+        more = np.empty_like(e)
         for k in range(1, LAST):
-            e += p["embed"][:, k].take(x[k], axis=0)
+            e += p["embed"][:, k].take(x[k], axis=0, out=more, mode="clip")  # else ``out`` is buffered; no row is beyond the table
         z = np.zeros(((n + 1) * BLOCK, 2 * KEY + D), e.dtype)  # nothing stands before the first block
-        np.matmul(e, p["qkv"], out=z[BLOCK:])
+        product(e, p["qkv"], z[BLOCK:])
         q = z[BLOCK::EACH, :KEY].reshape(n, -1, KEY)
         k, v = _windows(z[:, KEY : 2 * KEY], n), _windows(z[:, 2 * KEY :], n)
         a = q @ k.transpose(0, 2, 1)
-        a += self._bias().take(first.view(np.int8), axis=0)
+        a += self._bias()
+        a[first, :, :BLOCK] = MASKED
         np.exp(a, out=a)
         a *= np.reciprocal(a.reshape(-1, WINDOW) @ np.ones(WINDOW, a.dtype)).reshape(n, -1, 1)
         o = (a @ v).reshape(-1, D)
         h = (e.reshape(-1, EACH, D) + o[:, None]).reshape(-1, D)
-        r = h @ p["w1"]
+        r = product(h, p["w1"])
         np.maximum(r, 0, out=r)
-        out = r @ p["w2"]
+        out = product(r, p["w2"])
         out += h
         return out, (e, q, k, v, a, o, h, r)
 
@@ -177,7 +196,7 @@ class Model:
         p, m = self.p, len(y)
         ends = np.searchsorted(y, np.arange(0, HEAD + 1, WIDE)).tolist()
         top = ends[WIDE]  # from here on: the tail
-        z = h @ p["class"]
+        z = product(h, p["class"])
         out = _softmax(z, np.minimum(y // WIDE, WIDE), back)
         zi = np.empty((top, WIDE), h.dtype)
         for k, (a, b) in enumerate(zip(ends[:-1], ends[1:], strict=True)):
@@ -185,8 +204,8 @@ class Model:
                 np.matmul(h[a:b], p["inner"][k], out=zi[a:b])
         out[:top] += _softmax(zi, y[:top] & (WIDE - 1), back)
         if back:
-            g = {"class": h.T @ z, "inner": np.zeros_like(p["inner"]), "tails": np.zeros_like(p["tails"])}
-            dh = z @ p["class"].T if deep else h
+            g = {"class": gram(h, z), "inner": np.zeros_like(p["inner"]), "tails": np.zeros_like(p["tails"])}
+            dh = product(z, p["class"].T) if deep else h
             for k, (a, b) in enumerate(zip(ends[:-1], ends[1:], strict=True)):
                 if a < b:
                     np.matmul(h[a:b].T, zi[a:b], out=g["inner"][k])
@@ -198,7 +217,7 @@ class Model:
             zt = ht @ p["tails"]
             out[top:] += _softmax(zt, kind, back)
             if back:
-                g["tails"] = ht.T @ zt
+                g["tails"] = gram(ht, zt)
                 if deep:
                     dh[top:] += zt @ p["tails"].T
             touched, starts = np.unique(kind, return_index=True)
@@ -233,16 +252,15 @@ class Model:
             w *= h.dtype.type(1 / m)
         if not deep:
             return -float(logs.sum()) / m, g, touched
-        back = np.full(len(h), m)  # places that don't count have no gradient
-        back[own] = np.arange(m)
-        dh = np.append(dh, np.zeros((1, D), h.dtype), axis=0)
         dh *= h.dtype.type(1 / m)
-        d2 = dh.take(back, axis=0)
-        g["w2"] = r.T @ d2
-        du = d2 @ p["w2"].T
+        d2 = np.zeros_like(h)  # places that don't count have no gradient
+        d2[own] = dh
+        g["w2"] = gram(r, d2)
+        du = product(d2, p["w2"].T)
         du *= r > 0
-        g["w1"] = h.T @ du
-        d1 = du @ p["w1"].T
+        g["w1"] = gram(h, du)
+        padded = np.zeros((len(h) + LAST - 1, D), h.dtype)
+        d1 = product(du, p["w1"].T, padded[: len(h)])
         d1 += d2
         own = d1.reshape(-1, EACH, D)
         do = own[:, 0] + own[:, 1]
@@ -265,16 +283,18 @@ class Model:
         near = ds.sum(axis=0).ravel()
         g["near"] = np.bincount(far[far >= 0] % WINDOW, weights=near[far >= 0], minlength=WINDOW).astype(h.dtype)
         dz = dz.reshape(-1, 2 * KEY + D)
-        g["qkv"] = e.T @ dz
-        d1 += dz @ p["qkv"].T
+        g["qkv"] = gram(e, dz)
+        d1 += product(dz, p["qkv"].T)
         # the token at a place is the last one of the next input, and the one before it of the input behind that
-        into = np.zeros((n * BLOCK, LAST, D), h.dtype)
+        order = np.argsort(x[0].astype(np.uint16), kind="stable")
+        row, item = padded.strides
+        into = np.lib.stride_tricks.as_strided(padded, (n * BLOCK, LAST * D), (row, item), writeable=False)[order]
+        place = np.empty(n * BLOCK, np.int64)
+        place[order] = np.arange(n * BLOCK)
         starts = np.flatnonzero(first) * BLOCK
-        for j in range(LAST):
-            into[: len(into) - j, j] = d1[j:]
-            for i in range(1, j + 1):  # not across the begin of a run
-                into[starts[starts >= i] - i, j] = 0
-        g["embed"] = _sums(x[0], into.reshape(-1, LAST * D), self.rows).reshape(-1, LAST, D)
+        for i in range(1, LAST):  # not across the begin of a run
+            into[place.take(starts[starts >= i] - i), i * D :] = 0
+        g["embed"] = _sums(x[0], into, order, self.rows).reshape(-1, LAST, D)
         for j in range(1, LAST):
             for i in range(j):  # what stands before a run is no place of its
                 np.add.at(g["embed"][:, j], x[j][starts + i], d1[starts + i])

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rangelake.llm.attention import Adam, Model
-from rangelake.llm.shared import STEP_BYTES, cut, in_fold, shared_folder, steps
+from rangelake.llm.shared import STEP_BYTES, cut, in_fold, keep_freed, shared_folder, steps
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 FOLDS, HELD_OUT = 10, 0
@@ -62,6 +62,7 @@ def split(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(word, in training documents, in all documents); the end is the empty word."""
+    keep_freed()
     held: list[pa.Table] = []
     size = 0
 
@@ -99,9 +100,10 @@ class Subwords:
         self.leads[[n for token, n in ranks.items() if token.startswith(b" ")]] = True
         self.coder = tiktoken.Encoding("subwords", pat_str=rf" ?[^ ]{{1,{PIECE}}}", mergeable_ranks=ranks, special_tokens={})
 
-    def of(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def of(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the words, each behind a space, one behind the other; and where each word's begin."""
-        ids = self.coder.encode_to_numpy(" " + " ".join(words)) if words else np.zeros(0, np.uint32)
+        line = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words), " ")[0].as_py()
+        ids = self.coder.encode_to_numpy(f" {line}") if len(words) else np.zeros(0, np.uint32)
         return ids.astype("<u2"), np.flatnonzero(self.leads[ids])
 
 
@@ -117,7 +119,7 @@ def subwords(name: str) -> Subwords:
 
 def ids_of_texts(place: np.ndarray, lengths: np.ndarray, words: pa.Array, vocabulary: str) -> list[bytes]:
     """Ids of each text, little-endian unsigned 16-bit integers."""
-    ids, begin = subwords(vocabulary).of(words.to_pylist())
+    ids, begin = subwords(vocabulary).of(words)
     begin, n = begin.astype(np.int32), np.diff(np.append(begin, len(ids))).astype(np.int32)
     of_word = n.take(place)
     until = np.cumsum(of_word)
@@ -143,6 +145,7 @@ class Base:
 
 def _encode(batches: Iterator[pa.RecordBatch], base: Base, vocabulary: str) -> Iterator[pa.RecordBatch]:
     """Of each text: what the head's words make of its base score, its other words, and its ids."""
+    keep_freed()
     end_score, end_known = base.of(base.ends), base.ends > 0
     for batch in steps(batches):
         place, lengths, words = split(batch.column("text"))
@@ -201,6 +204,7 @@ class Scorer:
 
 def _held(batches: Iterator[pa.RecordBatch]) -> Iterator[list[pa.RecordBatch]]:
     """Slices of batches that have about IDS ids, or one longer text."""
+    keep_freed()
     held: list[pa.RecordBatch] = []
     size = 0
     for batch in steps(batches, "ids", 2 * IDS):

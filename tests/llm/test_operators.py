@@ -654,6 +654,17 @@ def test_attention_is_causal_and_scores_each_token_once():
     assert total <= 1 + 1e-9 and total > 0.99  # the last class of the tail may have room
 
 
+def test_products_of_many_rows_and_words_from_arrow():
+    r = np.random.default_rng(0)
+    for n in (0, 1, 128, 300):
+        a, b, w = r.standard_normal((n, 32)), r.standard_normal((n, 33)), r.standard_normal((32, 33))
+        assert np.allclose(attention.product(a, w), a @ w) and np.allclose(attention.gram(a, b), a.T @ b)
+    own = language_model.subwords(language_model.VOCABULARY)
+    ids, begin = own.of(language_model.pa.array(["the", "\u00dcn\u00ef"]))
+    assert own.coder.decode(ids.tolist()) == " the \u00dcn\u00ef" and begin[0] == 0 and len(begin) == 2
+    assert [len(x) for x in own.of(language_model.pa.array([], "string"))] == [0, 0]
+
+
 def test_attention_learns():
     texts = [np.append(2 + (np.arange(120) * 3 + i) % 40, 0) for i in range(40)]
     model = attention.Model(42)
