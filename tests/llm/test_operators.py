@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import math
 import re
@@ -187,6 +188,23 @@ def test_encoder_forgets_without_harm():
         assert [np.frombuffer(b, "<u4").tolist() for b in own.encode(texts[lo : lo + 5])] == library_ids("byte_bpe_50k.json", texts[lo : lo + 5])
 
 
+def test_words_are_learned_without_looking_for_cycles():
+    """The collector rests while new words are encoded, also if that fails, and is as before afterwards."""
+    import public_tokenizers
+
+    name = "byte_bpe_50k.json"
+    own = encoder.Encoder(public_tokenizers.path(name))
+    plain, enabled = own._words, []
+    own._words = lambda words: (enabled.append(gc.isenabled()), plain(words))[1]
+    texts = ["x the, the \u00dcn\u00ef. Stra\u00dfe! a.b, 12, ?", "x , .. \u00e9:"]
+    assert [np.frombuffer(b, "<u4").tolist() for b in own.encode(texts)] == library_ids(name, texts)
+    assert enabled == [False] and gc.isenabled()
+    own._words = lambda words: 1 / 0
+    with pytest.raises(ZeroDivisionError):
+        own.encode(["x unmet"])
+    assert gc.isenabled()
+
+
 def test_token_output(spark, awkward, nothing, tmp_path, monkeypatch):
     monkeypatch.setattr(token_output, "SEGMENT", 2000)
     token_output.write_tokens(awkward, f"file://{tmp_path}/t")
