@@ -16,6 +16,8 @@ from __future__ import annotations
 
 import numpy as np
 
+from rangelake.llm.exponentials import exponentiate
+
 #: Slots in a class of the head, classes of the head, and the slots that have their own class there.
 WIDE = 32
 HEAD = WIDE * WIDE
@@ -26,10 +28,8 @@ BLOCK, WINDOW, EACH, LAST = 32, 64, 4, 3
 #: Blocks that training takes in a row, rows in a step, and of how many steps one also moves what stands before the last
 #: states (the others, which cost half as much, move the two levels of the softmax).
 RUN, ROWS, DEEP = 4, 64, 4
-#: Rows that a product of many rows takes at once, as small products need no packing of their operands.
-AT_ONCE = 128
-#: What a masked place gets.
-MASKED = np.float32(-1e9)
+#: What a score gets that is set to 0 later: exponentials that are no normal numbers take several times as long.
+MASKED = np.float32(-50)
 _EYE = np.eye(WIDE, dtype=np.float32)
 
 
@@ -59,21 +59,13 @@ def before(y: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 
 def product(a: np.ndarray, w: np.ndarray, out: np.ndarray | None = None) -> np.ndarray:
-    """a @ w for many rows a and a small w."""
-    out = np.empty((len(a), w.shape[1]), a.dtype) if out is None else out
-    full = len(a) // AT_ONCE * AT_ONCE
-    np.matmul(a[:full].reshape(-1, AT_ONCE, a.shape[1]), w, out=out[:full].reshape(-1, AT_ONCE, w.shape[1]))
-    np.matmul(a[full:], w, out=out[full:])
-    return out
+    """a @ w for many rows a and a small w, as one call: parts of 128 rows take a fifth longer."""
+    return np.matmul(a, w, out=out)
 
 
 def gram(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """a.T @ b for many rows a and b."""
-    full = len(a) // AT_ONCE * AT_ONCE
-    parts = a[:full].reshape(-1, AT_ONCE, a.shape[1]).transpose(0, 2, 1) @ b[:full].reshape(-1, AT_ONCE, b.shape[1])
-    out = a[full:].T @ b[full:]
-    out += parts.sum(axis=0)
-    return out
+    return a.T @ b
 
 
 def _sums(rows: np.ndarray, d: np.ndarray, order: np.ndarray, n: int) -> np.ndarray:
@@ -102,7 +94,7 @@ def _softmax(z: np.ndarray, chosen: np.ndarray, back: bool) -> np.ndarray:
     at = np.arange(0, z.size, z.shape[1]) + chosen
     flat = z.ravel()
     own = flat.take(at)
-    np.exp(z, out=z)
+    exponentiate(z)
     total = z @ np.ones(z.shape[1], z.dtype)
     if len(total) and not total.max() < np.inf:
         raise FloatingPointError("the network's scores overflow")
@@ -161,34 +153,44 @@ class Model:
         """Rows of the input tables."""
         return np.where(slots < HEAD, slots, HEAD + np.maximum(slots - HEAD, 0) // self.wide)
 
-    def _bias(self) -> np.ndarray:
-        """What is added to a query's scores: by distance, and the mask of what stands behind it."""
-        far = np.arange(0, BLOCK, EACH)[:, None] + BLOCK - np.arange(WINDOW)
-        return np.where(far >= 0, self.p["near"][np.maximum(far, 0) % WINDOW], self.p["near"].dtype.type(MASKED))
+    def _bias(self) -> tuple[np.ndarray, np.ndarray]:
+        """What is added to a query's scores, by distance, and 1 for what it sees, 0 for what stands behind it."""
+        far, near = np.arange(0, BLOCK, EACH)[:, None] + BLOCK - np.arange(WINDOW), self.p["near"]
+        return np.where(far >= 0, near[np.maximum(far, 0) % WINDOW], near.dtype.type(MASKED)), (far >= 0).astype(near.dtype)
 
-    def states(self, x: np.ndarray, first: np.ndarray) -> tuple:
-        """Last states of blocks whose inputs are the rows x (LAST, tokens), and what the way back needs."""
+    def _qkv(self) -> list[np.ndarray]:
+        """What makes queries, keys and values of inputs."""
+        return [np.ascontiguousarray(w) for w in np.split(self.p["qkv"], [KEY, 2 * KEY], axis=1)]
+
+    def states(self, x: np.ndarray, first: np.ndarray, keep: bool = False) -> tuple:
+        """Last states of blocks whose inputs are the rows x (LAST, tokens), and, with ``keep``, what the way back needs."""
         p, n = self.p, len(first)
-        e = p["embed"][:, 0].take(x[0], axis=0)
+        line = np.zeros(((n + 1) * BLOCK, D), p["embed"].dtype)  # nothing stands before the first block
+        e = line[BLOCK:]
         more = np.empty_like(e)
-        for k in range(1, LAST):
-            e += p["embed"][:, k].take(x[k], axis=0, out=more, mode="clip")  # else ``out`` is buffered; no row is beyond the table
-        z = np.zeros(((n + 1) * BLOCK, 2 * KEY + D), e.dtype)  # nothing stands before the first block
-        product(e, p["qkv"], z[BLOCK:])
-        q = z[BLOCK::EACH, :KEY].reshape(n, -1, KEY)
-        k, v = _windows(z[:, KEY : 2 * KEY], n), _windows(z[:, 2 * KEY :], n)
+        for k in range(LAST):  # without a mode ``out`` is buffered; no row is beyond the table
+            p["embed"][:, k].take(x[k], axis=0, out=more if k else e, mode="clip")
+            if k:
+                e += more
+        wq, wk, wv = self._qkv()
+        q, k = product(e[::EACH], wq).reshape(n, -1, KEY), _windows(product(line, wk), n)
         a = q @ k.transpose(0, 2, 1)
-        a += self._bias()
-        a[first, :, :BLOCK] = MASKED
-        np.exp(a, out=a)
+        bias, seen = self._bias()
+        a += bias
+        exponentiate(a)
+        a *= seen
+        a[first, :, :BLOCK] = 0
         a *= np.reciprocal(a.reshape(-1, WINDOW) @ np.ones(WINDOW, a.dtype)).reshape(n, -1, 1)
-        o = (a @ v).reshape(-1, D)
-        h = (e.reshape(-1, EACH, D) + o[:, None]).reshape(-1, D)
+        # values are linear in the inputs, so inputs are averaged, and what a query gets is made a value: a product for EACH tokens
+        c = (a @ _windows(line, n)).reshape(-1, D)
+        h = e.copy() if keep else e
+        own = h.reshape(-1, EACH, D)
+        own += product(c, wv)[:, None]
         r = product(h, p["w1"])
-        np.maximum(r, 0, out=r)
-        out = product(r, p["w2"])
+        r += np.abs(r)  # twice the rectified; np.maximum takes twice as long
+        out = product(r, p["w2"] * p["w2"].dtype.type(0.5))
         out += h
-        return out, (e, q, k, v, a, o, h, r)
+        return out, (line, q, k, a, c, h, r) if keep else ()
 
     def _levels(self, h: np.ndarray, y: np.ndarray, back: bool, deep: bool = True) -> tuple[np.ndarray, np.ndarray, dict[str, np.ndarray], np.ndarray]:
         """Log probabilities of slots y (in ascending order) after states h, and, on the way back, the gradients of their
@@ -221,16 +223,17 @@ class Model:
                 if deep:
                     dh[top:] += zt @ p["tails"].T
             touched, starts = np.unique(kind, return_index=True)
-            of_tail = np.zeros((len(touched), *p["tail"].shape[1:]), h.dtype) if back else None
-            for i, (k, a, b) in enumerate(zip(touched.tolist(), starts.tolist(), [*starts.tolist()[1:], m - top], strict=True)):
-                zk = ht[a:b] @ p["tail"][k]
-                out[top + a : top + b] += _softmax(zk, place[a:b], back)
-                if back:
-                    of_tail[i] = ht[a:b].T @ zk
-                    if deep:
-                        dh[top + a : top + b] += zk @ p["tail"][k].T
+            parts = list(zip(touched.tolist(), starts.tolist(), [*starts.tolist()[1:], m - top], strict=True))
+            zk = np.empty((m - top, self.wide), h.dtype)
+            for k, a, b in parts:
+                np.matmul(ht[a:b], p["tail"][k], out=zk[a:b])
+            out[top:] += _softmax(zk, place, back)
             if back:
-                g["tail"] = of_tail
+                g["tail"] = np.empty((len(touched), *p["tail"].shape[1:]), h.dtype)
+                for i, (k, a, b) in enumerate(parts):
+                    np.matmul(ht[a:b].T, zk[a:b], out=g["tail"][i])
+                    if deep:
+                        dh[top + a : top + b] += zk[a:b] @ p["tail"][k].T
         return (out, dh, g, touched) if back else (out, h, {}, touched)
 
     def log_probabilities(self, h: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -244,18 +247,19 @@ class Model:
         """Mean negative log probability of slots y at the places ``at`` of blocks x, its gradients, and the tail's touched
         classes. Not ``deep``: by the parameters behind the last states alone."""
         p, n, m = self.p, len(first), len(at)
-        out, (e, q, k, v, a, o, h, r) = self.states(x, first)
+        out, kept = self.states(x, first, deep)
         order = np.argsort(y.astype(np.uint16), kind="stable")
         own = at.take(order)
         logs, dh, g, touched = self._levels(out.take(own, axis=0), y.take(order), True, deep)
         for w in g.values():
-            w *= h.dtype.type(1 / m)
+            w *= out.dtype.type(1 / m)
         if not deep:
             return -float(logs.sum()) / m, g, touched
+        line, q, k, a, c, h, r = kept
         dh *= h.dtype.type(1 / m)
         d2 = np.zeros_like(h)  # places that don't count have no gradient
         d2[own] = dh
-        g["w2"] = gram(r, d2)
+        g["w2"] = gram(r, d2) * h.dtype.type(0.5)
         du = product(d2, p["w2"].T)
         du *= r > 0
         g["w1"] = gram(h, du)
@@ -266,25 +270,25 @@ class Model:
         do = own[:, 0] + own[:, 1]
         for j in range(2, EACH):
             do += own[:, j]
-        dots = np.einsum("ij,ij->i", do, o).reshape(n, -1, 1)
-        do = do.reshape(n, -1, D)
-        dv = a.transpose(0, 2, 1) @ do
-        ds = do @ v.transpose(0, 2, 1)
+        e, (wq, wk, wv) = line[BLOCK:], self._qkv()
+        dc = product(do, wv.T)
+        dots = np.einsum("ij,ij->i", dc, c).reshape(n, -1, 1)
+        dc = dc.reshape(n, -1, D)
+        ds = dc @ _windows(line, n).transpose(0, 2, 1)
         ds -= dots
         ds *= a
-        dk = ds.transpose(0, 2, 1) @ q
-        dz = np.empty((n, BLOCK, 2 * KEY + D), h.dtype)
-        dz[..., :KEY] = 0
-        dz[:, ::EACH, :KEY] = ds @ k
-        for part, d in ((slice(KEY, 2 * KEY), dk), (slice(2 * KEY, None), dv)):
+        dq, dk, de = (ds @ k).reshape(-1, KEY), ds.transpose(0, 2, 1) @ q, a.transpose(0, 2, 1) @ dc
+        for d in (dk, de):  # a block stands in its own window and in the next one
             d[:-1, BLOCK:] += d[1:, :BLOCK]
-            dz[..., part] = d[:, BLOCK:]
+        dk = dk[:, BLOCK:].reshape(-1, KEY)
         far = (np.arange(0, BLOCK, EACH)[:, None] + BLOCK - np.arange(WINDOW)).ravel()
         near = ds.sum(axis=0).ravel()
         g["near"] = np.bincount(far[far >= 0] % WINDOW, weights=near[far >= 0], minlength=WINDOW).astype(h.dtype)
-        dz = dz.reshape(-1, 2 * KEY + D)
-        g["qkv"] = gram(e, dz)
-        d1 += product(dz, p["qkv"].T)
+        g["qkv"] = np.concatenate([gram(e[::EACH], dq), gram(e, dk), gram(c, do)], axis=1)
+        d1[::EACH] += product(dq, wq.T)
+        d1 += product(dk, wk.T)
+        blocks = d1.reshape(n, BLOCK, D)
+        blocks += de[:, BLOCK:]
         # the token at a place is the last one of the next input, and the one before it of the input behind that
         order = np.argsort(x[0].astype(np.uint16), kind="stable")
         row, item = padded.strides
@@ -336,7 +340,7 @@ class Model:
             if steps is None:
                 return losses
 
-    def score(self, slots: np.ndarray, lengths: np.ndarray, at_once: int = 256) -> np.ndarray:
+    def score(self, slots: np.ndarray, lengths: np.ndarray, at_once: int = 512) -> np.ndarray:
         """Natural log probability of each token of texts that stand one behind the other."""
         y, place, first = spread(slots, lengths)
         out = np.zeros(len(y), dtype=np.float32)

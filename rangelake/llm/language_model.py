@@ -117,15 +117,23 @@ def subwords(name: str) -> Subwords:
     return Subwords(name)
 
 
-def ids_of_texts(place: np.ndarray, lengths: np.ndarray, words: pa.Array, vocabulary: str) -> list[bytes]:
-    """Ids of each text, little-endian unsigned 16-bit integers."""
-    ids, begin = subwords(vocabulary).of(words)
-    begin, n = begin.astype(np.int32), np.diff(np.append(begin, len(ids))).astype(np.int32)
+def ids_of_texts(place: np.ndarray, lengths: np.ndarray, words: pa.Array, vocabulary: str, base: Base | None = None, at: np.ndarray | None = None) -> list[bytes]:
+    """Ids of each text, little-endian unsigned 16-bit integers. ``at``: where the words stand in the base's head, or -1."""
+    if base is None or base.ids is None:
+        ids, begin = subwords(vocabulary).of(words)
+        n = np.diff(np.append(begin, len(ids)))
+    else:  # the head's ids first, then those of the other words
+        new = np.flatnonzero(at < 0)
+        own, begins = subwords(vocabulary).of(words.take(pa.array(new)))
+        ids = np.concatenate([base.ids, own])
+        begin, n = base.begin.take(at, mode="clip"), np.diff(base.begin).take(at, mode="clip") if len(base.words) else np.zeros(len(at), np.int64)
+        begin[new], n[new] = len(base.ids) + begins, np.diff(np.append(begins, len(own)))
+    begin, n = begin.astype(np.int32), n.astype(np.int32)
     of_word = n.take(place)
     until = np.cumsum(of_word)
-    at = np.repeat((begin.take(place) - (until - of_word)).astype(np.int32), of_word)
-    at += np.arange(len(at), dtype=np.int32)
-    flat = ids.take(at).tobytes()
+    start = np.repeat((begin.take(place) - (until - of_word)).astype(np.int32), of_word)
+    start += np.arange(len(start), dtype=np.int32)
+    flat = ids.take(start).tobytes()
     ends = (2 * np.append(0, until)[np.cumsum(lengths)]).tolist()
     return [flat[a:z] for a, z in zip([0, *ends], ends, strict=False)]
 
@@ -139,6 +147,16 @@ class Base:
         counts = np.array([*head.values(), 0])  # the last: of words that aren't in the head
         self.scores, self.known = np.append(self.of(counts[:-1]), 0.0), counts > 0
 
+        self.ids: np.ndarray | None = None
+
+    def encode(self, vocabulary: str) -> None:
+        """Gives the head's words their ids, which tasks then need not find for each batch anew."""
+        there = pc.not_equal(self.words, b"")  # not the end
+        flat, begin = subwords(vocabulary).of(self.words.filter(there).cast(pa.string()))
+        n = np.zeros(len(self.words) + 1, dtype=np.int64)
+        n[1:][np.asarray(there, dtype=bool)] = np.diff(np.append(begin, len(flat)))
+        self.ids, self.begin = flat, np.cumsum(n)
+
     def of(self, c: int | np.ndarray) -> float | np.ndarray:
         return np.log10((c + 0.1) / (self.n + 0.1 * (self.distinct + 1)))
 
@@ -150,7 +168,8 @@ def _encode(batches: Iterator[pa.RecordBatch], base: Base, vocabulary: str) -> I
     for batch in steps(batches):
         place, lengths, words = split(batch.column("text"))
         names = words.cast(pa.binary())
-        at = np.asarray(pc.index_in(names, value_set=base.words).fill_null(-1))[place]
+        of_words = np.asarray(pc.index_in(names, value_set=base.words).fill_null(-1))
+        at = of_words[place]
         text = np.repeat(np.arange(len(lengths)), lengths)
         sums = np.bincount(text, weights=base.scores.take(at, mode="wrap"), minlength=len(lengths)) + end_score
         knowns = np.bincount(text[base.known.take(at, mode="wrap")], minlength=len(lengths)) + int(end_known)
@@ -159,7 +178,7 @@ def _encode(batches: Iterator[pa.RecordBatch], base: Base, vocabulary: str) -> I
         of, word = np.divmod(pairs, max(1, len(words)))
         items = pa.StructArray.from_arrays([names.take(pa.array(word)), pa.array(tf, pa.int64())], ["word", "tf"])
         rares = pa.ListArray.from_arrays(pa.array(np.searchsorted(of, np.arange(len(lengths) + 1)), pa.int32()), items)
-        ids = ids_of_texts(place, lengths, words, vocabulary)
+        ids = ids_of_texts(place, lengths, words, vocabulary, base, of_words)
         columns = [batch.column("row"), batch.column("doc_id"), batch.column("held_out"), pa.array(lengths + 1, pa.int64()), pa.array(knowns, pa.int64()), pa.array(sums, pa.float64()), rares, pa.array(ids, pa.binary())]
         yield pa.RecordBatch.from_arrays(columns, ["row", "doc_id", "held_out", "n_tokens", "n_known", "base_score", "rare", "ids"])
 
@@ -323,6 +342,7 @@ def score_documents(docs: DataFrame, vocabulary: str = VOCABULARY, head: int = H
     folder = shared_folder(spark)
     rows = docs.select("doc_id", in_fold(F.col("doc_id"), FOLDS, HELD_OUT).alias("held_out"), "text")
     base, tail = base_counts(rows, folder, head)
+    base.encode(vocabulary)
     shared = spark.sparkContext.broadcast(base)
     numbered = rows.withColumn("row", F.monotonically_increasing_id())
     turn = F.when(F.col("held_out"), -1).otherwise(F.pmod(F.xxhash64("row"), F.lit(ROUNDS))).cast("int").alias("turn")

@@ -13,7 +13,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from rangelake.llm import attention, automaton, decontamination, encoder, exact_dedup, language_id, language_model, near_duplicates, packing, pii, secret_scan, simple8b, token_output, url_filter
+from rangelake.llm import attention, automaton, decontamination, encoder, exact_dedup, exponentials, language_id, language_model, near_duplicates, packing, pii, secret_scan, simple8b, token_output, url_filter
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, digest string, row int, part int, id string, key int, score double, kept boolean"
 WORDS = [f"{a}{b}" for a in ("ba", "do", "ke", "li", "mu", "na") for b in ("ter", "sol", "vin", "ram", "pek")]
@@ -683,6 +683,43 @@ def test_products_of_many_rows_and_words_from_arrow():
     assert [len(x) for x in own.of(language_model.pa.array([], "string"))] == [0, 0]
 
 
+def test_exponentials():
+    r = np.random.default_rng(0)
+    for shape, kind in (((exponentials.LEAST // 32 + 1, 32), np.float32), ((3, 5), np.float32), ((exponentials.LEAST, 2), np.float64)):
+        z = (10 * r.standard_normal(shape)).astype(kind)
+        want = np.exp(z.astype(np.float64))
+        exponentials.exponentiate(z)
+        assert z.dtype == kind and np.allclose(z, want, rtol=1e-5, atol=0)
+    high = np.full(exponentials.LEAST, 100, np.float32)  # what the network's check for overflow looks for
+    exponentials.exponentiate(high)
+    assert np.isinf(high).all()
+    half = np.zeros((exponentials.LEAST, 2), np.float32)
+    exponentials.exponentiate(half[:, 0])
+    assert (half == [1, 0]).all()
+
+
+def test_attention_takes_no_exponentials_of_masked_places(monkeypatch):
+    """Exponentials that are no normal numbers take several times as long; masked places are set to 0 behind them."""
+    seen = []
+    monkeypatch.setattr(attention, "exponentiate", lambda z: (seen.append(z.min()), np.exp(z, out=z)))
+    model = attention.Model(1500)
+    x = attention.before(np.arange(128, dtype=np.int32), np.array([True, False, True, False]))
+    a = model.states(x, np.array([True, False, True, False]), True)[1][3]
+    assert min(seen) > -87
+    assert (a[[0, 2], :, : attention.BLOCK] == 0).all() and (a[:, 0, attention.BLOCK + 1 :] == 0).all() and np.allclose(a.sum(axis=2), 1)
+
+
+def test_ids_of_the_head_are_those_of_texts():
+    texts = language_model.pa.array(["a b  c \u00dcn\u00ef a", None, " ", "x" * 900 + " b", "c d"])
+    place, lengths, words = language_model.split(texts)
+    want = language_model.ids_of_texts(place, lengths, words, language_model.VOCABULARY)
+    for head in ({}, {b"": 5, b"a": 3, b"x" * 900: 1, b"nowhere": 1}, {w.encode(): 1 for w in words.to_pylist()}):
+        base = language_model.Base(head, 9, 5, 5)
+        base.encode(language_model.VOCABULARY)
+        at = np.asarray(language_model.pc.index_in(words.cast("binary"), value_set=base.words).fill_null(-1))
+        assert language_model.ids_of_texts(place, lengths, words, language_model.VOCABULARY, base, at) == want
+
+
 def test_attention_learns():
     texts = [np.append(2 + (np.arange(120) * 3 + i) % 40, 0) for i in range(40)]
     model = attention.Model(42)
